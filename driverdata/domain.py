@@ -16,7 +16,9 @@ from mediamart.operators.detections import add_events
 from mediamart.operators.ingest import FINISHED, project_meta
 from mediamart.operators.text import chapter_ends, last_segment, segments_map
 from mediamart.schemas import RAW
+from mediamart.session import shared_folder
 from mediamart.sources.calendar import calendar
+from mediamart.sources.tables import Tables
 from mediamart.sources.taxonomy import CATEGORY_ROWS, SUBCATEGORY_ROWS
 
 WORDS_PER_SEGMENT = 10
@@ -138,7 +140,7 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "upload_date": F.date_format(upload_day(), "yyyyMMdd"),
         }
     )
-    segments = let(F.col("words"), sentences)
+    segments = let(F.split("text", " "), sentences)
     return w.select(
         "doc_id",
         F.col("source").alias("channel_id"),
@@ -160,7 +162,17 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``process_video``: documents run through the row-wise artefact operators."""
+    """``process_video`` as a stored table, which is what the models start from.  It is written
+    once per application, in one job without a shuffle of its artefacts."""
+    name = sf_dir.strip("/").replace("/", "-")
+    tables = Tables(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}")
+    if not tables.exists("process_video"):
+        tables.replace("process_video", processed(spark, sf_dir))
+    return tables.read("process_video")
+
+
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents run through the row-wise artefact operators."""
     rows = unprocessed(spark, sf_dir).withColumn("last", last_segment(F.col("transcribe_json")))
     ended = rows.withColumn(
         "llm_chapter_json",

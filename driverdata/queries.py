@@ -8,6 +8,7 @@ from pyspark.sql.types import DecimalType
 
 from driverdata import domain as D
 from mediamart.functions import dates, json, numbers
+from mediamart.functions.arrays import let
 from mediamart.operators import detections, enrich, ingest, joins, quality, text, windows
 from mediamart.plans import core, marts, reporting, staging
 from mediamart.schemas import CONTRACTS, struct
@@ -59,24 +60,22 @@ class Domain:
         return staging.STAGING[name](self.raw)
 
     def core_videos(self) -> DataFrame:
-        return core.core_videos(self.staged("stg_videos_base"), now())
+        return core.core_videos(self.raw, now())
 
     def core_channels(self) -> DataFrame:
-        return core.core_channels(self.staged("stg_videos_base"), now())
+        return core.core_channels(self.raw, now())
 
     def core_playlists(self) -> DataFrame:
-        return core.core_playlists(self.staged("stg_videos_base"), now())
+        return core.core_playlists(self.raw, now())
 
     def core_sound_features(self) -> DataFrame:
-        return core.core_sound_features(self.staged("stg_sound_features"))
+        return core.core_sound_features(self.raw)
 
     def core_transcript_segments(self) -> DataFrame:
-        return core.core_transcript_segments(self.staged("stg_transcripts"))
+        return core.core_transcript_segments(self.raw)
 
     def core_chapters(self) -> DataFrame:
-        return core.core_chapters(
-            self.staged("stg_chapters"), self.staged("stg_classifications"), self.core_subcategories
-        )
+        return core.core_chapters(self.raw, self.core_subcategories)
 
     def fact_video_chapters(self) -> DataFrame:
         return marts.fact_video_chapters(
@@ -91,7 +90,7 @@ class Domain:
     def fact_video_metrics(self) -> DataFrame:
         return marts.fact_video_metrics(
             self.core_videos(),
-            core.core_videos_meta(self.staged("stg_videos_base")),
+            core.core_videos_meta(self.raw),
             self.core_sound_features(),
             self.dim_date,
         )
@@ -242,7 +241,7 @@ def playlists(spark, sf) -> DataFrame:
     """Every document as a playlist whose entries are its segments; one-segment documents have
     no entry list."""
     listed = F.transform(
-        D.let(F.col("words"), D.sentences),
+        let(F.split("text", " "), D.sentences),
         lambda s, i: F.struct(
             F.concat_ws("-", F.col("doc_id").cast("string"), i.cast("string")).alias("id"),
             s["text"].alias("title"),
@@ -469,7 +468,7 @@ def t1_segment_map(spark, sf):
     """Sentence lists to index-keyed JSON; times are word counts over seven, so they need the
     rounding."""
     timed = F.transform(
-        D.let(F.col("words"), D.sentences),
+        let(F.split("text", " "), D.sentences),
         lambda s: F.struct(
             s["text"].alias("text"), (s["start"] / 7.0).alias("start"), (s["end"] / 7.0).alias("end")
         ),
@@ -517,7 +516,7 @@ def t3_split_valid_json(spark, sf):
 @query
 def t4_summary_prompt(spark, sf):
     prompt = text.summary_prompt(F.col("transcribe_json"), "Find the topics:\n")
-    return D.unprocessed(spark, sf).select("video_id", digest(prompt).alias("prompt_md5"))
+    return D.raw_videos(spark, sf).select("video_id", digest(prompt).alias("prompt_md5"))
 
 
 @query
@@ -626,7 +625,8 @@ def a7_events_payload(spark, sf):
 @query
 def a7_events_in_row(spark, sf):
     """The same payload made inside the raw row."""
-    return D.raw_videos(spark, sf).select("video_id", "laugh_events_json")
+    points = D.raw_videos(spark, sf).select("video_id", "sound_classifier_json")
+    return detections.add_events(points).select("video_id", "laugh_events_json")
 
 
 # --- staging -------------------------------------------------------------------------------
@@ -739,7 +739,7 @@ def c1_new_channels(spark, sf):
     d = Domain(spark, sf)
     quality_one = d.table("labels").filter("toxic = 1").select("doc_id")
     known = d.table("documents").join(quality_one, "doc_id", "left_semi").select(F.col("source").alias("channel_id"))
-    return stamped(core.core_channels(d.staged("stg_videos_base"), now(), known))
+    return stamped(core.core_channels(d.raw, now(), known))
 
 
 @query
@@ -750,7 +750,7 @@ def c2_core_playlists(spark, sf):
 @query
 def c3_core_videos(spark, sf):
     d = Domain(spark, sf)
-    return stamped(core.core_videos(d.staged("stg_videos_base"), now(), earlier_load(d)))
+    return stamped(core.core_videos(d.raw, now(), earlier_load(d)))
 
 
 @query
@@ -762,19 +762,19 @@ def c4_core_videos_meta(spark, sf):
         F.col("doc_id").cast("string").alias("video_id"),
         F.date_add(D.upload_day(), F.when(F.col("quality") == 1, 7).otherwise(6)).alias("snapshot_date"),
     )
-    return core.core_videos_meta(d.staged("stg_videos_base"), stored)
+    return core.core_videos_meta(d.raw, stored)
 
 
 @query
 def c5_core_transcript_segments(spark, sf):
     d = Domain(spark, sf)
-    return core.core_transcript_segments(d.staged("stg_transcripts"), earlier_load(d))
+    return core.core_transcript_segments(d.raw, earlier_load(d))
 
 
 @query
 def c6_core_sound_features(spark, sf):
     d = Domain(spark, sf)
-    return core.core_sound_features(d.staged("stg_sound_features"), earlier_load(d))
+    return core.core_sound_features(d.raw, earlier_load(d))
 
 
 @query
@@ -785,9 +785,7 @@ def c7_core_chapters(spark, sf):
 @query
 def c7_new_chapters(spark, sf):
     d = Domain(spark, sf)
-    return core.core_chapters(
-        d.staged("stg_chapters"), d.staged("stg_classifications"), d.core_subcategories, earlier_load(d)
-    )
+    return core.core_chapters(d.raw, d.core_subcategories, earlier_load(d))
 
 
 @query
@@ -963,8 +961,7 @@ def j6_newer_than_stored(spark, sf):
     """Snapshots later than every error day of the same user."""
     errors = D.table(spark, sf, "events").filter("event_type = 'error' and value > 60")
     stored = errors.select(F.col("user_id").cast("string").alias("video_id"), F.to_date("ts").alias("snapshot_date"))
-    new = D.snapshots(spark, sf).withColumnRenamed("snapshot_date", "meta_updated_at").withColumn("is_valid", F.lit(True))
-    return core.core_videos_meta(new, stored)
+    return joins.newer_rows(D.snapshots(spark, sf), stored, ["video_id"], "snapshot_date")
 
 
 @query

@@ -4,6 +4,8 @@ numbers ("5") and bare ones (5) are both legal in the artefacts."""
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from mediamart.functions.arrays import let
+
 STRICT = {"mode": "FAILFAST"}
 
 
@@ -23,12 +25,12 @@ def records(c: Column, member: str, fields: str) -> Column:
     ``from_json`` would wrap a lone object into a one-element array, which must be an error,
     so one-element results are checked against the text.
     """
-    items = parse(c, f"{member} array<struct<{fields}>>")[member]
     is_array = F.get_json_object(c, f"$.{member}").startswith("[")
-    return F.when(
-        (F.size(items) == 1) & ~is_array,
-        F.raise_error(F.lit(f"'{member}' is not a JSON array")),
-    ).otherwise(items)
+    error = F.raise_error(F.lit(f"'{member}' is not a JSON array"))
+    return let(
+        parse(c, f"{member} array<struct<{fields}>>")[member],
+        lambda items: F.when((F.size(items) == 1) & ~is_array, error).otherwise(items),
+    )
 
 
 def number(c: Column, kind: str) -> Column:

@@ -73,6 +73,16 @@ def sum_in_ranges(
     )
 
 
+def newer_rows(rows: DataFrame, existing: DataFrame | None, keys: list[str], order: str) -> DataFrame:
+    """Rows later in ``order`` than every stored row of their key; a row whose ``order`` is NULL
+    is never held back.  The stored rows are reduced to one per key before the join."""
+    if existing is None:
+        return rows
+    newest = existing.groupBy(*keys).agg(F.max(order).alias("_newest"))
+    kept = rows.join(newest, keys, "left").filter(~F.coalesce(F.col("_newest") >= F.col(order), F.lit(False)))
+    return kept.select(*rows.columns)
+
+
 def bound_lookup(
     ranges: DataFrame,
     lookup: DataFrame,

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mediamart.operators.ingest import FINISHED
 from mediamart.operators.quality import declared_checks, run_checks
 from mediamart.plans import core, marts, reporting
 from mediamart.plans.staging import STAGING
@@ -25,29 +26,35 @@ def build_staging(raw: DataFrame) -> dict[str, DataFrame]:
     return {name: Tables.view(name, model(raw)) for name, model in STAGING.items()}
 
 
-def build_core(tables: Tables, staged: dict[str, DataFrame], now: Column) -> list[str]:
+def new_videos(tables: Tables, raw: DataFrame, name: str) -> DataFrame:
+    """Raw rows of finished videos that the core table ``name`` does not hold yet.
+
+    The missing ids are found on the id column alone and stored; a stored list has a known
+    size, so Spark broadcasts it when it is small, and the wide raw rows are not shuffled.
+    """
+    old = tables.read(name)
+    if old is None:
+        return raw
+    finished = raw.filter(F.col("process_status") == FINISHED).select("video_id")
+    ids = tables.replace(f"stg_unseen_{name}", core.unseen(finished, old, ["video_id"]))
+    return raw.join(ids, "video_id", "left_semi")
+
+
+def build_core(tables: Tables, raw: DataFrame, now: Column) -> list[str]:
     """Append the new rows to each core table; returns the names of the tables."""
     tables.replace("core_categories", taxonomy.categories(tables.spark))
-    tables.replace("core_subcategories", taxonomy.subcategories(tables.spark))
-    videos = staged["stg_videos_base"]
+    topics = tables.replace("core_subcategories", taxonomy.subcategories(tables.spark))
     old = tables.read
     new = {
-        "core_channels": core.core_channels(videos, now, old("core_channels")),
-        "core_playlists": core.core_playlists(videos, now, old("core_playlists")),
-        "core_videos": core.core_videos(videos, now, old("core_videos")),
-        "core_videos_meta": core.core_videos_meta(videos, old("core_videos_meta")),
+        "core_channels": core.core_channels(raw, now, old("core_channels")),
+        "core_playlists": core.core_playlists(raw, now, old("core_playlists")),
+        "core_videos": core.core_videos(new_videos(tables, raw, "core_videos"), now),
+        "core_videos_meta": core.core_videos_meta(raw, old("core_videos_meta")),
         "core_transcript_segments": core.core_transcript_segments(
-            staged["stg_transcripts"], old("core_transcript_segments")
-        ),
-        "core_sound_features": core.core_sound_features(
-            staged["stg_sound_features"], old("core_sound_features")
-        ),
-        "core_chapters": core.core_chapters(
-            staged["stg_chapters"],
-            staged["stg_classifications"],
-            old("core_subcategories"),
-            old("core_chapters"),
+            new_videos(tables, raw, "core_transcript_segments")
         ),
+        "core_sound_features": core.core_sound_features(new_videos(tables, raw, "core_sound_features")),
+        "core_chapters": core.core_chapters(new_videos(tables, raw, "core_chapters"), topics),
     }
     for name, rows in new.items():
         tables.append(name, rows)
@@ -164,7 +171,7 @@ def run(
     """
     tables.replace("dim_date", calendar)
     staged = build_staging(raw)
-    names = build_core(tables, staged, F.current_timestamp() if now is None else now)
+    names = build_core(tables, raw, F.current_timestamp() if now is None else now)
     build_marts(tables, unbuilt(tables, names), full)
     mark_built(tables, names)
     stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]

@@ -1,16 +1,20 @@
-"""Core models: rows to append.  ``existing`` is the stored table, None on the first run."""
+"""Core models: rows to append.  ``existing`` is the stored table, None on the first run.
+
+Tables keyed by video leave out stored videos in the raw rows, before any JSON is parsed: a
+raw row is one video, so a video with very many segments or events is one row in that join.
+"""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mediamart.operators.joins import newer_rows
+from mediamart.plans import staging
 from mediamart.schemas import CONTRACTS
 from mediamart.sources.tables import conform
 
 
-def _unseen(rows: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows whose key has no stored row.  The stored keys are made distinct first, so a video
-    with very many stored rows is one row in the join; Catalyst moves the anti join below the
-    explode of the staging model, so stored videos are not even parsed."""
+def unseen(rows: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows whose key has no stored row; the stored keys are made distinct first."""
     if existing is None:
         return rows
     return rows.join(existing.select(*keys).distinct(), keys, "left_anti")
@@ -24,51 +28,45 @@ def _named(name: str, rows: DataFrame) -> DataFrame:
     return conform(rows.select(*CONTRACTS[name].names), CONTRACTS[name])
 
 
-def core_channels(stg_videos_base: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
-    """Distinct (id, name) pairs of unseen ids; two names for one id give two rows, which the
+def _names(raw: DataFrame, name: str, now: Column, existing: DataFrame | None) -> DataFrame:
+    """Distinct (id, name) pairs of unseen ids.  Two names for one id give two rows, which the
     primary-key check reports."""
-    pairs = _valid(stg_videos_base).select("channel_id", "channel_name").distinct()
-    return _named("core_channels", _unseen(pairs, existing, ["channel_id"]).withColumn("created_at", now))
+    key, title, _ = CONTRACTS[name].names
+    pairs = _valid(staging.stg_videos_base(raw)).select(key, title).distinct()
+    return _named(name, unseen(pairs, existing, [key]).withColumn("created_at", now))
+
+
+def core_channels(raw: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
+    return _names(raw, "core_channels", now, existing)
 
 
-def core_playlists(stg_videos_base: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
-    pairs = _valid(stg_videos_base).select("playlist_id", "playlist_title").distinct()
-    return _named("core_playlists", _unseen(pairs, existing, ["playlist_id"]).withColumn("created_at", now))
+def core_playlists(raw: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
+    return _names(raw, "core_playlists", now, existing)
 
 
-def core_videos(stg_videos_base: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
-    rows = _unseen(_valid(stg_videos_base), existing, ["video_id"])
+def core_videos(raw: DataFrame, now: Column, existing: DataFrame | None = None) -> DataFrame:
+    rows = _valid(staging.stg_videos_base(unseen(raw, existing, ["video_id"])))
     return _named("core_videos", rows.withColumn("created_at", now))
 
 
-def core_videos_meta(stg_videos_base: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def core_videos_meta(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Snapshots newer than every stored snapshot of their video."""
-    rows = _valid(stg_videos_base).withColumnRenamed("meta_updated_at", "snapshot_date")
-    if existing is not None:
-        newest = existing.groupBy("video_id").agg(F.max("snapshot_date").alias("_newest"))
-        rows = (
-            rows.join(newest, "video_id", "left")
-            .filter("not coalesce(_newest >= snapshot_date, false)")
-            .drop("_newest")
-        )
-    return _named("core_videos_meta", rows)
+    rows = _valid(staging.stg_videos_base(raw)).withColumnRenamed("meta_updated_at", "snapshot_date")
+    return _named("core_videos_meta", newer_rows(rows, existing, ["video_id"], "snapshot_date"))
 
 
-def core_transcript_segments(stg_transcripts: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    rows = _unseen(_valid(stg_transcripts), existing, ["video_id"])
-    return _named("core_transcript_segments", rows)
+def core_transcript_segments(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    rows = staging.stg_transcripts(unseen(raw, existing, ["video_id"]))
+    return _named("core_transcript_segments", _valid(rows))
 
 
-def core_sound_features(stg_sound_features: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    rows = _unseen(_valid(stg_sound_features), existing, ["video_id"])
-    return _named("core_sound_features", rows)
+def core_sound_features(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    rows = staging.stg_sound_features(unseen(raw, existing, ["video_id"]))
+    return _named("core_sound_features", _valid(rows))
 
 
 def core_chapters(
-    stg_chapters: DataFrame,
-    stg_classifications: DataFrame,
-    core_subcategories: DataFrame,
-    existing: DataFrame | None = None,
+    raw: DataFrame, core_subcategories: DataFrame, existing: DataFrame | None = None
 ) -> DataFrame:
     """Chapters with the id of their class.  Invalid chapters stay in; a label that the
     taxonomy does not know drops the chapter; the main category is not compared.
@@ -76,10 +74,11 @@ def core_chapters(
     The taxonomy has 50 rows, so it may be broadcast.  The join of chapters and classes is on
     (video, segment), which spreads a video with many chapters.
     """
+    new = unseen(raw, existing, ["video_id"])
     classes = (
-        _valid(stg_classifications)
+        _valid(staging.stg_classifications(new))
         .join(F.broadcast(core_subcategories), "subcategory")
         .select("video_id", "start_segment_id", "subcategory_id")
     )
-    rows = _unseen(stg_chapters, existing, ["video_id"]).join(classes, ["video_id", "start_segment_id"])
+    rows = staging.stg_chapters(new).join(classes, ["video_id", "start_segment_id"])
     return _named("core_chapters", rows)

@@ -72,6 +72,7 @@ CALENDAR = struct(
 )
 
 CONTRACTS = {
+    "process_video": RAW,
     "dim_date": CALENDAR,
     "core_channels": struct(channel_id="string", channel_name="string", created_at="timestamp"),
     "core_playlists": struct(playlist_id="string", playlist_title="string", created_at="timestamp"),
@@ -169,6 +170,7 @@ UPSERT_KEYS = {
 }
 
 PRIMARY_KEYS = {
+    "process_video": ["video_id"],
     "core_channels": ["channel_id"],
     "core_playlists": ["playlist_id"],
     "core_videos": ["video_id"],
