@@ -4,8 +4,6 @@ numbers ("5") and bare ones (5) are both legal in the artefacts."""
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from mediamart.functions.arrays import let
-
 STRICT = {"mode": "FAILFAST"}
 
 
@@ -20,17 +18,8 @@ def parse(c: Column, schema: str) -> Column:
 
 
 def records(c: Column, member: str, fields: str) -> Column:
-    """The array of records under ``member``.
-
-    ``from_json`` would wrap a lone object into a one-element array, which must be an error,
-    so one-element results are checked against the text.
-    """
-    is_array = F.get_json_object(c, f"$.{member}").startswith("[")
-    error = F.raise_error(F.lit(f"'{member}' is not a JSON array"))
-    return let(
-        parse(c, f"{member} array<struct<{fields}>>")[member],
-        lambda items: F.when((F.size(items) == 1) & ~is_array, error).otherwise(items),
-    )
+    """The array of records under ``member``; anything but an array there is an error."""
+    return parse(c, f"{member} array<struct<{fields}>>")[member]
 
 
 def number(c: Column, kind: str) -> Column:
