@@ -17,6 +17,13 @@ def parse(c: Column, schema: str) -> Column:
     return F.from_json(c, schema, STRICT)
 
 
+def entries(c: Column, value: str) -> Column:
+    """The members of a JSON object as ``array<struct<key, value>>``, ``value`` being the type
+    of the values.  Of a repeated key the last member counts under the session settings of
+    ``mediamart.session``; under Spark's default a repeated key is an error."""
+    return F.map_entries(F.map_from_entries(F.map_entries(parse(c, f"map<string, {value}>"))))
+
+
 def records(c: Column, member: str, fields: str) -> Column:
     """The array of records under ``member``; anything but an array there is an error."""
     return parse(c, f"{member} array<struct<{fields}>>")[member]

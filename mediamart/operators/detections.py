@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mediamart.functions.arrays import let
-from mediamart.functions.json import parse
+from mediamart.functions.json import entries
 from mediamart.functions.numbers import exact_decimal, round_half_even, round_hundredths
 from mediamart.operators.windows import number_rows
 
@@ -46,9 +46,9 @@ def explode_points(
     raw: DataFrame, json_column: str, keys: list[str] = ["video_id"], t: str = "t", confidence: str = "confidence"
 ) -> DataFrame:
     """Rows of a ``{"<seconds>": confidence}`` artefact; NULL and ``{}`` give no rows."""
-    entries = F.explode(parse(F.col(json_column), "map<string, double>"))
-    return raw.select(*keys, entries.alias("_t", confidence)).select(
-        *keys, F.col("_t").cast("double").alias(t), confidence
+    members = F.explode(entries(F.col(json_column), "double"))
+    return raw.select(*keys, members.alias("_point")).select(
+        *keys, F.col("_point.key").cast("double").alias(t), F.col("_point.value").alias(confidence)
     )
 
 
@@ -196,10 +196,9 @@ def events_json(
 
     NULL or ``{}`` gives ``{"events":[]}``.
     """
-    no_points = F.create_map().cast("map<string, double>")
-    entries = F.map_entries(F.coalesce(parse(points, "map<string, double>"), no_points))
+    members = entries(F.coalesce(points, F.lit("{}")), "double")
     ordered = F.array_sort(
-        F.transform(entries, lambda e: F.struct(e["key"].cast("double").alias("t"), e["value"].alias("c")))
+        F.transform(members, lambda e: F.struct(e["key"].cast("double").alias("t"), e["value"].alias("c")))
     )
     zero = F.lit(0).cast("decimal(38,18)")
     empty = F.array().cast("array<int>")

@@ -4,9 +4,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mediamart.functions.arrays import let
-from mediamart.functions.json import parse
+from mediamart.functions.json import entries, parse
 from mediamart.functions.numbers import round_half_even
-from mediamart.schemas import CHAPTER_FIELDS, SEGMENTS
+from mediamart.schemas import CHAPTER_FIELDS, SEGMENT_FIELDS
 
 # The fence marks that models put around JSON, and the wording of a retry.
 JSON_FENCE = "```json"
@@ -70,8 +70,11 @@ def split_valid_json(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
 
 def summary_prompt(transcript: Column, template: str) -> Column:
     """Template plus the segments with their text only."""
-    texts = F.transform_values(parse(transcript, SEGMENTS), lambda _, s: F.struct(s["text"].alias("text")))
-    return F.concat(F.lit(template), F.to_json(texts))
+    texts = F.transform(
+        entries(transcript, f"struct<{SEGMENT_FIELDS}>"),
+        lambda s: F.struct(s["key"], F.struct(s["value"]["text"].alias("text"))),
+    )
+    return F.concat(F.lit(template), F.to_json(F.map_from_entries(texts)))
 
 
 def classifier_prompt(chapters: Column, template: str) -> Column:

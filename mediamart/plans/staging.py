@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.functions.json import compact_date, number, parse, records
+from mediamart.functions.json import compact_date, entries, number, parse, records
 from mediamart.operators.ingest import FINISHED
-from mediamart.schemas import CHAPTER_FIELDS, CLASSIFICATION_FIELDS, EVENT_FIELDS, META_TEXT, SEGMENTS
+from mediamart.schemas import CHAPTER_FIELDS, CLASSIFICATION_FIELDS, EVENT_FIELDS, META_TEXT, SEGMENT_FIELDS
 
 
 def _finished(raw: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def stg_videos_base(raw: DataFrame) -> DataFrame:
 
 
 def stg_transcripts(raw: DataFrame) -> DataFrame:
-    segments = F.map_entries(parse(F.col("transcribe_json"), SEGMENTS))
+    segments = entries(F.col("transcribe_json"), f"struct<{SEGMENT_FIELDS}>")
     return (
         _exploded(raw, "transcribe_json", segments)
         .select(

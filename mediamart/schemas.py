@@ -50,7 +50,7 @@ PLAYLISTS = (
 
 META = "duration int, like_count int, view_count int, comment_count int, upload_date string"
 META_TEXT = ", ".join(part.split()[0] + " string" for part in META.split(", "))
-SEGMENTS = "map<string, struct<text: string, start: string, end: string>>"
+SEGMENT_FIELDS = "text: string, start: string, end: string"
 CHAPTER_FIELDS = "id: string, end_id: string, theme: string, summary: string"
 CLASSIFICATION_FIELDS = "id: string, main_category: string, subcategory: string, reason: string"
 EVENT_FIELDS = (

@@ -5,13 +5,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE splits the hot partitions of joins at run time; forcing it keeps the split even when the
-# join is followed by another exchange.  The engine needs ANSI casts: bad text must fail.
+# join is followed by another exchange.  Casts must be ANSI, so that bad text fails, and of a
+# repeated JSON key the last one counts.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 
