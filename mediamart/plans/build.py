@@ -157,6 +157,19 @@ def build_views(tables: Tables) -> dict[str, DataFrame]:
     return {name: Tables.view(name, df) for name, df in built.items()}
 
 
+def build_all(
+    tables: Tables, raw: DataFrame, calendar: DataFrame, now: Column | None = None, full: bool = False
+) -> dict[str, DataFrame]:
+    """Build everything behind ``raw`` and return all tables and views by name."""
+    tables.replace("dim_date", calendar)
+    staged = build_staging(raw)
+    names = build_core(tables, raw, F.current_timestamp() if now is None else now)
+    build_marts(tables, unbuilt(tables, names), full)
+    mark_built(tables, names)
+    stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]
+    return {**staged, **{name: tables.read(name) for name in stored}, **build_views(tables)}
+
+
 def run(
     tables: Tables,
     raw: DataFrame,
@@ -165,15 +178,8 @@ def run(
     full: bool = False,
     fail: bool = True,
 ) -> DataFrame:
-    """Build everything behind ``raw`` and return the report of all checks.
+    """Build everything and return the report of all checks.
 
     ``fail`` raises when a check finds failures, after everything has been built.
     """
-    tables.replace("dim_date", calendar)
-    staged = build_staging(raw)
-    names = build_core(tables, raw, F.current_timestamp() if now is None else now)
-    build_marts(tables, unbuilt(tables, names), full)
-    mark_built(tables, names)
-    stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]
-    built = {**staged, **{name: tables.read(name) for name in stored}, **build_views(tables)}
-    return run_checks(declared_checks(built), fail)
+    return run_checks(declared_checks(build_all(tables, raw, calendar, now, full)), fail)
