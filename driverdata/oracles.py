@@ -3,6 +3,7 @@
 from driverdata.domain import LABEL_CATEGORIES, LABELS
 from mediamart.operators.text import RETRY_ANSWER, RETRY_ERROR, RETRY_REQUEST
 from mediamart.plans import reporting
+from mediamart.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, UNIQUE
 from mediamart.sources.taxonomy import CATEGORY_ROWS, SUBCATEGORY_ROWS
 
 
@@ -446,3 +447,39 @@ ORACLES = {
 
 ORACLES["o1_sorted_chapters"] = ORACLES["m6_fact_video_chapters"]
 ORACLES["a7_events_in_row"] = ORACLES["a7_events_payload"]
+
+
+def _report() -> str:
+    """Every declared check of four core tables, counted in SQL."""
+    shapes = {
+        "core_channels": "(SELECT *, 1 AS created_at FROM chan)",
+        "core_videos": "(SELECT *, 1 AS created_at FROM videos)",
+        "core_transcript_segments": "core_seg",
+        "core_chapters": "core_chap",
+    }
+    row = "SELECT '{}' AS \"check\", '{}' AS \"table\", {} AS failures".format
+    checks = []
+    for table, shape in shapes.items():
+        keys = PRIMARY_KEYS[table]
+        null_key = " OR ".join(f"{k} IS NULL" for k in keys)
+        checks.append(row("contract", table, 0))
+        groups = f"SELECT {null_key} AS bad, count(*) AS n FROM {shape} GROUP BY {', '.join(keys)}"
+        bad = f"(SELECT CAST(coalesce(sum(CASE WHEN bad THEN n WHEN n > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) FROM ({groups}))"
+        checks.append(row(f"primary_key({', '.join(keys)})", table, bad))
+        for column in NOT_NULL[table]:
+            checks.append(row(f"not_null({column})", table, f"(SELECT count(*) FROM {shape} WHERE {column} IS NULL)"))
+        for columns, parent, parent_columns in FOREIGN_KEYS.get(table, []):
+            if parent in shapes:
+                same = " AND ".join(f"p.{p} = c.{c}" for c, p in zip(columns, parent_columns))
+                known = " AND ".join(f"c.{c} IS NOT NULL" for c in columns)
+                orphans = f"SELECT count(*) FROM {shape} c WHERE {known} AND NOT EXISTS (SELECT 1 FROM {shapes[parent]} p WHERE {same})"
+                checks.append(row(f"foreign_key({', '.join(columns)} -> {parent})", table, f"({orphans})"))
+    unique = UNIQUE["stg_chapters"]
+    repeated = "SELECT 1 FROM chap WHERE finished GROUP BY video_id, id, end_id HAVING count(*) > 1"
+    checks.append(row(f"unique({', '.join(unique)})", "stg_chapters", f"(SELECT count(*) FROM ({repeated}))"))
+    counts = "abs((SELECT count(*) FROM core_chap) - (SELECT count(*) FROM chap WHERE finished))"
+    checks.append(row("equal_rowcount(stg_chapters)", "core_chapters", counts))
+    return full(VIDEOS, PEOPLE, CORE_SEGMENTS, CORE_CHAPTERS) + " UNION ALL ".join(checks)
+
+
+ORACLES["q8_report"] = _report()

@@ -81,8 +81,9 @@ def gap_clusters(
     ).filter("_t is not null")
 
     in_bucket = Window.partitionBy(*keys, "_bucket").orderBy("_t")
+    last = bucketed.withColumn("_last", F.lead("_t").over(in_bucket).isNull())
     pieces = (
-        _run_numbers(bucketed, in_bucket, F.col("_t"), F.col("_t"), max_gap)
+        _run_numbers(last, in_bucket, F.col("_t"), F.col("_t"), max_gap)
         .groupBy(*keys, "_bucket", "_run")
         .agg(
             F.min("_t").alias("start"),
@@ -90,12 +91,12 @@ def gap_clusters(
             F.count("*").alias("points"),
             F.sum(exact_decimal(F.col("_c"))).alias("total"),
             F.max("_c").alias("max_confidence"),
+            F.max("_last").alias("_last"),
         )
     )
 
-    by_piece = Window.partitionBy(*keys, "_bucket").orderBy("_run")
-    at_edge = (F.col("_run") == 0) | F.lead("_run").over(by_piece).isNull()
-    lanes = pieces.withColumn("_lane", F.when(~at_edge, F.col("_bucket"))).drop("_run", "_bucket")
+    at_edge = (F.col("_run") == 0) | F.col("_last")
+    lanes = pieces.withColumn("_lane", F.when(~at_edge, F.col("_bucket"))).drop("_run", "_bucket", "_last")
 
     in_lane = Window.partitionBy(*keys, "_lane").orderBy("start")
     return (
