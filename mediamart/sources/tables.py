@@ -137,11 +137,19 @@ class Tables:
     def upsert(
         self, name: str, updates: DataFrame, keys: list[str], sort: list[str] | None = None
     ) -> DataFrame:
-        """Replace the rows with the keys of ``updates`` and keep all others."""
+        """Replace the rows with the keys of ``updates`` and keep all others.
+
+        The updates are stored first: they are computed once although they are read twice, and
+        with their size known Spark can broadcast their keys, so that the table itself is only
+        copied.  Without any update the table stays as it is.
+        """
         current = self.read(name)
-        if current is not None and name in CONTRACTS:
+        if current is None:
+            return self.replace(name, updates, sort)
+        if name in CONTRACTS:
             updates = conform(updates, CONTRACTS[name])
-        return self.replace(name, upsert(current, updates, keys), sort)
+        batch = self.replace(f"stg_batch_{name}", updates)
+        return current if batch.isEmpty() else self.replace(name, upsert(current, batch, keys), sort)
 
     @staticmethod
     def view(name: str, df: DataFrame) -> DataFrame:

@@ -31,6 +31,9 @@ def test_loads(spark, tables):
     assert tuples(tables.read("notes")) == [("a", 2), ("b", 3)]
     tables.upsert("notes", spark.createDataFrame([("b", 9)], "id string, v int"), ["id"])
     assert tuples(tables.read("notes")) == [("a", 2), ("b", 9)]
+    loads = tables.loads("notes")
+    tables.upsert("notes", spark.createDataFrame([], "id string, v int"), ["id"])
+    assert tables.loads("notes") == loads  # nothing to do
 
 
 def test_unfinished_load_does_not_count(spark, tables):
