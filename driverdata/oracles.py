@@ -446,6 +446,7 @@ ORACLES = {
 }
 
 ORACLES["o1_sorted_chapters"] = ORACLES["m6_fact_video_chapters"]
+ORACLES["s11_incremental_build"] = ORACLES["m6_fact_video_chapters"]
 ORACLES["a7_events_in_row"] = ORACLES["a7_events_payload"]
 
 

@@ -1,5 +1,6 @@
 """One query per operator, each over whole driver tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,9 @@ from driverdata import domain as D
 from mediamart.functions import dates, json, numbers
 from mediamart.functions.arrays import let
 from mediamart.operators import detections, enrich, ingest, joins, quality, text, windows
-from mediamart.plans import core, marts, reporting, staging
+from mediamart.plans import build, core, marts, reporting, staging
 from mediamart.schemas import CONTRACTS, struct
+from mediamart.session import shared_folder
 from mediamart.sources import taxonomy
 from mediamart.sources.calendar import calendar_between
 from mediamart.sources.tables import Tables, check_contract, conform, union_evolving, upsert
@@ -218,6 +220,18 @@ def s11_incremental_switch(spark, sf):
     return first.unionByName(load(suppliers).withColumn("run", F.lit("second")))
 
 
+@query
+def s11_incremental_build(spark, sf):
+    """All models on stored tables in two runs, first the labelled videos and then all of them;
+    the chapters fact holds the same rows as after a single run."""
+    tables = Tables(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/build-{uuid.uuid4().hex}")
+    raw, days = D.raw_videos(spark, sf), D.dim_date(spark)
+    labelled = D.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
+    build.build_all(tables, raw.join(labelled, "video_id", "left_semi"), days, now())
+    build.build_all(tables, raw, days, now())
+    return tables.read("fact_video_chapters")
+
+
 @query
 def s12_artefact_json(spark, sf):
     """Struct and map artefacts serialised to JSON text."""

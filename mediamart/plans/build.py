@@ -1,6 +1,10 @@
 """Build order of all models on stored tables."""
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mediamart.operators.ingest import FINISHED
@@ -18,9 +22,25 @@ FACT_INPUTS = {
     "fact_video_metrics": ["core_videos", "core_videos_meta", "core_sound_features"],
 }
 
+DIMENSIONS = {
+    "dim_channels": "core_channels",
+    "dim_playlists": "core_playlists",
+    "dim_videos": "core_videos",
+    "dim_category": "core_categories",
+    "dim_subcategory": "core_subcategories",
+}
+
 FACT_ORDER = {"fact_video_chapters": ["video_id", "start_s"]}
 
 
+def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> None:
+    """Run independent jobs at the same time, so that small ones do not wait for large ones;
+    the first error is raised after all have ended."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]:
+            running.result()
+
+
 def build_staging(raw: DataFrame) -> dict[str, DataFrame]:
     """Staging views; nothing is computed."""
     return {name: Tables.view(name, model(raw)) for name, model in STAGING.items()}
@@ -44,21 +64,23 @@ def build_core(tables: Tables, raw: DataFrame, now: Column) -> list[str]:
     """Append the new rows to each core table; returns the names of the tables."""
     tables.replace("core_categories", taxonomy.categories(tables.spark))
     topics = tables.replace("core_subcategories", taxonomy.subcategories(tables.spark))
-    old = tables.read
-    new = {
-        "core_channels": core.core_channels(raw, now, old("core_channels")),
-        "core_playlists": core.core_playlists(raw, now, old("core_playlists")),
-        "core_videos": core.core_videos(new_videos(tables, raw, "core_videos"), now),
-        "core_videos_meta": core.core_videos_meta(raw, old("core_videos_meta")),
-        "core_transcript_segments": core.core_transcript_segments(
-            new_videos(tables, raw, "core_transcript_segments")
-        ),
-        "core_sound_features": core.core_sound_features(new_videos(tables, raw, "core_sound_features")),
-        "core_chapters": core.core_chapters(new_videos(tables, raw, "core_chapters"), topics),
+    new: dict[str, Callable[[DataFrame], DataFrame]] = {
+        "core_videos": lambda rows: core.core_videos(rows, now),
+        "core_transcript_segments": core.core_transcript_segments,
+        "core_sound_features": core.core_sound_features,
+        "core_chapters": lambda rows: core.core_chapters(rows, topics),
     }
-    for name, rows in new.items():
-        tables.append(name, rows)
-    return list(new)
+    other = {
+        "core_channels": lambda old: core.core_channels(raw, now, old),
+        "core_playlists": lambda old: core.core_playlists(raw, now, old),
+        "core_videos_meta": lambda old: core.core_videos_meta(raw, old),
+    }
+    side_by_side(
+        tables.spark,
+        *[lambda n=n, model=m: tables.append(n, model(new_videos(tables, raw, n))) for n, m in new.items()],
+        *[lambda n=n, model=m: tables.append(n, model(tables.read(n))) for n, m in other.items()],
+    )
+    return [*new, *other]
 
 
 def unbuilt(tables: Tables, names: list[str]) -> dict[str, DataFrame]:
@@ -77,65 +99,62 @@ def mark_built(tables: Tables, names: list[str]) -> None:
     tables.replace("process_builds", tables.spark.createDataFrame(rows, "table string, number int"))
 
 
-def _of_videos(df: DataFrame, ids: DataFrame | None) -> DataFrame:
-    return df if ids is None else df.join(ids, "video_id", "left_semi")
-
+def fact_rows(read: Callable[[str], DataFrame], fact: str, ids: DataFrame | None) -> DataFrame:
+    """Rows of one fact; ``ids`` limits them to the videos it names (None for all)."""
 
-def facts(read, ids: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
-    """The three facts; ``ids`` limits each to the videos it names (None for all)."""
+    def of_videos(name: str) -> DataFrame:
+        return read(name) if ids is None else read(name).join(ids, "video_id", "left_semi")
 
-    def limited(fact: str, name: str) -> DataFrame:
-        return _of_videos(read(name), ids[fact])
-
-    return {
-        "fact_video_chapters": marts.fact_video_chapters(
-            limited("fact_video_chapters", "core_chapters"),
+    if fact == "fact_video_chapters":
+        return marts.fact_video_chapters(
+            of_videos("core_chapters"),
             read("core_subcategories"),
-            limited("fact_video_chapters", "core_transcript_segments"),
-            limited("fact_video_chapters", "core_sound_features"),
-            limited("fact_video_chapters", "core_videos"),
-            read("dim_date"),
-        ),
-        "fact_video_daily_snapshot": marts.fact_video_daily_snapshot(
-            limited("fact_video_daily_snapshot", "core_videos_meta"),
-            limited("fact_video_daily_snapshot", "core_videos"),
-            read("dim_date"),
-        ),
-        "fact_video_metrics": marts.fact_video_metrics(
-            limited("fact_video_metrics", "core_videos"),
-            limited("fact_video_metrics", "core_videos_meta"),
-            limited("fact_video_metrics", "core_sound_features"),
+            of_videos("core_transcript_segments"),
+            of_videos("core_sound_features"),
+            of_videos("core_videos"),
             read("dim_date"),
-        ),
-    }
+        )
+    if fact == "fact_video_daily_snapshot":
+        return marts.fact_video_daily_snapshot(
+            of_videos("core_videos_meta"), of_videos("core_videos"), read("dim_date")
+        )
+    return marts.fact_video_metrics(
+        of_videos("core_videos"),
+        of_videos("core_videos_meta"),
+        of_videos("core_sound_features"),
+        read("dim_date"),
+    )
 
 
 def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False) -> None:
     """Upsert dimensions and facts.
 
     A fact row depends on the rows of its own video only, so a fact that exists is recomputed
-    just for the videos that got new core rows.  ``full`` recomputes everything, which is
+    just for the videos that got new core rows; their ids are stored once, so their number is
+    known when the core tables are cut down to them.  ``full`` recomputes everything, which is
     needed when the calendar or the taxonomy has changed.
     """
     read = tables.read
-    rebuild = {"dim_category": "core_categories", "dim_subcategory": "core_subcategories"}
-    for dim, source in rebuild.items():
-        tables.upsert(dim, marts.dimension(read(source), dim), UPSERT_KEYS[dim])
-    for dim in ("dim_channels", "dim_playlists", "dim_videos"):
-        source = dim.replace("dim", "core")
-        rows = read(source) if full or not tables.exists(dim) else added[source]
+
+    def load_dimension(dim: str) -> None:
+        source = DIMENSIONS[dim]
+        rows = read(source) if full or source not in added or not tables.exists(dim) else added[source]
         tables.upsert(dim, marts.dimension(rows, dim), UPSERT_KEYS[dim])
 
-    ids: dict[str, DataFrame | None] = {}
-    for fact, sources in FACT_INPUTS.items():
-        ids[fact] = None
+    def load_fact(fact: str) -> None:
+        ids = None
         if tables.exists(fact) and not full:
-            touched = added[sources[0]].select("video_id")
-            for source in sources[1:]:
+            touched = added[FACT_INPUTS[fact][0]].select("video_id")
+            for source in FACT_INPUTS[fact][1:]:
                 touched = touched.unionByName(added[source].select("video_id"))
-            ids[fact] = touched.distinct()
-    for fact, rows in facts(read, ids).items():
-        tables.upsert(fact, rows, UPSERT_KEYS[fact], FACT_ORDER.get(fact))
+            ids = tables.replace(f"stg_touched_{fact}", touched.distinct())
+        tables.upsert(fact, fact_rows(read, fact, ids), UPSERT_KEYS[fact], FACT_ORDER.get(fact))
+
+    side_by_side(
+        tables.spark,
+        *[lambda d=d: load_dimension(d) for d in DIMENSIONS],
+        *[lambda f=f: load_fact(f) for f in FACT_INPUTS],
+    )
 
 
 def build_views(tables: Tables) -> dict[str, DataFrame]:

@@ -123,8 +123,9 @@ class Tables:
         if sort:
             df = df.sortWithinPartitions(*sort)
         number = self.last_number(name) + 1
-        df.write.mode("overwrite").parquet(f"{self.folder(name)}/load={number:08d}-{kind}")
-        return self.read(name)
+        path = f"{self.folder(name)}/load={number:08d}-{kind}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path) if kind == "full" else self.read(name)
 
     def replace(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
         """Full rebuild.  ``df`` may read the table itself: the old loads stay in place."""
