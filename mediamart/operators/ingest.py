@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.functions.json import non_empty, parse
+from mediamart.functions.json import entries, non_empty
 from mediamart.operators.windows import dedupe_first
-from mediamart.schemas import ARTEFACTS, META, RAW
+from mediamart.schemas import ARTEFACTS, META_KEYS, RAW
 
 # Where playlists are fetched from and the suffix of stored audio.
 PLAYLIST_URL = "https://www.youtube.com/playlist?list="
@@ -32,8 +32,7 @@ def flatten_playlists(playlists: DataFrame) -> DataFrame:
 
 def project_meta(fields: dict[str, Column]) -> Column:
     """Metadata JSON with the five declared keys, as far as they are present."""
-    names = [part.split()[0] for part in META.split(", ")]
-    return F.to_json(F.struct(*[fields[n].alias(n) for n in names if n in fields]))
+    return F.to_json(F.struct(*[fields[key].alias(key) for key in META_KEYS if key in fields]))
 
 
 def insert_absent(
@@ -102,15 +101,16 @@ def stamp_changes(
     now: Column,
     key: str = "video_id",
     json_column: str = "video_meta_json",
-    schema: str = META,
     stamp: str = "meta_updated_at",
 ) -> DataFrame:
-    """Rows of ``new`` with the stamp set to ``now`` where the parsed metadata differs from the
-    stored one.  Key order and spacing do not count; rows not stored before are not stamped."""
+    """Rows of ``new`` with the stamp set to ``now`` where the metadata differs from the stored
+    one, compared member by member: key order and spacing do not count, a member that is null
+    differs from one that is absent.  Rows not stored before are not stamped."""
     before = old.select(
         key, F.col(json_column).alias("_old"), F.col(stamp).alias("_stamp"), F.lit(True).alias("_known")
     )
-    same = parse(F.col("_old"), schema).eqNullSafe(parse(F.col(json_column), schema))
+    members = lambda c: F.array_sort(entries(F.col(c), "string"))
+    same = members("_old").eqNullSafe(members(json_column))
     return (
         new.join(before, key, "left")
         .withColumn(

@@ -12,10 +12,26 @@ def _slots(start: Column, end: Column, width: float) -> Column:
 
 def spread_ranges(ranges: DataFrame, start: str, end: str, width: float) -> DataFrame:
     """One row per (range, time slot it touches), in column ``_slot``; a range that touches
-    none keeps one row with a NULL slot."""
+    none keeps one row with a NULL slot.
+
+    A range becomes length / width rows.  Chapters are bounded by their video, whose duration
+    is a SMALLINT of seconds, so with 300 s slots a chapter touches 110 of them at most.
+    """
     return ranges.withColumn("_slot", F.explode_outer(_slots(F.col(start), F.col(end), width)))
 
 
+def _sides(
+    ranges: DataFrame, points: DataFrame, keys: list[str], t: str, start: str, end: str, width: float
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Ranges ``r`` and points ``p`` with their slots, and the condition that joins them."""
+    spread = spread_ranges(ranges, start, end, width).alias("r")
+    slotted = points.withColumn("_slot", F.floor(F.col(t) / width)).alias("p")
+    same = F.col("r._slot") == F.col("p._slot")
+    for key in keys:
+        same = same & (F.col(f"r.{key}") == F.col(f"p.{key}"))
+    return spread, slotted, same & F.col(f"p.{t}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))
+
+
 def points_in_ranges(
     ranges: DataFrame,
     points: DataFrame,
@@ -32,14 +48,13 @@ def points_in_ranges(
     is spread over as many tasks as it has slots, and a point is only compared with ranges
     that touch its slot.  ``how="left"`` keeps ranges without any point.
     """
-    slotted = points.withColumn("_slot", F.floor(F.col(t) / width))
-    spread = spread_ranges(ranges, start, end, width)
-    inside = F.col(t).between(F.col(start), F.col(end))
-    matches = spread.join(slotted, [*keys, "_slot"]).filter(inside).drop("_slot")
+    spread, slotted, inside = _sides(ranges, points, keys, t, start, end, width)
+    own = [F.col(f"p.{c}") for c in points.columns if c not in keys]
+    matches = spread.join(slotted, inside).select(*[F.col(f"r.{c}") for c in ranges.columns], *own)
     if how == "inner":
         return matches
     bounds = [*keys, start, end]
-    hit = matches.select(*bounds).distinct()
+    hit = spread.join(slotted, inside, "left_semi").select(*bounds).distinct()
     empty = ranges.join(hit, bounds, "left_anti")
     return matches.unionByName(empty, allowMissingColumns=True)
 
@@ -60,14 +75,9 @@ def sum_in_ranges(
     A left join over the slots followed by one grouping: a slot without points adds NULLs,
     which aggregates ignore, so ranges without points keep a NULL total.
     """
-    spread = spread_ranges(ranges, start, end, width).alias("r")
-    p = points.withColumn("_slot", F.floor(F.col(t) / width)).alias("p")
-    same = F.col("r._slot") == F.col("p._slot")
-    for key in keys:
-        same = same & (F.col(f"r.{key}") == F.col(f"p.{key}"))
-    inside = F.col(f"p.{t}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))
+    spread, slotted, inside = _sides(ranges, points, keys, t, start, end, width)
     return (
-        spread.join(p, same & inside, "left")
+        spread.join(slotted, inside, "left")
         .groupBy(*[F.col(f"r.{c}") for c in ranges.columns])
         .agg(total.alias(name))
     )

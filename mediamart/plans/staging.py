@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from mediamart.functions.json import compact_date, entries, number, parse, records
 from mediamart.operators.ingest import FINISHED
-from mediamart.schemas import CHAPTER_FIELDS, CLASSIFICATION_FIELDS, EVENT_FIELDS, META_TEXT, SEGMENT_FIELDS
+from mediamart.schemas import CHAPTER_FIELDS, CLASSIFICATION_FIELDS, EVENT_FIELDS, META_FIELDS, SEGMENT_FIELDS
 
 
 def _finished(raw: DataFrame) -> DataFrame:
@@ -64,7 +64,7 @@ def valid_event() -> Column:
 
 
 def stg_videos_base(raw: DataFrame) -> DataFrame:
-    meta = parse(F.col("video_meta_json"), META_TEXT)
+    meta = parse(F.col("video_meta_json"), META_FIELDS)
     return _finished(raw).withColumn("meta", meta).select(
         "video_id",
         "channel_id",

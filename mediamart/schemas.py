@@ -48,8 +48,8 @@ PLAYLISTS = (
     "entries array<struct<id: string, title: string, url: string, channel_id: string, channel: string>>"
 )
 
-META = "duration int, like_count int, view_count int, comment_count int, upload_date string"
-META_TEXT = ", ".join(part.split()[0] + " string" for part in META.split(", "))
+META_KEYS = ["duration", "like_count", "view_count", "comment_count", "upload_date"]
+META_FIELDS = ", ".join(f"{key} string" for key in META_KEYS)
 SEGMENT_FIELDS = "text: string, start: string, end: string"
 CHAPTER_FIELDS = "id: string, end_id: string, theme: string, summary: string"
 CLASSIFICATION_FIELDS = "id: string, main_category: string, subcategory: string, reason: string"

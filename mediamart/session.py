@@ -1,8 +1,8 @@
-"""Session settings the operators rely on, and lineage cutting."""
+"""Session settings the operators rely on, and the folder shared by all executors."""
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # AQE splits the hot partitions of joins at run time; forcing it keeps the split even when the
 # join is followed by another exchange.  Casts must be ANSI, so that bad text fails, and of a
@@ -41,8 +41,3 @@ def shared_folder(spark: SparkSession) -> str:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="mediamart-checkpoint-"))
     return context.getCheckpointDir()
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df``: computed once, kept outside the executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()

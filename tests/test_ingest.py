@@ -52,7 +52,9 @@ def test_stamp_moves_only_on_change(spark):
     old_stamp = dt.datetime(2024, 1, 1)
     columns = "video_id string, video_meta_json string, meta_updated_at timestamp"
     old = spark.createDataFrame(
-        [(v, '{"duration":1,"view_count":2}', old_stamp) for v in "abc"] + [("d", None, None)], columns
+        [(v, '{"duration":1,"view_count":2}', old_stamp) for v in "abc"]
+        + [("d", None, None), ("e", '{"duration":1}', old_stamp)],
+        columns,
     )
     new = spark.createDataFrame(
         [
@@ -61,11 +63,12 @@ def test_stamp_moves_only_on_change(spark):
             ("c", None, None),
             ("d", '{"duration":1}', None),
             ("new", '{"duration":1}', None),
+            ("e", '{"duration":1,"view_count":null}', None),
         ],
         columns,
     )
     got = dict(tuples(ingest.stamp_changes(old, new, now()), "video_id", "meta_updated_at"))
-    assert got == {"a": old_stamp, "b": NOW, "c": NOW, "d": NOW, "new": None}
+    assert got == {"a": old_stamp, "b": NOW, "c": NOW, "d": NOW, "new": None, "e": NOW}
 
 
 def test_status_needs_all_six_artefacts(spark):
