@@ -217,7 +217,7 @@ ORACLES = {
         CASE WHEN new.o_orderkey IS NOT NULL THEN p ELSE o.o_orderpriority END AS o_orderpriority
         FROM orders o LEFT JOIN new USING (o_orderkey)""",
     "r8_change_stamp": """SELECT CAST(o_orderkey AS VARCHAR) AS video_id,
-        CASE WHEN o_orderkey % 10 = 7 THEN NULL WHEN o_orderstatus = 'O' THEN DATE '2030-01-01'
+        CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'O' THEN DATE '2030-01-01'
         ELSE CAST(o_orderdate AS DATE) END AS stamped_on FROM orders""",
     "r9_default_created": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE)
         ELSE DATE '2030-01-01' END AS created_on FROM orders""",

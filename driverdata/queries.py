@@ -335,11 +335,12 @@ def r7_update_column(spark, sf):
 
 @query
 def r8_change_stamp(spark, sf):
-    """Every stored row comes again with its keys in another order; open orders also changed."""
+    """Every stored row comes again with its keys in another order; open orders also changed,
+    and partial ones are not stored yet."""
     o = D.table(spark, sf, "orders")
     day = F.date_format("o_orderdate", "yyyyMMdd")
     views = F.floor("o_totalprice")
-    old = o.select(
+    old = o.filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").cast("string").alias("video_id"),
         F.to_json(F.struct(views.alias("view_count"), day.alias("upload_date"))).alias("video_meta_json"),
         F.col("o_orderdate").cast("date").cast("timestamp").alias("meta_updated_at"),
@@ -350,7 +351,7 @@ def r8_change_stamp(spark, sf):
         F.to_json(F.struct(day.alias("upload_date"), seen.alias("view_count"))).alias("video_meta_json"),
         F.lit(None).cast("timestamp").alias("meta_updated_at"),
     )
-    stamped = ingest.stamp_changes(old.filter("video_id not like '%7'"), new, now())
+    stamped = ingest.stamp_changes(old, new, now())
     return stamped.select("video_id", F.to_date("meta_updated_at").alias("stamped_on"))
 
 
