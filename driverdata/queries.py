@@ -810,8 +810,7 @@ def c8_chapters_per_category(spark, sf):
     used = d.core_chapters().groupBy("subcategory_id").agg(F.count("*").alias("n"))
     labels = d.core_subcategories.join(F.broadcast(d.core_categories), "category_id")
     return (
-        F.broadcast(labels)
-        .join(used, "subcategory_id", "left")
+        labels.join(used, "subcategory_id", "left")
         .groupBy("category_id", "main_category")
         .agg(F.count("*").alias("subcategories"), F.coalesce(F.sum("n"), F.lit(0)).alias("chapters"))
     )

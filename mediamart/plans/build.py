@@ -186,7 +186,8 @@ def build_all(
     build_marts(tables, unbuilt(tables, names), full)
     mark_built(tables, names)
     stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]
-    return {**staged, **{name: tables.read(name) for name in stored}, **build_views(tables)}
+    built = {name: tables.read(name) for name in stored}
+    return {"process_video": raw, **staged, **built, **build_views(tables)}
 
 
 def run(

@@ -152,6 +152,23 @@ class Tables:
         batch = self.replace(f"stg_batch_{name}", updates)
         return current if batch.isEmpty() else self.replace(name, upsert(current, batch, keys), sort)
 
+    def expire(self, name: str) -> list[str]:
+        """Delete the loads that no longer make up the table, and return their paths.
+
+        Every full load leaves its predecessors in place for those who still read them; call
+        this when nobody does.
+        """
+        jvm = self.spark.sparkContext._jvm
+        current = self.loads(name)
+        oldest = load_number(current[0]) if current else 0
+        folder = jvm.org.apache.hadoop.fs.Path(self.folder(name))
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        found = [status.getPath() for status in fs.listStatus(folder)] if fs.exists(folder) else []
+        outdated = [path for path in found if load_number(path.toString()) < oldest]
+        for path in outdated:
+            fs.delete(path, True)
+        return sorted(path.toString() for path in outdated)
+
     @staticmethod
     def view(name: str, df: DataFrame) -> DataFrame:
         """Register ``df`` as a view; nothing is computed or stored."""

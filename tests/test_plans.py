@@ -134,3 +134,18 @@ def test_hot_key_join_is_split_at_run_time(no_broadcast):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_hot_video_is_spread_over_tasks(spark):
+    """Nine tenths of the points belong to one video; by (video, bucket) no task gets most."""
+    points = spark.range(200000).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise(F.col("id").cast("string")).alias("video_id"),
+        (F.col("id") / 20.0).alias("t"),
+    )
+
+    def largest_share(*keys):
+        placed = points.repartition(8, *keys).groupBy(F.spark_partition_id()).count()
+        return placed.agg(F.max("count") / F.sum("count")).first()[0]
+
+    assert largest_share("video_id") > 0.8
+    assert largest_share("video_id", F.floor(F.col("t") / 600.0)) < 0.4

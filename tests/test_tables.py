@@ -36,6 +36,18 @@ def test_loads(spark, tables):
     assert tables.loads("notes") == loads  # nothing to do
 
 
+def test_expire_deletes_only_replaced_loads(spark, tables):
+    rows = spark.createDataFrame([("a", 1)], "id string, v int")
+    assert tables.expire("notes") == []
+    tables.append("notes", rows)
+    tables.append("notes", rows)
+    assert tables.expire("notes") == []
+    tables.replace("notes", rows)
+    tables.append("notes", rows)
+    assert len(tables.expire("notes")) == 2
+    assert tables.read("notes").count() == 2 and tables.last_number("notes") == 4
+
+
 def test_unfinished_load_does_not_count(spark, tables):
     tables.append("notes", spark.createDataFrame([("a", 1)], "id string, v int"))
     half = f"{tables.folder('notes')}/load=00000002-part"
