@@ -1,12 +1,10 @@
 """Session settings the operators rely on, and the folder shared by all executors."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # AQE splits the hot partitions of joins at run time; forcing it keeps the split even when the
 # join is followed by another exchange.  Casts must be ANSI, so that bad text fails, and of a
-# repeated JSON key the last one counts.
+# repeated JSON key the last one counts.  Timestamps become dates by the UTC day.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -14,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -32,12 +31,9 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the cluster names; a local one only where none is named (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="mediamart-checkpoint-"))
-    return context.getCheckpointDir()
-
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or the checkpoint
+    folder set on the context."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return named

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from mediamart.session import configure  # noqa: E402
+from driverdata.session import prepare  # noqa: E402
 from mediamart.sources.tables import Tables  # noqa: E402
 
 
@@ -23,7 +23,7 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
+    yield prepare(session)
     session.stop()
 
 
