@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverdata.session import prepare
-from mediamart.llm import toxicity
-from mediamart.llm.common import store, table
+from mediamart.llm import exact, near, toxicity
+from mediamart.llm.common import keep_rows, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,7 +22,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(toxicity.scored(model) < 0.7)
 
 
-STAGES: list[tuple[str, Stage]] = [("toxicity", drop_toxic)]
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    prepare(spark)
+    return keep_rows(docs, exact.assign(docs).filter("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    prepare(spark)
+    return keep_rows(docs, near.group(docs).filter("kept"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+]
 
 ORACLE_SQL = None
 

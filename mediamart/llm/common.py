@@ -78,3 +78,17 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     for k in range(size):
         out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : n - size + 1 + k]
     return mixed(out + np.uint64(size))
+
+
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Names a row by its id and whole text, for tables whose ids may be null or repeat."""
+    return F.sha2(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit("\n"), text_of(text)), 256)
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``row_key`` is in ``keys``, each key once; all columns as they were.
+
+    The rows travel as one struct, so that no column name can clash.
+    """
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
+    return rows.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")

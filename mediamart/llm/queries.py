@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import toxicity
+from mediamart.llm import exact, near, toxicity
 from mediamart.llm.common import table
 
 
@@ -14,6 +14,27 @@ def fold(of: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % of
 
 
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.assign(table(spark, sf_dir, "documents"), hash_all=True).select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256")
+    )
+
+
+OP1_SQL = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.group(table(spark, sf_dir, "documents")).drop("row_key")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(fold(3) != 1).select("doc_id", F.col("toxic").alias("label")))
@@ -23,6 +44,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_toxicity": op9_toxicity}
+QUERIES = {
+    "op1_exact_dedup": op1_exact_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op9_toxicity": op9_toxicity,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_exact_dedup": OP1_SQL}
