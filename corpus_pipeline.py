@@ -5,12 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverdata.session import prepare
-from mediamart.llm import exact, near, toxicity
-from mediamart.llm.common import keep_rows, store, table
+from mediamart.llm import decontaminate, exact, near, packing, toxicity
+from mediamart.llm.common import drop_rows, keep_rows, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,10 +35,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return keep_rows(docs, near.group(docs).filter("kept"))
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    benchmark = table(prepare(spark), sf_dir, "benchmark")
+    return drop_rows(docs, decontaminate.leaks(docs, benchmark))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents left and their places in sequences of 2048 ids."""
+    prepare(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("packing", pack),
 ]
 
 ORACLE_SQL = None

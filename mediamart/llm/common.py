@@ -92,3 +92,9 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
     return rows.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``row_key`` is not in ``keys``; all columns as they were."""
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
+    return rows.join(keys.select("row_key").distinct(), "row_key", "left_anti").select("row.*")

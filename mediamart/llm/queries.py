@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import exact, near, toxicity
+from mediamart.llm import decontaminate, exact, near, packing, toxicity
 from mediamart.llm.common import table
 
 
@@ -35,6 +35,12 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.group(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(fold(3) != 1).select("doc_id", F.col("toxic").alias("label")))
@@ -44,10 +50,17 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_packing": op4_packing,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {"op1_exact_dedup": OP1_SQL}
