@@ -2,14 +2,15 @@
 
 Words become tokens: numbers, names (capitalised inside a sentence) and units (after a number) become
 typed placeholders and keep their value as a *slot*, all others are lower case without punctuation at
-their ends.  Every window of eight tokens of the benchmark is hashed; a Bloom filter of a fixed number
+their ends.  Every window of eight tokens of the benchmark is hashed, as a template and as it is written
+(a passage in other capitals has other names, but the same words); a Bloom filter of a fixed number
 of bits, sent to all tasks, passes over the documents' windows that no item has.  The windows left are
 hash-joined with the benchmark's.  Along one alignment of document and item the slots must map one to
 one, so a question whose numbers and names were exchanged is found, and a chance mix of values is not.
 
 A document leaks an item when at least 30 % of the item's windows match, or 13 windows.  Items of four to
-seven tokens are one window; shorter ones, and windows with fewer than four plain words, say too little
-and are not searched for.  Null and empty texts match nothing; null ids stay null.  Rows that repeat an
+seven tokens are one window; shorter ones, and templates with fewer than four plain words, say too
+little and are not searched for.  Null and empty texts match nothing; null ids stay null.  Rows that repeat an
 id are judged each by its own text.
 """
 
@@ -39,9 +40,15 @@ UNITS = frozenset(
 )
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*[%°]?")
 _ENDS = re.compile(r"^[\W_]+|[\W_]+$")
-_BREAK = ""  # stands for a line break among the words
+_BREAK = "\ue000"  # stands for a line break among the words
 CAPITAL, STOP, NUMBER, UNIT = 1, 2, 4, 8
-_PLACEHOLDERS = {kind: xxhash.xxh64_intdigest(kind) & ~0xF for kind in ("number", "name", "unit")}
+
+
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word) & (MASK ^ 0xF) or 16
+
+
+_PLACEHOLDERS = [_hash(f"<{kind}>") for kind in ("number", "name", "unit")]
 
 
 class _Words(dict):
@@ -55,11 +62,11 @@ class _Words(dict):
         if not core or word == _BREAK:
             value = marks
         elif _NUMBER.fullmatch(core):
-            value = _PLACEHOLDERS["number"] | marks | NUMBER
+            value = _hash(core) | marks | NUMBER
         else:
             low = core.lower()
-            marks |= CAPITAL * core[0].isupper() | UNIT * (low in UNITS)
-            value = (xxhash.xxh64_intdigest(low) & (MASK ^ 0xF) or 16) | marks
+            marks |= CAPITAL * (core[0].isupper() and core[1:] != core[1:].upper()) | UNIT * (low in UNITS)
+            value = _hash(low) | marks
         self[word] = value
         return value
 
@@ -70,38 +77,47 @@ def _known() -> _Words:
 
 
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """Token hashes, their kinds (0 plain, 1 number, 2 name, 3 unit), all words as written, and the
-    word number of each token."""
+    """Token hashes as written, their kinds (0 plain, 1 number, 2 name, 3 unit), all words as written,
+    and the word number of each token."""
     found = text.replace("\n", f" {_BREAK} ").split()
     value = np.fromiter(map(_known().__getitem__, found), np.uint64, len(found))
     marks = (value & np.uint64(15)).astype(np.uint8)
     value &= ~np.uint64(15)
     real = np.flatnonzero(value)
-    # a sentence starts where any word since the token before ends one
-    stops = np.cumsum((marks & STOP) > 0)
-    before = np.r_[-1, stops[real[:-1]] - ((marks[real[:-1]] & STOP) > 0)] if len(real) else stops[:0]
-    upto = np.r_[0, stops][real]  # stops before the token
-    starts = upto > before
+    # a token starts a sentence where a word since the token before, that token included, ends one
+    stops = np.r_[0, np.cumsum((marks & STOP) > 0)]
+    starts = np.r_[True, stops[real[1:]] > stops[real[:-1]]][: len(real)]
     marks, value = marks[real], value[real]
     number = (marks & NUMBER) > 0
     unit = ((marks & UNIT) > 0) & np.r_[False, number[:-1]][: len(real)]
-    name = ((marks & CAPITAL) > 0) & ~starts & ~number & ~unit
-    kind = number * 1 + name * 2 + unit * 3
-    value[name], value[unit] = np.uint64(_PLACEHOLDERS["name"]), np.uint64(_PLACEHOLDERS["unit"])
-    return value, kind.astype(np.uint8), found, real
+    name = ((marks & CAPITAL) > 0) & ~starts & ~unit
+    return value, (number * 1 + name * 2 + unit * 3).astype(np.uint8), found, real
 
 
-def windows(value: np.ndarray, kind: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the windows of ``width`` tokens with enough plain words."""
+def windows(value: np.ndarray, kind: np.ndarray, width: int) -> list[tuple[bool, np.ndarray, np.ndarray]]:
+    """(as written, places, hashes) of the windows of ``width`` tokens: as written all of them, as
+    templates those with a slot and enough plain words."""
     n = len(value) - width + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    out = np.full(n, width, np.uint64)
+        return []
+    slots = np.r_[0, np.cumsum(kind > 0)]
+    slots = slots[width:] - slots[:-width]
+    out = [(True, np.arange(n), _rolled(value, width, width))]
+    at = np.flatnonzero((slots > 0) & (slots <= width - LEAST))
+    if len(at):
+        template = value.copy()
+        for k, placeholder in enumerate(_PLACEHOLDERS, 1):
+            template[kind == k] = np.uint64(placeholder)
+        out.append((False, at, _rolled(template, width, width + 100)[at]))
+    return out
+
+
+def _rolled(value: np.ndarray, width: int, seed: int) -> np.ndarray:
+    n = len(value) - width + 1
+    out = np.full(n, seed, np.uint64)
     for k in range(width):
         out = out * np.uint64(0x9E3779B97F4A7C15) + value[k : n + k]
-    plain = np.r_[0, np.cumsum(kind == 0)]
-    at = np.flatnonzero(plain[width:] - plain[:-width] >= LEAST)
-    return at, mixed(out[at])
+    return mixed(out)
 
 
 def _slots(kind: np.ndarray, found: list[str], real: np.ndarray, at: int, width: int) -> list[str]:
@@ -109,7 +125,7 @@ def _slots(kind: np.ndarray, found: list[str], real: np.ndarray, at: int, width:
     return [f"{kind[k]} {_ENDS.sub('', found[real[k]]).lower()}" for k in range(at, at + width) if kind[k]]
 
 
-WINDOW = "hash long, place int, slots array<string>"
+WINDOW = "hash long, place int, written boolean, slots array<string>"
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -123,9 +139,11 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                 width = min(WIDTH, len(value))
                 if width < LEAST:
                     continue
-                at, hashes = windows(value, kind, width)
-                for a, h in zip(at, hashes.astype(np.int64)):
-                    rows.append((h, width, item_id, key, a, _slots(kind, found, real, a, width), len(at)))
+                total = len(value) - width + 1
+                for written, at, hashes in windows(value, kind, width):
+                    for a, h in zip(at, hashes.astype(np.int64)):
+                        slots = [] if written else _slots(kind, found, real, a, width)
+                        rows.append((h, width, item_id, key, a, slots, total))
             out = pd.DataFrame(
                 rows, columns=["hash", "width", "item_id", "item_key", "item_place", "item_slots", "item_windows"]
             )
@@ -179,11 +197,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.3, enough: int
             for key, doc_id, text in zip(df["row_key"], df["doc_id"].astype("Int64"), df["text"]):
                 value, kind, found, real = tokens(text)
                 for width in widths:
-                    at, hashes = windows(value, kind, width)
-                    hit = np.flatnonzero(_held(bits.value, hashes))
-                    for a, h in zip(at[hit], hashes[hit].astype(np.int64)):
-                        rows.append((key, doc_id, h, a, _slots(kind, found, real, a, width)))
-            out = pd.DataFrame(rows, columns=["row_key", "doc_id", "hash", "place", "slots"])
+                    for written, at, hashes in windows(value, kind, width):
+                        hit = np.flatnonzero(_held(bits.value, hashes))
+                        for a, h in zip(at[hit], hashes[hit].astype(np.int64)):
+                            slots = [] if written else _slots(kind, found, real, a, width)
+                            rows.append((key, doc_id, h, a, written, slots))
+            out = pd.DataFrame(rows, columns=["row_key", "doc_id", "hash", "place", "written", "slots"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
@@ -193,7 +212,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.3, enough: int
     pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))))
     aligned = (
         hits.join(items, "hash")
-        .groupBy("row_key", "doc_id", "item_key", "item_id", "item_windows", (F.col("place") - F.col("item_place")).alias("shift"))
+        .groupBy("row_key", "doc_id", "item_key", "item_id", "item_windows", "written", (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
         .filter(
             (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")))
