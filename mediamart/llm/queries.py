@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import decontaminate, exact, near, packing, toxicity
+from mediamart.llm import decontaminate, exact, near, packing, pii, toxicity
 from mediamart.llm.common import table
 
 
@@ -41,6 +41,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [
+        F.size(F.filter(F.col("base.kind"), pii.same(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.concat("base", "terms")).alias("spans"),
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(fold(3) != 1).select("doc_id", F.col("toxic").alias("label")))
@@ -59,6 +72,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_packing": op4_packing,
+    "op5_personal_data": op5_personal_data,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
