@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import decontaminate, exact, near, packing, pii, toxicity
+from mediamart.llm import decontaminate, exact, near, packing, pii, quality, toxicity
 from mediamart.llm.common import table
 
 
@@ -31,6 +31,15 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = labels.filter(fold(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    held = F.coalesce(fold(5) == 0, F.lit(False))
+    return quality.score(docs, learn).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.group(table(spark, sf_dir, "documents")).drop("row_key")
 
@@ -70,6 +79,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_packing": op4_packing,
     "op5_personal_data": op5_personal_data,
