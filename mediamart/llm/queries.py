@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import decontaminate, exact, near, packing, pii, quality, toxicity
+from mediamart.llm import decontaminate, exact, near, packing, pii, quality, token_counts, toxicity
 from mediamart.llm.common import table
 
 
@@ -63,6 +63,16 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as flat files of 16-bit ids, counted from the files alone.  ``file`` is the number of
+    the part file."""
+    import public_tokenizers
+
+    folder = token_counts.write_flat(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    found = token_counts.counts(token_counts.blocks(spark, folder, 2), 2, 2)
+    return found.withColumn("file", F.regexp_extract("file", "part-([0-9]+)", 1).cast("int"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(fold(3) != 1).select("doc_id", F.col("toxic").alias("label")))
@@ -83,6 +93,7 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_packing": op4_packing,
     "op5_personal_data": op5_personal_data,
+    "op6_token_counts": op6_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
