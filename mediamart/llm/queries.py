@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import decontaminate, exact, near, packing, pii, quality, token_counts, toxicity
+from mediamart.llm import decontaminate, exact, near, packing, pii, quality, token_counts, toxicity, warc
 from mediamart.llm.common import table
 
 
@@ -73,6 +73,78 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("file", F.regexp_extract("file", "part-([0-9]+)", 1).cast("int"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages as captures: each page is a full response, and its URL is visited again 100 to 149 ticks
+    later with the ETag of the page as it was; every tenth answer carries another one."""
+    digest = F.sha2(F.coalesce("html", F.lit("")), 256)
+    tag = F.concat(F.lit('"'), F.substring(digest, 1, 16), F.lit('"'))
+    hour = F.date_format(F.timestamp_seconds(F.col("page_id") * 60), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    first = F.struct(
+        (F.col("page_id") * 2).alias("record_id"),
+        (F.col("page_id") * 2).alias("time"),
+        F.lit("response").alias("kind"),
+        F.create_map(
+            F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Cache-Control"), F.lit("max-age=60"),
+            F.lit("Date"), hour,
+        ).alias("headers"),
+        digest.alias("payload_digest"),
+    )
+    again = F.struct(
+        (F.col("page_id") * 2 + 1).alias("record_id"),
+        ((F.col("page_id") + 100 + F.col("page_id") % 50) * 2 + 1).alias("time"),
+        F.lit("revisit").alias("kind"),
+        F.create_map(
+            F.lit("ETag"), F.when(F.col("page_id") % 10 == 0, F.concat(F.lit("W/"), F.reverse(tag))).otherwise(F.concat(F.lit("W/"), tag)),
+            F.lit("Content-Type"), F.lit("text/plain"), F.lit("Cache-Control"), F.lit("max-age=600"),
+        ).alias("headers"),
+        F.lit(None).cast("string").alias("payload_digest"),
+    )
+    return pages.select("url", F.explode(F.array(first, again)).alias("capture")).select("url", "capture.*")
+
+
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve(captures(table(spark, sf_dir, "pages")), window=4_096)
+    names = F.array_sort(F.map_keys("headers"))
+    line = F.array_join(F.transform(names, lambda k: F.concat(k, F.lit("="), F.col("headers")[k])), ";")
+    return found.select("record_id", "url_key", "response_id", "outcome", line.alias("headers"), "payload_digest")
+
+
+OP8_SQL = r"""
+WITH parts AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS digest,
+         regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare
+  FROM pages
+), keyed AS (
+  SELECT page_id, digest,
+         regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www[0-9]*\.|:(80|443)$', '', 'g')
+         || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+         || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS url_key
+  FROM (SELECT *, list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+          lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_[a-z]+|ref|fbclid|gclid|sessionid|phpsessid)(=|$)'))) AS kept
+        FROM parts)
+), responses AS (
+  SELECT page_id * 2 AS record_id, page_id * 2 AS time, url_key, digest,
+         '"' || left(digest, 16) || '"' AS tag,
+         strftime(make_timestamp(page_id * 60000000), '%Y-%m-%dT%H:%M:%SZ') AS date
+  FROM keyed
+), revisits AS (
+  SELECT page_id * 2 + 1 AS record_id, (page_id + 100 + page_id % 50) * 2 + 1 AS time, url_key,
+         'W/' || CASE WHEN page_id % 10 = 0 THEN reverse('"' || left(digest, 16) || '"')
+                      ELSE '"' || left(digest, 16) || '"' END AS tag
+  FROM keyed
+), matched AS (
+  SELECT v.record_id, v.url_key, r.record_id AS response_id, v.tag AS new_tag, r.tag, r.digest, r.date
+  FROM revisits v ASOF LEFT JOIN responses r ON v.url_key = r.url_key AND v.time >= r.time
+)
+SELECT record_id, url_key, response_id,
+       CASE WHEN response_id IS NULL THEN 'missing' WHEN 'W/' || tag = new_tag THEN 'resolved' ELSE 'changed' END AS outcome,
+       CASE WHEN 'W/' || tag = new_tag
+            THEN 'cache-control=max-age=600;content-type=text/html;date=' || date || ';etag=' || new_tag END AS headers,
+       CASE WHEN 'W/' || tag = new_tag THEN digest END AS payload_digest
+FROM matched
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.filter(fold(3) != 1).select("doc_id", F.col("toxic").alias("label")))
@@ -94,8 +166,9 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
+    "op8_revisits": op8_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLES = {"op1_exact_dedup": OP1_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op8_revisits": OP8_SQL}
