@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import decontaminate, exact, near, packing, pii, quality, token_counts, toxicity, warc
+from mediamart.llm import chat, decontaminate, exact, near, packing, pii, quality, token_counts, toxicity, warc
 from mediamart.llm.common import table
 
 
@@ -73,6 +73,51 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("file", F.regexp_extract("file", "part-([0-9]+)", 1).cast("int"))
 
 
+#: Tools of the derived calls, and what each lets through.
+TOOLS = {
+    "search": {
+        "type": "object",
+        "properties": {"query": {"type": "string", "minLength": 1, "maxLength": 1500}, "size": {"type": "integer", "maximum": 4000}},
+        "required": ["query", "size"],
+        "additionalProperties": False,
+    },
+    "count": {"type": "object", "properties": {"query": {"type": "string"}, "size": {"type": "integer", "minimum": 40}}, "required": ["query"]},
+    "note": {"type": "object", "properties": {"query": {"type": "string"}}, "additionalProperties": False},
+}
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as tool use: each assistant turn calls a tool with its text and needs the result of the call
+    before; a user turn is the result of the turn before, in every eleventh conversation of the turn after."""
+    conv, turn = F.col("conv_id"), F.col("turn")
+    name = lambda t: F.concat(conv.cast("string"), F.lit("-"), t.cast("string"))
+    text = F.coalesce("text", F.lit(""))
+    arguments = F.to_json(F.struct(F.length(text).alias("size"), text.alias("query")))
+    broken = (conv + turn) % 17 == 0
+    call = F.struct(
+        name(turn).alias("id"),
+        F.element_at(F.array(*map(F.lit, TOOLS)), (turn % 3 + 1).cast("int")).alias("name"),
+        F.when(broken, F.concat(arguments, F.lit(" and"))).otherwise(arguments).alias("arguments"),
+        F.when(turn >= 2, F.array(name(turn - 2))).otherwise(F.array().cast("array<string>")).alias("needs"),
+    )
+    answered = F.when(conv % 11 == 0, name(turn + 1)).when(turn >= 1, name(turn - 1))
+    return conversations.select(
+        "conv_id",
+        "turn",
+        "role",
+        "text",
+        F.when(F.col("role") == "assistant", F.array(call)).otherwise(F.array().cast(f"array<{chat.CALL}>")).alias("calls"),
+        F.when(F.col("role") == "user", answered).alias("result_of"),
+    )
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = chat.link(tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+    return chat.transcripts(linked).select(
+        "conv_id", "position", "turn", "kind", "call_id", "link", "cyclic", "valid", "fault", "json"
+    )
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Pages as captures: each page is a full response, and its URL is visited again 100 to 149 ticks
     later with the ETag of the page as it was; every tenth answer carries another one."""
@@ -166,6 +211,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
+    "op7_tool_calls": op7_tool_calls,
     "op8_revisits": op8_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
