@@ -6,7 +6,8 @@
 2. Order is topological: a result comes after its call, and a call after its message and after the results that
    it needs.  Turns that respect this stay in order; others move behind what they depend on.  A node's
    position is (largest turn among what it depends on, steps from there), found by relaxation, one join per step
-   that turns are out of order.  Nodes on a cycle are marked ``cyclic`` and keep their own turn.
+   that turns are out of order (a circle is known once its steps outnumber the conversation's moved nodes).  Where needs go in a circle, the node at which this shows is marked
+   ``cyclic``, keeps its own turn and needs nothing; the others follow from it.
 3. Arguments are parsed strictly and checked against the tool's schema.
 4. Each message, call and result is one line of canonical JSON: sorted keys, no spaces, no escapes
    that are not needed, whole floats as integers.
@@ -163,44 +164,45 @@ def ordered(made: DataFrame) -> DataFrame:
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(2**62)))
     at = made.select("node", turn.alias("turn"), F.col("place").cast("long").alias("place"))
     needs = store(edges(made), "chat-edges")
-    # only edges against the order of (turn, place) can move a node; the others hold as they are
-    # until what they lead to moves
     moved = store(at.select("node", F.col("turn").alias("base"), F.lit(0).cast("long").alias("depth")).limit(0), "chat-moved")
     old = at.select(F.col("node").alias("needs"), F.col("turn").alias("n_turn"), F.col("place").alias("n_place"))
     own = store(needs.join(at, "node").join(old, "needs"), "chat-own")
-    rounds, cyclic = 0, None
+    conversation = made.select("node", "conv_id")
+    cyclic = None
     while True:
         now = moved.select(F.col("node").alias("needs"), F.col("base").alias("n_base"), F.col("depth").alias("n_depth"))
-        mine = moved.select("node", "base", "depth")
         state = (
             own.join(now, "needs", "left")
-            .join(mine, "node", "left")
+            .join(moved, "node", "left")
             .withColumn("n_base", F.coalesce("n_base", "n_turn"))
             .withColumn("n_depth", F.coalesce("n_depth", F.lit(0)))
             .withColumn("base", F.coalesce("base", "turn"))
             .withColumn("depth", F.coalesce("depth", F.lit(0)))
         )
-        # held: behind what it needs already, by turn, depth or place in the message
-        held = (F.col("base") > F.col("n_base")) | (
-            (F.col("base") == F.col("n_base"))
-            & (
-                (F.col("depth") > F.col("n_depth"))
-                | ((F.col("depth") == F.col("n_depth")) & (F.col("n_turn") == F.col("turn")) & (F.col("n_place") < F.col("place")) & (F.col("n_place") == 0))
-            )
-        )
-        late = state.filter(~held).groupBy("node").agg(F.max(F.struct("n_base", (F.col("n_depth") + 1).alias("n_depth"))).alias("to"))
-        fresh = store(late.select("node", F.col("to.n_base").alias("base"), F.col("to.n_depth").alias("depth")), "chat-late")
-        n = fresh.count()
-        if not n:
+        # held: behind what it needs already, by turn, by depth, or a call by its place in its message
+        beside = (F.col("n_turn") == F.col("turn")) & (F.col("n_place") == 0) & (F.col("place") > 0)
+        held = F.struct("base", "depth") > F.struct("n_base", "n_depth")
+        held |= (F.struct("base", "depth") == F.struct("n_base", "n_depth")) & beside
+        late = state.filter(~held).groupBy("node").agg(F.max(F.struct("n_base", F.col("n_depth") + 1)).alias("to"))
+        fresh = store(late.select("node", F.col("to.n_base").alias("base"), F.col("to.col2").alias("depth")), "chat-late")
+        deepest = fresh.agg(F.max("depth")).first()[0]
+        if deepest is None:
             break
-        rounds += 1
-        changed = moved.join(fresh.select("node"), "node", "left_anti").unionByName(fresh)
-        moved = store(changed, "chat-moved")
-        # a path through n nodes has fewer than n steps: what is deeper goes round in a circle
-        if rounds > n + 1 and not fresh.filter(F.col("depth") <= n + 1).limit(1).count():
-            cyclic = fresh.select("node") if cyclic is None else cyclic.unionByName(fresh.select("node"))
-            own = store(own.join(fresh.select("node"), "node", "left_anti"), "chat-own")
-            moved = store(moved.join(fresh.select("node"), "node", "left_anti"), "chat-moved")
+        moved = store(moved.join(fresh.select("node"), "node", "left_anti").unionByName(fresh), "chat-moved")
+        if deepest > 2:
+            # steps from node to node of one conversation, more than it has moved nodes: a circle
+            nodes_moved = moved.join(conversation, "node").groupBy("conv_id").agg(F.count("*").alias("n"))
+            of_fresh = fresh.join(conversation, "node").alias("f")
+            round_ = store(
+                of_fresh.join(nodes_moved.alias("m"), F.col("f.conv_id").eqNullSafe(F.col("m.conv_id")))
+                .filter("f.depth > m.n")
+                .select("f.node"),
+                "chat-circle",
+            )
+            if round_.limit(1).count():
+                cyclic = round_ if cyclic is None else cyclic.unionByName(round_)
+                own = store(own.join(round_, "node", "left_anti"), "chat-own")
+                moved = store(moved.join(round_, "node", "left_anti"), "chat-moved")
     out = made.join(moved, "node", "left").withColumn("base", F.coalesce("base", turn)).withColumn("depth", F.coalesce("depth", F.lit(0)))
     if cyclic is None:
         return out.withColumn("cyclic", F.lit(False))

@@ -179,7 +179,7 @@ def fit(made: DataFrame, pooled: float = 0.2, ridge: float = 1e-3) -> Model:
     found = _moments(made.filter("back = 0"))
     if set(found) != {0, 1}:
         n1, n0 = (found.get(k, (0,))[0] for k in (1, 0))
-        p = min(max((n1 + 1e-9) / (n1 + n0 + 1e-6), 1e-9), 1 - 1e-9) if n1 else 1e-9
+        p = min(max(n1 / max(n1 + n0, 1), 1e-9), 1 - 1e-9)
         return Model(np.zeros((0, 0)), np.zeros((0, 0, 0)), np.zeros(0), (math.log(p / (1 - p)), 0.0))
     d, total = len(STATISTICS), found[0][0] + found[1][0]
     means = np.stack([found[k][1] / found[k][0] for k in (0, 1)])

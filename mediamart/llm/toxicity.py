@@ -150,7 +150,7 @@ def fit(
     counted = {r["label"]: r["n"] for r in texts.filter("NOT back").groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = counted.get(1, 0), counted.get(0, 0)
     if not n1 or not n0:
-        p = (n1 + 1e-9) / (n1 + n0 + 1) if n1 else 1e-9
+        p = min(max(n1 / max(n1 + n0, 1), 1e-9), 1 - 1e-9)
         return Model({}, drift, curve=(math.log(p / (1 - p)), 0.0))
     # Dirichlet prior: `prior` pseudo-texts spread as the word is over all texts, and half a text
     a = F.lit(0.5) + prior * (F.col("n1") + F.col("n0")) / (n1 + n0)
