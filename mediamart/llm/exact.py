@@ -35,7 +35,8 @@ def shared_keys(docs: DataFrame, prefix: int) -> DataFrame:
         "exact-light",
     )
     lengths = light.groupBy("length").count().filter("count > 1").drop("count")
-    return light.join(lengths, "length").groupBy("length", "prefix").count().filter("count > 1").drop("count")
+    pairs = light.groupBy("length", "prefix").count()  # one row per pair: no hot length in the join
+    return pairs.join(lengths, "length", "left_semi").filter("count > 1").drop("count")
 
 
 def bitmap(keys: DataFrame, slots: int) -> DataFrame:
