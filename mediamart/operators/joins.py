@@ -46,16 +46,26 @@ def points_in_ranges(
 
     The equality part of the join is (keys, time slot), so a key that holds much of the data
     is spread over as many tasks as it has slots, and a point is only compared with ranges
-    that touch its slot.  ``how="left"`` keeps ranges without any point.
+    that touch its slot.  ``how="left"`` keeps ranges without any point, each copy of them.
     """
     spread, slotted, inside = _sides(ranges, points, keys, t, start, end, width)
-    own = [F.col(f"p.{c}") for c in points.columns if c not in keys]
-    matches = spread.join(slotted, inside).select(*[F.col(f"r.{c}") for c in ranges.columns], *own)
+    own = [c for c in points.columns if c not in keys]
+    kept = [F.col(f"r.{c}") for c in ranges.columns]
     if how == "inner":
-        return matches
-    bounds = [*keys, start, end]
-    hit = spread.join(slotted, inside, "left_semi").select(*bounds).distinct()
-    empty = ranges.join(hit, bounds, "left_anti")
+        return spread.join(slotted, inside).select(*kept, *[F.col(f"p.{c}") for c in own])
+    # both uses read all columns, so the slotted sides are shuffled once and shared
+    point = F.when(F.col("p._slot").isNotNull(), F.struct(*[F.col(f"p.{c}") for c in own]))
+    joined = spread.join(slotted, inside, "left").select(*kept, point.alias("_point"))
+    matches = joined.filter("_point IS NOT NULL").select(*ranges.columns, *[F.col(f"_point.{c}").alias(c) for c in own])
+    # a range without any point has one row per slot and copy
+    slots = F.greatest(F.lit(1), F.coalesce(F.size(_slots(F.col(start), F.col(end), width)), F.lit(1)))
+    empty = (
+        joined.groupBy(*ranges.columns)
+        .agg(F.max("_point").alias("_point"), F.count("*").alias("_rows"))
+        .filter("_point IS NULL")
+        .select(*ranges.columns, F.explode(F.sequence(F.lit(1), (F.col("_rows") / slots).cast("int"))).alias("_copy"))
+        .drop("_copy")
+    )
     return matches.unionByName(empty, allowMissingColumns=True)
 
 

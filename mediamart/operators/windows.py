@@ -45,7 +45,8 @@ def number_rows(
 
     ``bucket`` must not decrease along ``order``.  Rows are numbered inside (key, bucket) and
     shifted by the number of rows in the key's earlier buckets, so that no task sees more than
-    one bucket of rows; only the counts, one row per bucket, meet per key.
+    one bucket of rows; only the counts, one row per bucket, meet per key.  A NULL key is a key
+    like others, and a NULL ``order`` (with its NULL bucket) comes first, as in ``row_number()``.
     """
     lanes = df.withColumn("_bucket", bucket)
     counts = lanes.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
@@ -54,11 +55,12 @@ def number_rows(
     )
     shifts = counts.select(
         *keys, "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift")
-    )
+    ).alias("s")
     local = Window.partitionBy(*keys, "_bucket").orderBy(order)
-    return (
-        lanes.withColumn("_local", F.row_number().over(local))
-        .join(shifts, [*keys, "_bucket"])
-        .withColumn(name, (F.col("_local") + F.col("_shift")).cast("int"))
-        .drop("_local", "_shift", "_bucket")
+    numbered = lanes.withColumn("_local", F.row_number().over(local)).alias("n")
+    same = F.lit(True)
+    for column in [*keys, "_bucket"]:
+        same = same & F.col(f"n.{column}").eqNullSafe(F.col(f"s.{column}"))
+    return numbered.join(shifts, same).select(
+        *[F.col(f"n.{c}") for c in df.columns], (F.col("_local") + F.col("_shift")).cast("int").alias(name)
     )
