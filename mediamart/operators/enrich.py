@@ -1,6 +1,7 @@
 """Slot for a user-supplied function per row, with retries and error isolation."""
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mediamart.operators.text import RETRY_ANSWER, RETRY_ERROR, RETRY_REQUEST
+from mediamart.operators.text import FENCED, RETRY_ANSWER, RETRY_ERROR, RETRY_REQUEST
 
 
 class Transient(Exception):
@@ -16,7 +17,20 @@ class Transient(Exception):
 
 
 class Unavailable(Exception):
-    """This item cannot be had; the others can."""
+    """This item cannot be had; the others can.  ``attempts`` is the number of calls it took to know."""
+
+    attempts = 1
+
+
+def _refuse(word: str) -> None:
+    """NaN and the infinities are not JSON."""
+    raise json.JSONDecodeError(f"{word} is not JSON", word, 0)
+
+
+def answer_text(text: str) -> str:
+    """The JSON text of an answer, by the rule of ``strip_fences``."""
+    found = re.search(FENCED, text)
+    return (found.group(1) if found else text).strip()
 
 
 def ask(
@@ -27,30 +41,25 @@ def ask(
     for attempt in range(1, max_attempts + 1):
         try:
             answer = clean(fn(current))
-            json.loads(answer)
+            json.loads(answer, parse_constant=_refuse)
             return answer, attempt
         except Transient:
             continue
+        except Unavailable as error:
+            error.attempts = attempt
+            raise
         except json.JSONDecodeError as error:
             current = f"{prompt}{RETRY_ERROR}{error}{RETRY_ANSWER}{answer}{RETRY_REQUEST}"
     return None, max_attempts
 
 
-def unfenced(text: str) -> str:
-    for mark in ("```json", "```"):
-        if mark in text:
-            text = text.split(mark, 1)[1].split("```", 1)[0]
-            break
-    return text.strip()
-
-
 def enrich(
     df: DataFrame,
     make_fn: Callable[[], Callable[[str], str]],
     key: str,
     prompt: str,
     max_attempts: int = 2,
-    clean: Callable[[str], str] = unfenced,
+    clean: Callable[[str], str] = answer_text,
 ) -> DataFrame:
     """Ask for every row of ``df(key, prompt)`` and return ``(key, result, attempts, error)``.
 
@@ -76,7 +85,7 @@ def enrich(
                     result, attempts = ask(fn, text, max_attempts, clean)
                     rows.append((k, result, attempts, None if result is not None else "NoValidAnswer"))
                 except Unavailable as error:
-                    rows.append((k, None, 1, type(error).__name__))
+                    rows.append((k, None, error.attempts, type(error).__name__))
             yield pd.DataFrame(rows, columns=schema.names)
 
     return df.select(key, prompt).mapInPandas(run, schema)

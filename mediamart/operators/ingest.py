@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.functions.json import entries, non_empty
+from mediamart.functions.json import non_empty
 from mediamart.operators.windows import dedupe_first
 from mediamart.schemas import ARTEFACTS, META_KEYS, RAW
 
@@ -31,8 +31,16 @@ def flatten_playlists(playlists: DataFrame) -> DataFrame:
 
 
 def project_meta(fields: dict[str, Column]) -> Column:
-    """Metadata JSON with the five declared keys, as far as they are present."""
-    return F.to_json(F.struct(*[fields[key].alias(key) for key in META_KEYS if key in fields]))
+    """Metadata JSON with the five declared keys, as far as they are present; a key that is present
+    with null stays."""
+    kept = F.struct(*[fields[key].alias(key) for key in META_KEYS if key in fields])
+    return F.to_json(kept, {"ignoreNullFields": "false"})
+
+
+def json_value(text: Column) -> Column:
+    """One text per JSON value: sorted keys on all levels, numbers by value, types kept.  A text that is
+    not JSON stands for itself."""
+    return F.coalesce(F.to_json(F.try_parse_json(text)), text)
 
 
 def insert_absent(
@@ -104,13 +112,13 @@ def stamp_changes(
     stamp: str = "meta_updated_at",
 ) -> DataFrame:
     """Rows of ``new`` with the stamp set to ``now`` where the metadata differs from the stored
-    one, compared member by member: key order and spacing do not count, a member that is null
-    differs from one that is absent.  Rows not stored before are not stamped."""
+    one as a JSON value: key order on any level, spacing and the form of a number do not count; a
+    string differs from a number, and a member that is null from one that is absent.  Rows not
+    stored before are not stamped."""
     before = old.select(
         key, F.col(json_column).alias("_old"), F.col(stamp).alias("_stamp"), F.lit(True).alias("_known")
     )
-    members = lambda c: F.array_sort(entries(F.col(c), "string"))
-    same = members("_old").eqNullSafe(members(json_column))
+    same = json_value(F.col("_old")).eqNullSafe(json_value(F.col(json_column)))
     return (
         new.join(before, key, "left")
         .withColumn(

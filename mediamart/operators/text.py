@@ -9,13 +9,15 @@ from mediamart.functions.numbers import round_half_even
 from mediamart.schemas import CHAPTER_FIELDS, SEGMENT_FIELDS
 
 # The fence marks that models put around JSON, and the wording of a retry.
-JSON_FENCE = "```json"
 FENCE = "```"
 RETRY_ERROR = "Your previous response had a JSON formatting error: "
 RETRY_ANSWER = ".\n Here is the invalid response you provided:\n\n "
 RETRY_REQUEST = " \n\n Please correct the JSON and provide the full, valid JSON object."
 
 EDGE_SPACE = r"(?U)^\s+|\s+$"
+# What lies between the first json-tagged fence (else the first plain one) and the next fence; the
+# same pattern for Spark and for a worker.
+FENCED = r"(?s)^(?:.*?```json|(?!.*```json).*?```)(.*?)(?:```|(?!.))"
 
 
 def segments_map(sentences: Column) -> Column:
@@ -42,21 +44,19 @@ def strip_fences(text: Column) -> Column:
     """The text between the first json-tagged fence (else the first plain one) and the next
     fence, without white space around it; the whole text when there is no fence."""
 
-    def inside(mark: str) -> Column:
-        after = F.substring(text, F.instr(text, mark) + len(mark), F.length(text))
-        return F.substring_index(after, FENCE, 1)
-
-    body = (
-        F.when(F.contains(text, F.lit(JSON_FENCE)), inside(JSON_FENCE))
-        .when(F.contains(text, F.lit(FENCE)), inside(FENCE))
-        .otherwise(text)
-    )
+    body = F.when(F.contains(text, F.lit(FENCE)), F.regexp_extract(text, FENCED, 1)).otherwise(text)
     return F.regexp_replace(body, EDGE_SPACE, "")
 
 
 def is_json(text: Column) -> Column:
-    """True for parseable JSON, false for anything else and for NULL."""
-    return F.try_parse_json(text).isNotNull()
+    """True for one JSON value and nothing else, false for anything else and for NULL.
+
+    The parser stops after the first value, so the text is parsed a second time as a member of an
+    object whose last key must then still be there.
+    """
+    wrapped = F.concat(F.lit('{"a":'), text, F.lit(',"b":0}'))
+    whole = F.json_object_keys(wrapped).eqNullSafe(F.array(F.lit("a"), F.lit("b")))
+    return F.try_parse_json(text).isNotNull() & F.try_parse_json(wrapped).isNotNull() & whole
 
 
 def split_valid_json(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:

@@ -120,7 +120,7 @@ def test_project_meta_keeps_present_keys(spark):
     df = spark.range(1).select(
         ingest.project_meta({"duration": F.lit(5), "view_count": F.lit(None).cast("int"), "fps": F.lit(25)}).alias("j")
     )
-    assert json.loads(df.first().j) == {"duration": 5}
+    assert json.loads(df.first().j) == {"duration": 5, "view_count": None}
 
 
 def test_object_keys(spark):

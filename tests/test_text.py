@@ -21,7 +21,7 @@ from tests.rows import tuples
 )
 def test_strip_fences(spark, answer, body):
     df = spark.createDataFrame([(answer,)], "a string")
-    assert df.select(text.strip_fences(F.col("a"))).first()[0] == body == enrich.unfenced(answer)
+    assert df.select(text.strip_fences(F.col("a"))).first()[0] == body == enrich.answer_text(answer)
 
 
 def test_split_valid_json(spark):
