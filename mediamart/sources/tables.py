@@ -1,15 +1,21 @@
 """Tables on shared storage: rebuild, append, upsert, contract check, views.
 
-Each write is one Spark job into its own ``load=N`` folder.  A load counts once Spark has
-written its ``_SUCCESS`` marker, so readers never see a half-written one and a failed job can
-simply be run again.  A full load replaces everything before it, a part load adds rows.
+Each write is one Spark job into its own ``load=N`` folder.  What was written is checked against the
+table's key and not-null rules, and only then gets its ``_SUCCESS`` marker; a load without one does not
+count.  So readers never see a half-written or a bad load, and a failed job can simply be run again.
+
+A ``full`` load replaces everything before it and a ``part`` load adds rows.  Upserted tables lie in
+hash buckets of their key: a ``base`` load has all of them, a ``keyed`` load only those that it
+replaces, and the table is the newest folder of each bucket.
 """
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from mediamart.schemas import CONTRACTS
+from mediamart.schemas import CONTRACTS, NOT_NULL, PRIMARY_KEYS
 
 LAYERS = {"raw": "raw", "staging": "staging", "core": "core", "marts": "marts", "reporting": "reporting"}
 
@@ -51,6 +57,17 @@ def upsert(target: DataFrame | None, updates: DataFrame, keys: list[str]) -> Dat
     return union_evolving(kept, updates)
 
 
+def faults(df: DataFrame, key: list[str], not_null: list[str]) -> dict[str, int]:
+    """Rows that break the key or a not-null rule, by rule; only rules that are broken."""
+    nulls = {c: F.count_if(F.col(c).isNull()) for c in dict.fromkeys([*key, *not_null])}
+    found = df.agg(*[n.alias(c) for c, n in nulls.items()]).first().asDict() if nulls else {}
+    out = {f"{c} is null": n for c, n in found.items() if n}
+    if key:
+        repeated = df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").agg(F.sum("n")).first()[0]
+        out |= {f"repeated {', '.join(key)}": repeated} if repeated else {}
+    return out
+
+
 def load_number(path: str) -> int:
     return int(path.rsplit("load=", 1)[1].split("-")[0])
 
@@ -61,7 +78,12 @@ class Tables:
     A layer name given in ``layers`` is used as it stands.
     """
 
-    def __init__(self, spark: SparkSession, root: str, layers: dict[str, str] | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, layers: dict[str, str] | None = None, buckets: int = 64
+    ):
+        """``buckets`` of an upserted table: its size divided by what a daily batch may rewrite per
+        bucket, some 256 MB.  It may change: buckets are laid out anew with the next upsert."""
+        self.buckets = buckets
         self.spark = spark
         self.root = root.rstrip("/")
         self.layers = {**LAYERS, **(layers or {})}
@@ -74,36 +96,63 @@ class Tables:
     def folder(self, name: str) -> str:
         return f"{self.root}/{self.layer_of(name)}/{name}"
 
-    def loads(self, name: str) -> list[str]:
-        """Committed loads that make up the table now, oldest first."""
+    def _listed(self, path: str) -> list[str]:
         jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.folder(name))
+        folder = jvm.org.apache.hadoop.fs.Path(path)
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        found = sorted(
-            status.getPath().toString()
-            for status in fs.listStatus(folder)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-        )
-        full = [i for i, path in enumerate(found) if path.endswith("full")]
-        return found[full[-1] :] if full else found
+        return sorted(s.getPath().toString() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def _file(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        found = jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), found
+
+    def loads(self, name: str) -> list[str]:
+        """Committed loads from the last one that replaced everything on, oldest first."""
+        found = []
+        for path in self._listed(self.folder(name)):
+            fs, marker = self._file(f"{path}/_SUCCESS")
+            if fs.exists(marker):
+                found.append(path)
+        whole = [i for i, path in enumerate(found) if path.endswith(("full", "base"))]
+        return found[whole[-1] :] if whole else found
+
+    def parts(self, name: str) -> list[str]:
+        """Folders that make up the table now: its loads, or the newest folder of each bucket."""
+        loads = self.loads(name)
+        if not loads or not loads[0].endswith("base"):
+            return loads
+        newest: dict[str, str] = {}
+        for load in loads:
+            for path in self._listed(load):
+                if "/_bucket=" in path:
+                    newest[path.rsplit("/", 1)[1]] = path
+        return sorted(newest.values())
 
     def exists(self, name: str) -> bool:
         return bool(self.loads(name))
 
+    def _schema(self, name: str) -> StructType:
+        """The declared columns, or all columns that the loads have by their markers."""
+        if name in CONTRACTS:
+            return CONTRACTS[name]
+        fields = {}
+        for path in self.loads(name):
+            fs, marker = self._file(f"{path}/_SUCCESS")
+            stream = fs.open(marker)
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            fields |= {f.name: f for f in StructType.fromJson(json.loads(text))}
+        return StructType([f for f in fields.values() if f.name != "_bucket"])
+
     def read(self, name: str) -> DataFrame | None:
-        """The table, or None before its first load.  Columns added later are NULL in older
-        loads; only one footer per load is read to find them."""
-        loads = self.loads(name)
-        if not loads:
+        """The table, or None before its first load.  Columns added later are NULL in older loads."""
+        if not self.exists(name):
             return None
-        if name in CONTRACTS:
-            schema = CONTRACTS[name]
-        else:
-            fields = {f.name: f for path in loads for f in self.spark.read.parquet(path).schema}
-            schema = StructType(list(fields.values()))
-        return self.spark.read.schema(schema).parquet(*loads)
+        schema, parts = self._schema(name), self.parts(name)
+        if not parts:  # a table without rows
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*parts)
 
     def last_number(self, name: str) -> int:
         """Number of the newest committed load, 0 before the first."""
@@ -117,57 +166,91 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*newer)
 
-    def _write(self, name: str, df: DataFrame, kind: str, sort: list[str] | None) -> DataFrame:
-        if name in CONTRACTS:
+    def _write(self, name: str, df: DataFrame, kind: str, sort: list[str] | None = None, keyed: bool = False) -> None:
+        """Write, check, publish; a part without rows is not published."""
+        if name in CONTRACTS and not keyed:
             df = conform(df, CONTRACTS[name])
+        if keyed:  # one bucket in few files, a large one in several
+            df = df.hint("rebalance", F.col("_bucket"))
         if sort:
-            df = df.sortWithinPartitions(*sort)
-        number = self.last_number(name) + 1
-        path = f"{self.folder(name)}/load={number:08d}-{kind}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path) if kind == "full" else self.read(name)
+            df = df.sortWithinPartitions(*["_bucket"] * keyed, *sort)
+        path = f"{self.folder(name)}/load={self.last_number(name) + 1:08d}-{kind}"
+        writer = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        (writer.partitionBy("_bucket") if keyed else writer).parquet(path)
+        written = self.spark.read.schema(df.schema).parquet(path)
+        if kind == "part" and self.exists(name) and written.isEmpty():
+            fs, folder = self._file(path)
+            fs.delete(folder, True)
+            return
+        if name in CONTRACTS and (wrong := faults(written, PRIMARY_KEYS.get(name, []), NOT_NULL.get(name, []))):
+            raise ValueError(f"{name}: load refused, " + ", ".join(f"{rule}: {n} rows" for rule, n in wrong.items()))
+        fs, marker = self._file(f"{path}/_SUCCESS")
+        stream = fs.create(marker, True)
+        stream.write(bytearray(df.schema.json().encode()))
+        stream.close()
 
     def replace(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
         """Full rebuild.  ``df`` may read the table itself: the old loads stay in place."""
-        return self._write(name, df, "full", sort)
+        self._write(name, df, "full", sort)
+        return self.read(name)
 
     def append(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
         """Add rows known to be new; nothing that is already stored is read or rewritten."""
-        return self._write(name, df, "part", sort)
+        self._write(name, df, "part", sort)
+        return self.read(name)
+
+    def _bucketed(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
 
     def upsert(
         self, name: str, updates: DataFrame, keys: list[str], sort: list[str] | None = None
     ) -> DataFrame:
         """Replace the rows with the keys of ``updates`` and keep all others.
 
-        The updates are stored first: they are computed once although they are read twice, and
-        with their size known Spark can broadcast their keys, so that the table itself is only
-        copied.  Without any update the table stays as it is.
+        The updates are stored first: they are computed once although they are read twice.  Only
+        the buckets in which they fall are read and written again; without any update the table
+        stays as it is.
         """
-        current = self.read(name)
-        if current is None:
-            return self.replace(name, updates, sort)
         if name in CONTRACTS:
             updates = conform(updates, CONTRACTS[name])
-        batch = self.replace(f"stg_batch_{name}", updates)
-        return current if batch.isEmpty() else self.replace(name, upsert(current, batch, keys), sort)
-
-    def expire(self, name: str) -> list[str]:
-        """Delete the loads that no longer make up the table, and return their paths.
-
-        Every full load leaves its predecessors in place for those who still read them; call
+        first = not self.exists(name)
+        batch = self._bucketed(updates if first else self.replace(f"stg_batch_{name}", updates), keys)
+        loads = self.loads(name)
+        laid_out = loads and loads[0].endswith(f"{self.buckets}-base")
+        if first or not laid_out:
+            rows = batch if first else upsert(self._bucketed(self.read(name), keys), batch, keys)
+            self._write(name, rows, f"{self.buckets}-base", sort, True)
+        elif touched := [r["_bucket"] for r in batch.select("_bucket").distinct().collect()]:  # at most `buckets`
+            old = [p for p in self.parts(name) if int(p.rsplit("=", 1)[1]) in touched]
+            schema = self._schema(name)
+            rows = batch
+            if old:
+                current = self.spark.read.schema(schema).parquet(*old)
+                rows = upsert(self._bucketed(current, keys), batch, keys)
+            self._write(name, rows, "keyed", sort, True)
+        if not first:
+            self.expire(f"stg_batch_{name}", whole=True)
+        return self.read(name)
+
+    def expire(self, name: str, whole: bool = False) -> list[str]:
+        """Delete what no longer makes up the table, or all of it, and return the deleted paths.
+
+        Loads and buckets that were replaced stay in place for those who still read them; call
         this when nobody does.
         """
-        jvm = self.spark.sparkContext._jvm
-        current = self.loads(name)
-        oldest = load_number(current[0]) if current else 0
-        folder = jvm.org.apache.hadoop.fs.Path(self.folder(name))
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = [status.getPath() for status in fs.listStatus(folder)] if fs.exists(folder) else []
-        outdated = [path for path in found if load_number(path.toString()) < oldest]
+        live = [] if whole else self.parts(name)
+        kept = {path for part in live for path in (part, part.rsplit("/", 1)[0])}
+        kept |= set() if whole else set(self.loads(name))
+        outdated = []
+        for load in self._listed(self.folder(name)):
+            if load not in kept:
+                outdated.append(load)
+            elif load not in live:
+                outdated += [path for path in self._listed(load) if "/_bucket=" in path and path not in kept]
         for path in outdated:
-            fs.delete(path, True)
-        return sorted(path.toString() for path in outdated)
+            fs, found = self._file(path)
+            fs.delete(found, True)
+        return outdated
 
     @staticmethod
     def view(name: str, df: DataFrame) -> DataFrame:

@@ -36,6 +36,35 @@ def test_loads(spark, tables):
     assert tables.loads("notes") == loads  # nothing to do
 
 
+def test_upsert_rewrites_only_touched_buckets(spark, tables):
+    tables.buckets = 8
+    rows = spark.createDataFrame([(f"k{n}", n) for n in range(100)], "id string, v int")
+    tables.upsert("notes", rows, ["id"])
+    before = {p.rsplit("/", 1)[1]: p for p in tables.parts("notes")}
+    tables.upsert("notes", spark.createDataFrame([("k7", -7), ("new", 1)], "id string, v int"), ["id"])
+    after = {p.rsplit("/", 1)[1]: p for p in tables.parts("notes")}
+    assert len(before) == 8 and 1 <= len([b for b in before if before[b] != after[b]]) <= 2
+    want = sorted([(f"k{n}", n if n != 7 else -7) for n in range(100)] + [("new", 1)])
+    assert tuples(tables.read("notes")) == want
+    gone = tables.expire("notes")
+    assert sorted(gone) == sorted(before[b] for b in before if before[b] != after[b])
+    assert tuples(tables.read("notes")) == want
+    tables.buckets = 3  # laid out anew
+    tables.upsert("notes", spark.createDataFrame([("k7", 7)], "id string, v int"), ["id"])
+    assert len(tables.parts("notes")) == 3 and tables.read("notes").count() == 101
+
+
+def test_bad_load_is_not_published(spark, tables):
+    good = spark.createDataFrame([(1, "one")], "category_id short, main_category string")
+    tables.replace("core_categories", good)
+    for bad in ([(2, "a"), (2, "b")], [(None, "a")], [(3, None)]):
+        with pytest.raises(ValueError, match="load refused"):
+            tables.append("core_categories", spark.createDataFrame(bad, good.schema))
+    assert tuples(tables.read("core_categories")) == [(1, "one")]
+    tables.append("core_categories", spark.createDataFrame([(2, "a")], good.schema))
+    assert tables.read("core_categories").count() == 2
+
+
 def test_expire_deletes_only_replaced_loads(spark, tables):
     rows = spark.createDataFrame([("a", 1)], "id string, v int")
     assert tables.expire("notes") == []
