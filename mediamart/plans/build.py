@@ -96,6 +96,8 @@ def unbuilt(tables: Tables, names: list[str]) -> dict[str, DataFrame]:
 
 def mark_built(tables: Tables, names: list[str]) -> None:
     rows = [(name, tables.last_number(name)) for name in names]
+    tables.replace("process_built_days", tables.read("dim_date").select("date_id", "date"))
+    tables.replace("process_built_topics", tables.read("core_subcategories"))
     tables.replace("process_builds", tables.spark.createDataFrame(rows, "table string, number int"))
 
 
@@ -126,15 +128,46 @@ def fact_rows(read: Callable[[str], DataFrame], fact: str, ids: DataFrame | None
     )
 
 
+def changed_rows(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows that only one of the two has."""
+    rows = old.select(*new.columns)
+    return new.exceptAll(rows).unionByName(rows.exceptAll(new))
+
+
+def moved_videos(tables: Tables) -> dict[str, DataFrame]:
+    """Per fact the videos whose dates or topics are not what the last finished build saw.
+
+    The calendar and the taxonomy are compared with the ones it kept, so a build that died in
+    between loses nothing.
+    """
+    moved: dict[str, DataFrame] = {}
+    built = tables.read("process_built_days")
+    if built is not None:
+        days = tables.replace("stg_moved_days", changed_rows(tables.read("dim_date").select("date_id", "date"), built))
+        dates = days.select("date").distinct()
+        videos, metas = tables.read("core_videos"), tables.read("core_videos_meta")
+        uploaded = videos.join(dates, F.col("upload_date") == F.col("date"), "left_semi").select("video_id")
+        moved["fact_video_chapters"] = moved["fact_video_metrics"] = uploaded
+        seen = metas.join(dates, F.col("snapshot_date") == F.col("date"), "left_semi").select("video_id")
+        moved["fact_video_daily_snapshot"] = seen
+    built = tables.read("process_built_topics")
+    if built is not None:
+        topics = tables.replace("stg_moved_topics", changed_rows(tables.read("core_subcategories"), built))
+        chapters = tables.read("core_chapters").join(topics.select("subcategory_id").distinct(), "subcategory_id", "left_semi")
+        moved["fact_video_chapters"] = moved["fact_video_chapters"].unionByName(chapters.select("video_id"))
+    return moved
+
+
 def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False) -> None:
     """Upsert dimensions and facts.
 
-    A fact row depends on the rows of its own video only, so a fact that exists is recomputed
-    just for the videos that got new core rows; their ids are stored once, so their number is
-    known when the core tables are cut down to them.  ``full`` recomputes everything, which is
-    needed when the calendar or the taxonomy has changed.
+    A fact row depends on the rows of its own video, the calendar and the taxonomy, so a fact
+    that exists is recomputed for the videos that got new core rows and for those whose dates or
+    topics have changed; their ids are stored once, so their number is known when the core tables
+    are cut down to them.  ``full`` recomputes everything.
     """
     read = tables.read
+    moved = {} if full else moved_videos(tables)
 
     def load_dimension(dim: str) -> None:
         source = DIMENSIONS[dim]
@@ -147,6 +180,8 @@ def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False)
             touched = added[FACT_INPUTS[fact][0]].select("video_id")
             for source in FACT_INPUTS[fact][1:]:
                 touched = touched.unionByName(added[source].select("video_id"))
+            if fact in moved:
+                touched = touched.unionByName(moved[fact])
             ids = tables.replace(f"stg_touched_{fact}", touched.distinct())
         tables.upsert(fact, fact_rows(read, fact, ids), UPSERT_KEYS[fact], FACT_ORDER.get(fact))
 
@@ -157,6 +192,13 @@ def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False)
     )
 
 
+def clear_intermediates(tables: Tables, names: list[str]) -> None:
+    """Delete what only the build itself reads."""
+    lists = [*[f"stg_unseen_{n}" for n in names], *[f"stg_touched_{f}" for f in FACT_INPUTS]]
+    for name in [*lists, "stg_moved_days", "stg_moved_topics"]:
+        tables.expire(name, whole=True)
+
+
 def build_views(tables: Tables) -> dict[str, DataFrame]:
     """Dashboard views; nothing is computed."""
     t = tables.read
@@ -185,6 +227,7 @@ def build_all(
     names = build_core(tables, raw, F.current_timestamp() if now is None else now)
     build_marts(tables, unbuilt(tables, names), full)
     mark_built(tables, names)
+    clear_intermediates(tables, names)
     stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]
     built = {name: tables.read(name) for name in stored}
     return {"process_video": raw, **staged, **built, **build_views(tables)}

@@ -73,7 +73,7 @@ def fact_video_chapters(
     rows = (
         shared.withColumn("laughter_percent", F.coalesce(share, F.lit(0)))
         .join(videos, "video_id")
-        .join(F.broadcast(dim_date.select("date_id", "date")), F.col("upload_date") == F.col("date"))
+        .join(dim_date.select("date_id", "date"), F.col("upload_date") == F.col("date"))
     )
     return _named("fact_video_chapters", rows)
 
@@ -98,7 +98,7 @@ def fact_video_daily_snapshot(
     videos = core_videos.select("video_id", "channel_id", "playlist_id")
     rows = (
         changes.join(videos, "video_id")
-        .join(F.broadcast(dim_date.select("date_id", "date")), F.col("snapshot_date") == F.col("date"))
+        .join(dim_date.select("date_id", "date"), F.col("snapshot_date") == F.col("date"))
         .groupBy("date_id", "video_id", "channel_id", "playlist_id")
         .agg(
             *[F.sum(c).alias(c) for c in ("prev_day_view", "prev_day_like", "prev_day_comment")]
@@ -129,7 +129,7 @@ def fact_video_metrics(
     rows = (
         core_videos.join(newest, "video_id")
         .join(laughter_seconds(core_sound_features), "video_id")
-        .join(F.broadcast(dim_date.select("date_id", "date")), F.col("upload_date") == F.col("date"))
+        .join(dim_date.select("date_id", "date"), F.col("upload_date") == F.col("date"))
         .withColumn("laughter_percent", percent(F.col("laughter"), F.col("duration")))
     )
     return _named("fact_video_metrics", rows).distinct()

@@ -31,9 +31,9 @@ def chapters_metrics(
 ) -> DataFrame:
     """Chapters with the names of everything they refer to."""
     return (
-        fact_video_chapters.join(F.broadcast(dim_category), "category_id")
-        .join(F.broadcast(dim_subcategory), "subcategory_id")
-        .join(F.broadcast(dim_date), "date_id")
+        fact_video_chapters.join(dim_category, "category_id")
+        .join(dim_subcategory, "subcategory_id")
+        .join(dim_date, "date_id")
         .join(dim_videos, "video_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")
@@ -64,12 +64,12 @@ def video_metrics(
     they must not be added up over it."""
     topics = (
         fact_video_chapters.select("video_id", "subcategory_id", "category_id")
-        .join(F.broadcast(dim_subcategory), "subcategory_id")
-        .join(F.broadcast(dim_category), "category_id")
+        .join(dim_subcategory, "subcategory_id")
+        .join(dim_category, "category_id")
     )
     return (
         fact_video_metrics.join(dim_videos, "video_id")
-        .join(F.broadcast(dim_date), "date_id")
+        .join(dim_date, "date_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")
         .join(topics, "video_id")
@@ -99,7 +99,7 @@ def video_daily_snapshot(
 ) -> DataFrame:
     """Daily changes with all calendar columns first."""
     return (
-        fact_video_daily_snapshot.join(F.broadcast(dim_date), "date_id")
+        fact_video_daily_snapshot.join(dim_date, "date_id")
         .join(dim_videos, "video_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -193,11 +194,40 @@ def test_incremental_full_and_interrupted_builds_agree(spark, tables, tmp_path):
     assert len([r for r in got["core_sound_features"] if r[0] == "b"]) == 3  # frozen
 
 
+def test_bad_batch_is_refused(spark, tables):
+    two_names = raw(spark, video("a"), video("b", channel_name="Other"))
+    with pytest.raises(ValueError, match="core_channels: load refused, repeated channel_id: 2 rows"):
+        build.run(tables, two_names, days(spark), now())
+    assert tables.read("core_channels") is None
+    report = build.run(tables, raw(spark, video("a"), video("b")), days(spark), now())
+    assert report.filter("failures > 0").count() == 0
+    assert tables.read("core_channels").count() == 1
+
+
 def test_failed_checks_stop_the_run(spark, tables):
-    names = [video("a"), video("b", channel_name="Other", llm_classifier_json={"classifications": CLASSES[:1]})]
+    names = [video("a"), video("b", llm_classifier_json={"classifications": CLASSES[:1]})]
     with pytest.raises(ChecksFailed) as failed:
         build.run(tables, raw(spark, *names), days(spark), now())
-    assert str(failed.value) == (
-        "core_channels: primary_key(channel_id): 1; dim_channels: primary_key(channel_id): 1; "
-        "core_chapters: equal_rowcount(stg_chapters): 1"
-    )
+    assert str(failed.value) == "core_chapters: equal_rowcount(stg_chapters): 1"
+
+
+def test_a_wider_calendar_brings_its_facts(spark, tables):
+    first, _ = batches(spark)
+    facts = list(build.FACT_INPUTS)
+    narrow = days(spark).filter("date < '2000-01-01'")
+    build.build_all(tables, first, narrow, now())
+    assert all(tables.read(f).count() == 0 for f in facts)
+    build.build_all(tables, first, days(spark), now())
+    got = snapshot(tables)
+    assert all(got[f] for f in facts)
+    build.build_all(tables, first, days(spark), now(), full=True)
+    assert snapshot(tables) == got
+
+
+def test_intermediates_do_not_stay(spark, tables):
+    first, second = batches(spark)
+    for rows in (first, second, second):
+        build.build_all(tables, rows, days(spark), now())
+    staged = os.path.join(tables.root, "staging")
+    assert not [f for _, _, files in os.walk(staged) for f in files if f.endswith(".parquet")]
+    assert len(tables.loads("core_chapters")) == 2  # nothing new, no load
