@@ -34,13 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input has fewer splits than there are cores, as one small
-    file does; inputs with enough splits are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def dim_date(spark: SparkSession) -> DataFrame:
     """Ten years that hold every upload date and every snapshot date of the mapped data."""
     return calendar(spark, "2015-01-01", "2024-12-31")
@@ -48,7 +41,7 @@ def dim_date(spark: SparkSession) -> DataFrame:
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their words."""
-    return spread(table(spark, sf_dir, "documents")).withColumn("words", F.split("text", " "))
+    return table(spark, sf_dir, "documents").withColumn("words", F.split("text", " "))
 
 
 def upload_day(doc_id: str = "doc_id") -> Column:

@@ -191,6 +191,8 @@ ORACLES = {
     "s9_conform": """SELECT l_linenumber, count(*) AS lines, CAST(sum(trunc(l_quantity)) AS BIGINT) AS quantity,
         CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price,
         max(length(CAST(l_orderkey AS VARCHAR))) AS longest_key FROM lineitem GROUP BY 1""",
+    "s9_rejected_batch": """SELECT CAST(s_suppkey AS VARCHAR) AS channel_id, s_name AS channel_name, 1 AS refused,
+        (SELECT count(*) FROM supplier WHERE s_suppkey % 2 <> 0) AS stored_before FROM supplier""",
     "s11_incremental_switch": """SELECT DISTINCT c_nationkey AS nation, 'first' AS run FROM customer UNION ALL
         SELECT DISTINCT c_nationkey, 'second' FROM customer WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)""",
     "s12_artefact_json": """SELECT o_orderkey, '{"customer":' || o_custkey || ',"priority":"' || o_orderpriority || '"'
@@ -201,7 +203,7 @@ ORACLES = {
         segment_text AS video_title, 'https://media.example/' || segment_id AS video_url,
         segment_id AS position FROM seg WHERE n > 10""",
     "r2_project_meta": """SELECT o_orderkey, '{"duration":' || (o_orderkey % 3000 + 600)
-        || CASE WHEN o_orderstatus <> 'P' THEN ',"like_count":' || o_custkey ELSE '' END
+        || ',"like_count":' || CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) ELSE 'null' END
         || ',"view_count":' || CAST(floor(o_totalprice) AS BIGINT) || ',"upload_date":"'
         || strftime(o_orderdate, '%Y%m%d') || '"}' AS video_meta_json FROM orders""",
     "r3_dedupe_first": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -217,7 +219,8 @@ ORACLES = {
         CASE WHEN new.o_orderkey IS NOT NULL THEN p ELSE o.o_orderpriority END AS o_orderpriority
         FROM orders o LEFT JOIN new USING (o_orderkey)""",
     "r8_change_stamp": """SELECT CAST(o_orderkey AS VARCHAR) AS video_id,
-        CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderstatus = 'O' THEN DATE '2030-01-01'
+        CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_orderkey % 8 IN (0, 3) THEN DATE '2030-01-01'
+        WHEN o_orderkey % 8 IN (1, 2) THEN CAST(o_orderdate AS DATE) WHEN o_orderstatus = 'O' THEN DATE '2030-01-01'
         ELSE CAST(o_orderdate AS DATE) END AS stamped_on FROM orders""",
     "r9_default_created": """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE)
         ELSE DATE '2030-01-01' END AS created_on FROM orders""",
@@ -238,18 +241,24 @@ ORACLES = {
     "r17_audio_keys": "SELECT doc_id, 'data/audio/' || doc_id || '.opus' AS object_name FROM documents",
     "r18_missing_objects": """SELECT 'data/audio/' || doc_id || '.opus' AS object_name, doc_id FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "r20_enrich": f"""SELECT key, CASE WHEN n % 7 <> 0 AND n % 5 <> 0 THEN '{{"n": ' || n || '}}' END AS result,
-        CASE WHEN n % 7 = 0 THEN 1 WHEN n % 5 = 0 OR n % 3 = 0 THEN 2 ELSE 1 END AS attempts,
-        CASE WHEN n % 7 = 0 THEN 'Unavailable' WHEN n % 5 = 0 THEN 'NoValidAnswer' END AS error FROM ({ASKED})""",
-    "r19_skipped_items": f"""SELECT CASE WHEN n % 7 = 0 THEN 'Unavailable' ELSE 'NoValidAnswer' END AS error,
-        count(*) AS items FROM ({ASKED}) WHERE n % 7 = 0 OR n % 5 = 0 GROUP BY 1""",
+    "r20_enrich": f"""SELECT key, CASE WHEN n % 7 <> 0 AND n % 5 <> 0 AND n % 11 <> 0
+        THEN '{{"n": ' || n || '}}' END AS result,
+        CASE WHEN n % 7 = 0 THEN 1 WHEN n % 5 = 0 OR n % 3 = 0 OR n % 11 = 0 THEN 2 ELSE 1 END AS attempts,
+        CASE WHEN n % 7 = 0 THEN 'Unavailable' WHEN n % 5 = 0 THEN 'NoValidAnswer' WHEN n % 11 = 0 THEN 'Unavailable' END
+        AS error FROM ({ASKED})""",
+    "r19_skipped_items": f"""SELECT CASE WHEN n % 7 = 0 OR n % 5 <> 0 THEN 'Unavailable' ELSE 'NoValidAnswer' END AS error,
+        count(*) AS items FROM ({ASKED}) WHERE n % 7 = 0 OR n % 5 = 0 OR n % 11 = 0 GROUP BY 1""",
     "t1_segment_map": full(WORDS, ALL_SEGMENTS)
     + f"""SELECT doc_id, CAST(segment_id AS VARCHAR) AS segment, md5(segment_text) AS text_md5,
         {two('raw_start / CAST(7 AS DOUBLE)')} AS start, {two('raw_end / CAST(7 AS DOUBLE)')} AS "end" FROM seg""",
     "t2_strip_fences": "SELECT conv_id, turn, text AS body FROM conversations",
     "t3_split_valid_json": """SELECT event_id, CASE WHEN event_type = 'error' THEN props[1 : length(props) - 1]
-        WHEN event_type <> 'signup' THEN props END AS answer, CASE WHEN event_type = 'signup' THEN 'no answer'
-        WHEN event_type = 'error' THEN 'not valid JSON' ELSE 'valid' END AS reason FROM events""",
+        WHEN event_type = 'signup' THEN NULL ELSE CASE event_id % 10 WHEN 1 THEN props || ' and so on'
+        WHEN 2 THEN props || props WHEN 3 THEN '{"k":NaN}' WHEN 4 THEN '{''k'':1}'
+        WHEN 5 THEN props || ',"b":{"c":1}' ELSE props END END AS answer,
+        CASE WHEN event_type = 'signup' THEN 'no answer'
+        WHEN event_type = 'error' OR event_id % 10 BETWEEN 1 AND 5 THEN 'not valid JSON' ELSE 'valid' END AS reason
+        FROM events""",
     "t4_summary_prompt": full(WORDS, ALL_SEGMENTS)
     + """SELECT video_id, md5('Find the topics:' || chr(10) || '{' || string_agg('"' || segment_id || '":{"text":'
         || CAST(to_json(segment_text) AS VARCHAR) || '}', ',' ORDER BY segment_id) || '}') AS prompt_md5
@@ -379,7 +388,7 @@ ORACLES = {
         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM orders
         JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
-    "j10_date_key_join": full(DAYS)
+    "j10_date_key_join": full(DAYS.replace("2015-01-01", "1992-01-01"))
     + """, b AS (SELECT CAST(ts AS DATE) AS date, user_id FROM events
         UNION ALL SELECT CAST(o_orderdate AS DATE), o_custkey FROM orders)
         SELECT date_id, is_weekend, count(*) AS n, max(user_id) AS highest FROM b JOIN days USING (date) GROUP BY ALL""",
@@ -401,6 +410,10 @@ ORACLES = {
         PARTITION BY video_id ORDER BY snapshot_date DESC NULLS FIRST) AS rn FROM u) WHERE rn = 1""",
     "w4_number_rows": full(EVENT_POINTS)
     + """SELECT user_id, t, seq, CAST(row_number() OVER (PARTITION BY user_id ORDER BY t) AS INT) AS sequence FROM pts""",
+    "w4_number_rows_null": full(EVENT_POINTS)
+    + """, q AS (SELECT CASE WHEN user_id % 7 > 0 THEN user_id END AS user_id, CASE WHEN seq % 500 > 0 THEN t END AS t, seq
+        FROM pts) SELECT user_id, t, CASE WHEN t IS NOT NULL THEN seq END AS seq,
+        CAST(row_number() OVER (PARTITION BY user_id ORDER BY t NULLS FIRST) AS INT) AS sequence FROM q""",
     "u1_labelled_totals": """SELECT count(o_orderkey) AS total, 'orders' AS label FROM orders
         UNION SELECT count(*), 'orders' FROM orders UNION SELECT count(c_custkey), 'customers' FROM customer""",
     "f1_text_functions": """SELECT c_custkey, c_name || chr(9) AS name,
@@ -447,6 +460,20 @@ ORACLES = {
 
 ORACLES["o1_sorted_chapters"] = ORACLES["m6_fact_video_chapters"]
 ORACLES["s11_incremental_build"] = ORACLES["m6_fact_video_chapters"]
+# in a build the snapshots come from the raw rows, one per video, seven days after its upload
+_DAILY = full(VIDEOS, DAYS) + "SELECT date_id, video_id FROM videos JOIN days ON days.date = videos.upload_date + 7"
+ORACLES["s11_calendar_extended"] = (
+    "SELECT fact, date_id, count(*) AS n, max(video_id) AS last_video FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{fact}' AS fact, date_id, video_id FROM ({sql})"
+        for fact, sql in (
+            ("fact_video_chapters", ORACLES["m6_fact_video_chapters"]),
+            ("fact_video_daily_snapshot", _DAILY),
+            ("fact_video_metrics", ORACLES["m8_fact_video_metrics"]),
+        )
+    )
+    + ") GROUP BY ALL"
+)
 ORACLES["a7_events_in_row"] = ORACLES["a7_events_payload"]
 
 

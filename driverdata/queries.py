@@ -15,8 +15,8 @@ from mediamart.plans import build, core, marts, reporting, staging
 from mediamart.schemas import CONTRACTS, struct
 from mediamart.session import shared_folder
 from mediamart.sources import taxonomy
-from mediamart.sources.calendar import calendar_between
-from mediamart.sources.tables import Tables, check_contract, conform, union_evolving, upsert
+from mediamart.sources.calendar import calendar, calendar_between
+from mediamart.sources.tables import Tables, check_contract, conform, union_evolving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,6 +170,12 @@ def s5_view(spark, sf):
     )
 
 
+def new_tables(spark, name: str) -> Tables:
+    """An empty warehouse of its own, with few buckets."""
+    root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return Tables(spark, root, buckets=8)
+
+
 def repriced(spark, sf) -> DataFrame:
     """Order rows to load: open orders at twice their price, and every order again under a
     negative key, which the table does not hold yet."""
@@ -180,8 +186,10 @@ def repriced(spark, sf) -> DataFrame:
 
 @query
 def s7_upsert(spark, sf):
-    target = D.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return upsert(target, repriced(spark, sf), ["o_orderkey"])
+    """A stored table, loaded and then upserted bucket by bucket."""
+    tables = new_tables(spark, "upsert")
+    tables.upsert("orders", D.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), ["o_orderkey"])
+    return tables.upsert("orders", repriced(spark, sf), ["o_orderkey"])
 
 
 @query
@@ -224,7 +232,7 @@ def s11_incremental_switch(spark, sf):
 def s11_incremental_build(spark, sf):
     """All models on stored tables in two runs, first the labelled videos and then all of them;
     the chapters fact holds the same rows as after a single run."""
-    tables = Tables(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/build-{uuid.uuid4().hex}")
+    tables = new_tables(spark, "build")
     raw, days = D.raw_videos(spark, sf), D.dim_date(spark)
     labelled = D.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
     build.build_all(tables, raw.join(labelled, "video_id", "left_semi"), days, now())
@@ -232,6 +240,42 @@ def s11_incremental_build(spark, sf):
     return tables.read("fact_video_chapters")
 
 
+@query
+def s11_calendar_extended(spark, sf):
+    """All models with a calendar of three years, then with one of ten and the same raw rows: the rows of
+    all three facts, counted by fact and day."""
+    tables = new_tables(spark, "calendar")
+    raw, days = D.raw_videos(spark, sf), D.dim_date(spark)
+    build.build_all(tables, raw, days.filter("year < 2018"), now())
+    build.build_all(tables, raw, days, now())
+    facts = [tables.read(f).select(F.lit(f).alias("fact"), "date_id", "video_id") for f in build.FACT_INPUTS]
+    rows = facts[0].unionByName(facts[1]).unionByName(facts[2])
+    return rows.groupBy("fact", "date_id").agg(F.count("*").alias("n"), F.max("video_id").alias("last_video"))
+
+
+@query
+def s9_rejected_batch(spark, sf):
+    """Suppliers as channels in two batches.  The second one comes with two names for each channel first and
+    is refused; then it comes right.  What is stored has each channel once."""
+    tables = new_tables(spark, "rejected")
+    channels = D.table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("channel_id"), F.col("s_name").alias("channel_name"), now().alias("created_at")
+    )
+    second = F.col("channel_id").cast("int") % 2 == 0
+    tables.append("core_channels", channels.filter(~second))
+    good = channels.filter(second)
+    refused = 0
+    try:
+        tables.append("core_channels", good.unionByName(good.withColumn("channel_name", F.concat("channel_name", F.lit("!")))))
+    except ValueError:
+        refused = 1
+    stored = tables.read("core_channels").count()
+    tables.append("core_channels", good)
+    return tables.read("core_channels").select(
+        "channel_id", "channel_name", F.lit(refused).alias("refused"), F.lit(stored).cast("long").alias("stored_before")
+    )
+
+
 @query
 def s12_artefact_json(spark, sf):
     """Struct and map artefacts serialised to JSON text."""
@@ -336,19 +380,34 @@ def r7_update_column(spark, sf):
 @query
 def r8_change_stamp(spark, sf):
     """Every stored row comes again with its keys in another order; open orders also changed,
-    and partial ones are not stored yet."""
+    and partial ones are not stored yet.  Half of the orders hold values that are written in another way, or
+    look alike and differ."""
     o = D.table(spark, sf, "orders")
     day = F.date_format("o_orderdate", "yyyyMMdd")
     views = F.floor("o_totalprice")
+    case = F.col("o_orderkey") % 8
+    special = [  # (stored, new): only the first and the last differ as values
+        ('{"duration":"5"}', '{"duration":5}'),
+        ('{"duration":5}', '{"duration":5.0}'),
+        ('{"x":{"a":1,"b":[2]}}', '{"x": {"b":[2.00], "a":1}}'),
+        ('{"duration":null}', '{}'),
+    ]
+
+    def either(side: int, plain: Column) -> Column:
+        out = plain
+        for k, pair in enumerate(special):
+            out = F.when(case == k, F.lit(pair[side])).otherwise(out)
+        return out
+
     old = o.filter("o_orderstatus <> 'P'").select(
         F.col("o_orderkey").cast("string").alias("video_id"),
-        F.to_json(F.struct(views.alias("view_count"), day.alias("upload_date"))).alias("video_meta_json"),
+        either(0, F.to_json(F.struct(views.alias("view_count"), day.alias("upload_date")))).alias("video_meta_json"),
         F.col("o_orderdate").cast("date").cast("timestamp").alias("meta_updated_at"),
     )
     seen = F.when(F.col("o_orderstatus") == "O", views + 1).otherwise(views)
     new = o.select(
         F.col("o_orderkey").cast("string").alias("video_id"),
-        F.to_json(F.struct(day.alias("upload_date"), seen.alias("view_count"))).alias("video_meta_json"),
+        either(1, F.to_json(F.struct(day.alias("upload_date"), seen.alias("view_count")))).alias("video_meta_json"),
         F.lit(None).cast("timestamp").alias("meta_updated_at"),
     )
     stamped = ingest.stamp_changes(old, new, now())
@@ -450,6 +509,10 @@ def make_stub():
         asked = prompt.split(text.RETRY_ERROR)[0]
         if len(asked) % 7 == 0:
             raise enrich.Unavailable()
+        if len(asked) % 11 == 0 and len(asked) % 5:  # gone when it is asked again
+            if prompt == asked:
+                return "one moment"
+            raise enrich.Unavailable()
         if len(asked) % 5 == 0:
             return "no JSON"
         if len(asked) % 3 == 0 and prompt == asked:
@@ -514,11 +577,20 @@ def t2_strip_fences(spark, sf):
 
 
 def answers(spark, sf) -> DataFrame:
-    """Event properties as answers; some lost their end, some are missing."""
-    kind = F.col("event_type")
-    cut = F.col("props").substr(F.lit(1), F.length("props") - 1)
+    """Event properties as answers; some lost their end, some are missing, and some have text, a second
+    object, a bare word or the wrong quotes."""
+    kind, props, n = F.col("event_type"), F.col("props"), F.col("event_id") % 10
+    cut = props.substr(F.lit(1), F.length("props") - 1)
+    broken = (
+        F.when(n == 1, F.concat(props, F.lit(" and so on")))
+        .when(n == 2, F.concat(props, props))
+        .when(n == 3, F.lit('{"k":NaN}'))
+        .when(n == 4, F.lit("{'k':1}"))
+        .when(n == 5, F.concat(props, F.lit(',"b":{"c":1}')))
+        .otherwise(props)
+    )
     return D.table(spark, sf, "events").select(
-        "event_id", F.when(kind == "error", cut).when(kind != "signup", F.col("props")).alias("answer")
+        "event_id", F.when(kind == "error", cut).when(kind != "signup", broken).alias("answer")
     )
 
 
@@ -994,12 +1066,12 @@ def j8_star_join(spark, sf):
 
 @query
 def j10_date_key_join(spark, sf):
-    """Orders by day of the calendar; those outside its ten years are dropped."""
-    days = D.dim_date(spark).select("date_id", "date", "is_weekend")
+    """Events and orders by day of a calendar that holds them all."""
+    days = calendar(spark, "1992-01-01", "2024-12-31").select("date_id", "date", "is_weekend")
     lines = D.table(spark, sf, "events").select(F.to_date("ts").alias("date"), "user_id")
     orders = D.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("user_id"))
     both = lines.unionByName(orders)
-    return both.join(F.broadcast(days), "date").groupBy("date_id", "is_weekend").agg(
+    return both.join(days, "date").groupBy("date_id", "is_weekend").agg(
         F.count("*").alias("n"), F.max("user_id").alias("highest")
     )
 
@@ -1057,6 +1129,19 @@ def w2_latest_null_first(spark, sf):
     return windows.latest(first, ["video_id"], "snapshot_date")
 
 
+@query
+def w4_number_rows_null(spark, sf):
+    """As ``w4_number_rows``; some users and some times are not known."""
+    points = D.detector_points(spark, sf).select(
+        F.when(F.col("user_id") % 7 > 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("seq") % 500 > 0, F.col("t")).alias("t"),
+        "seq",
+    )
+    numbered = windows.number_rows(points, ["user_id"], "t", F.floor(F.col("t") / EVENT_BUCKET))
+    # rows without a time are interchangeable
+    return numbered.select("user_id", "t", F.when(F.col("t").isNotNull(), F.col("seq")).alias("seq"), "sequence")
+
+
 @query
 def w4_number_rows(spark, sf):
     """Events of each user numbered in time order, one day per bucket."""
