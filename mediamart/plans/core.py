@@ -7,6 +7,7 @@ raw row is one video, so a video with very many segments or events is one row in
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mediamart.functions.json import number
 from mediamart.operators.joins import newer_rows
 from mediamart.plans import staging
 from mediamart.schemas import CONTRACTS
@@ -71,14 +72,13 @@ def core_chapters(
     """Chapters with the id of their class.  Invalid chapters stay in; a label that the
     taxonomy does not know drops the chapter; the main category is not compared.
 
-    The taxonomy has 50 rows, so it may be broadcast.  The join of chapters and classes is on
-    (video, segment), which spreads a video with many chapters.
+    A video's chapters and classes are in one raw row and meet there, each chapter with every class of
+    its segment, so nothing is shuffled.  The taxonomy has 50 rows, so it may be broadcast.
     """
     new = unseen(raw, existing, ["video_id"])
-    classes = (
-        _valid(staging.stg_classifications(new))
-        .join(F.broadcast(core_subcategories), "subcategory")
-        .select("video_id", "start_segment_id", "subcategory_id")
+    chapters = staging.stg_chapters(new.withColumn("_classes", staging.classes_of(new)), "_classes")
+    own = F.filter("_classes", lambda k: number(k["id"], "int") == F.col("start_segment_id"))
+    rows = chapters.withColumn("_class", F.explode(own)).join(
+        F.broadcast(core_subcategories), F.trim(F.col("_class.subcategory")) == F.col("subcategory")
     )
-    rows = staging.stg_chapters(new).join(classes, ["video_id", "start_segment_id"])
     return _named("core_chapters", rows)

@@ -12,10 +12,10 @@ def _finished(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("process_status") == FINISHED)
 
 
-def _exploded(raw: DataFrame, artefact: str, items: Column) -> DataFrame:
-    """One row per element; videos without elements vanish."""
+def _exploded(raw: DataFrame, artefact: str, items: Column, *kept: str) -> DataFrame:
+    """One row per element, with ``kept`` columns of its video; videos without elements vanish."""
     some = _finished(raw).filter(F.col(artefact).isNotNull())
-    return some.select("video_id", F.explode(items).alias("item")).select("video_id", "item.*")
+    return some.select("video_id", *kept, F.explode(items).alias("item")).select("video_id", *kept, "item.*")
 
 
 def _blank(c: str) -> Column:
@@ -99,12 +99,13 @@ def stg_transcripts(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_chapters(raw: DataFrame) -> DataFrame:
+def stg_chapters(raw: DataFrame, *kept: str) -> DataFrame:
     chapters = records(F.col("llm_chapter_json"), "chapters", CHAPTER_FIELDS)
     return (
-        _exploded(raw, "llm_chapter_json", chapters)
+        _exploded(raw, "llm_chapter_json", chapters, *kept)
         .select(
             "video_id",
+            *kept,
             number(F.col("id"), "int").alias("start_segment_id"),
             number(F.col("end_id"), "int").alias("end_segment_id"),
             F.col("theme").alias("chapter_theme"),
@@ -116,10 +117,14 @@ def stg_chapters(raw: DataFrame) -> DataFrame:
     )
 
 
+def classes_of(raw: DataFrame) -> Column:
+    """The classes of a video, as they are in its row."""
+    return records(raw["llm_classifier_json"], "classifications", CLASSIFICATION_FIELDS)
+
+
 def stg_classifications(raw: DataFrame) -> DataFrame:
-    classes = records(F.col("llm_classifier_json"), "classifications", CLASSIFICATION_FIELDS)
     return (
-        _exploded(raw, "llm_classifier_json", classes)
+        _exploded(raw, "llm_classifier_json", classes_of(raw))
         .select(
             "video_id",
             number(F.col("id"), "int").alias("start_segment_id"),
