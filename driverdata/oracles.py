@@ -236,6 +236,12 @@ ORACLES = {
         NOT (no_tr OR empty_tr) AND NOT (no_ch OR empty_ch) AND no_cl AS needs_classes FROM h""",
     "r14_status": full(HALF) + "SELECT * FROM st",
     "r15_changed_rows": full(HALF) + "SELECT count(*) AS changed FROM st WHERE process_status = 'finished'",
+    "ingest_run": f"""SELECT CAST(doc_id AS VARCHAR) AS video_id,
+        CASE WHEN doc_id % 13 <> 0 AND doc_id % 5 <> 0 THEN 'finished' END AS process_status, doc_id % 13 <> 0 AS chapters,
+        CASE WHEN doc_id % 13 <> 0 AND doc_id % 5 <> 0 THEN doc_id END AS view_count,
+        CASE WHEN doc_id % 13 <> 0 AND doc_id % 5 <> 0 THEN {share('1.9', '(doc_id % 50 + 60)')} END AS laughter_percent,
+        CASE WHEN doc_id % 13 = 0 THEN 3 END AS skipped, (SELECT count(*) FROM documents WHERE doc_id % 13 <> 0) AS first,
+        0 AS second, FALSE AS built_again FROM documents""",
     "r16_playlist_urls": """SELECT DISTINCT source || '-' || lang AS playlist_id,
         'https://www.youtube.com/playlist?list=' || source || '-' || lang AS url FROM documents WHERE source <> 'src3'""",
     "r17_audio_keys": "SELECT doc_id, 'data/audio/' || doc_id || '.opus' AS object_name FROM documents",

@@ -12,6 +12,8 @@ from mediamart.functions import dates, json, numbers
 from mediamart.functions.arrays import let
 from mediamart.operators import detections, enrich, ingest, joins, quality, text, windows
 from mediamart.plans import build, core, marts, reporting, staging
+from mediamart.plans.ingest_run import Functions
+from mediamart.plans.ingest_run import run as run_ingest
 from mediamart.schemas import CONTRACTS, struct
 from mediamart.session import shared_folder
 from mediamart.sources import taxonomy
@@ -480,6 +482,58 @@ def r15_changed_rows(spark, sf):
     return ingest.changed_rows(before, after).agg(F.count("*").alias("changed"))
 
 
+def make_answer(kind: str):
+    """Maker of a deterministic stand-in for an outside service; a video is known by the end of its
+    address, one in thirteen cannot be had, and one in five has no points."""
+
+    def make():
+        def answer(prompt: str) -> str:
+            if kind == "chapters":
+                return '```json\n{"chapters":[{"id":0,"theme":"All","summary":"of it"},{"id":1,"theme":"End","summary":"too"}]}\n```'
+            if kind == "classes":
+                return '{"classifications":[{"id":0,"main_category":"x","subcategory":"Parenting","reason":"r"}]}'
+            n = int(prompt.rsplit("/", 1)[1])
+            if n % 13 == 0:
+                raise enrich.Unavailable()
+            if kind == "meta":
+                return f'{{"duration":{n % 50 + 60},"like_count":1,"view_count":{n},"comment_count":0,"upload_date":"20200105"}}'
+            if kind == "transcript":
+                return '{"sentences":[{"text":"one","start":0.0,"end":5.0},{"text":"two","start":5.0,"end":9.0}]}'
+            if n % 5 == 0:
+                return "{}"
+            return "{" + ",".join(f'"{t / 10}":0.9' for t in range(10, 30)) + "}"
+
+        return answer
+
+    return make
+
+
+@query
+def ingest_run(spark, sf):
+    """From playlists to built tables, twice: each document is a playlist of one video.  The second run finds
+    nothing changed and builds nothing."""
+    tables = new_tables(spark, "ingest")
+    doc = F.col("doc_id").cast("string")
+    entry = F.struct(
+        doc.alias("id"), doc.alias("title"), F.concat(F.lit("https://media.example/"), doc).alias("url"),
+        F.col("source").alias("channel_id"), F.upper("source").alias("channel"),
+    )
+    lists = D.table(spark, sf, "documents").select(F.col("lang").alias("id"), F.upper("lang").alias("title"), F.array(entry).alias("entries"))
+    functions = Functions(*[make_answer(k) for k in ("meta", "transcript", "points", "chapters", "classes")])
+    days = D.dim_date(spark)
+    first = run_ingest(tables, lists, days, functions, now())
+    missed = first.skipped.groupBy("video_id").agg(F.count("*").alias("skipped"))
+    second = run_ingest(tables, lists, days, functions, now())
+    metrics = tables.read("fact_video_metrics").select("video_id", "view_count", "laughter_percent")
+    return (
+        tables.read("process_video")
+        .select("video_id", "process_status", F.col("llm_chapter_json").isNotNull().alias("chapters"))
+        .join(metrics, "video_id", "left")
+        .join(missed, "video_id", "left")
+        .withColumns({"first": F.lit(first.changed), "second": F.lit(second.changed), "built_again": F.lit(second.built is not None)})
+    )
+
+
 @query
 def r16_playlist_urls(spark, sf):
     known = D.table(spark, sf, "documents").withColumn(

@@ -168,15 +168,17 @@ def set_status(raw: DataFrame, artefacts: list[str] = ARTEFACTS) -> DataFrame:
 
 
 def changed_rows(old: DataFrame, new: DataFrame, key: str = "video_id") -> DataFrame:
-    """Rows of ``new`` with any value different from the stored row, or without a stored row.
+    """Rows of ``new`` with any JSON value or status different from the stored row, or without one.
 
     Counting them tells whether the tables behind need to be built at all.
     """
-    watched = [c for c in [*ARTEFACTS, "process_status"] if c in new.columns]
+    watched = [json_value(F.col(c)).alias(c) for c in ARTEFACTS if c in new.columns]
+    watched += [F.col("process_status")] if "process_status" in new.columns else []
     before = old.select(key, F.struct(*watched).alias("_old"))
     return (
-        new.join(before, key, "left")
-        .filter(~F.struct(*watched).eqNullSafe(F.col("_old")))
+        new.withColumn("_new", F.struct(*watched))
+        .join(before, key, "left")
+        .filter(~F.col("_new").eqNullSafe(F.col("_old")))
         .select(*new.columns)
     )
 
