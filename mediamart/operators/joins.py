@@ -53,15 +53,17 @@ def points_in_ranges(
     kept = [F.col(f"r.{c}") for c in ranges.columns]
     if how == "inner":
         return spread.join(slotted, inside).select(*kept, *[F.col(f"p.{c}") for c in own])
-    # both uses read all columns, so the slotted sides are shuffled once and shared
-    point = F.when(F.col("p._slot").isNotNull(), F.struct(*[F.col(f"p.{c}") for c in own]))
-    joined = spread.join(slotted, inside, "left").select(*kept, point.alias("_point"))
-    matches = joined.filter("_point IS NOT NULL").select(*ranges.columns, *[F.col(f"_point.{c}").alias(c) for c in own])
+    # a match is told by a null-safe comparison of both sides and both uses read all columns, so that
+    # the left join stays the same in both and its sides are shuffled once
+    point = F.struct(*[F.col(f"p.{c}") for c in own])
+    hit = F.coalesce(F.col("p._slot"), F.lit(-(2**62))).eqNullSafe(F.col("r._slot"))
+    joined = spread.join(slotted, inside, "left").select(*kept, hit.alias("_hit"), point.alias("_point"))
+    matches = joined.filter("_hit").select(*ranges.columns, *[F.col(f"_point.{c}").alias(c) for c in own])
     # a range without any point has one row per slot and copy
     slots = F.greatest(F.lit(1), F.coalesce(F.size(_slots(F.col(start), F.col(end), width)), F.lit(1)))
     empty = (
         joined.groupBy(*ranges.columns)
-        .agg(F.max("_point").alias("_point"), F.count("*").alias("_rows"))
+        .agg(F.max(F.when(F.col("_hit"), F.col("_point"))).alias("_point"), F.count("*").alias("_rows"))
         .filter("_point IS NULL")
         .select(*ranges.columns, F.explode(F.sequence(F.lit(1), (F.col("_rows") / slots).cast("int"))).alias("_copy"))
         .drop("_copy")

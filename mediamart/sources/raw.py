@@ -13,10 +13,11 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 def read_raw_jdbc(spark: SparkSession, url: str, table: str, partitions: int, **options: str) -> DataFrame:
     """Raw table from a relational database, read in ``partitions`` parallel hash slices.
 
-    Every row falls in exactly one slice; the hash is evaluated by the database.
+    Every row falls in exactly one slice, one without an id in the first; the hash is evaluated by
+    the database.
     """
     slices = [
-        f"mod(abs(hashtext(video_id)::bigint), {partitions}) = {i}" for i in range(partitions)
+        f"coalesce(mod(abs(hashtext(video_id)::bigint), {partitions}), 0) = {i}" for i in range(partitions)
     ]
     return spark.read.jdbc(url, table, predicates=slices, properties=options).select(*RAW.names)
 

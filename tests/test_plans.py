@@ -1,5 +1,6 @@
 """The shape of the plans that decides about scale."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -84,6 +85,21 @@ def test_range_join_is_an_equality_join_on_key_and_slot(no_broadcast):
     assert "partial_sum" in text
 
 
+def test_points_and_ranges_are_shuffled_once(no_broadcast):
+    ranges = no_broadcast.createDataFrame([("v", 0.0, 1.0)], "k string, s double, e double")
+    points = no_broadcast.createDataFrame([("v", 0.5, 1)], "k string, t double, n int")
+    df = joins.points_in_ranges(ranges, points, ["k"], "t", "s", "e")
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    lines = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
+    assert len([line for line in lines if "ReusedExchange" not in line]) == 3
+
+
+def test_chapters_meet_their_classes_without_a_shuffle(no_broadcast, tables):
+    core_rows = core.core_chapters(stored(tables, "process_video"), no_broadcast.createDataFrame([(40, 8, "x")], CONTRACTS["core_subcategories"]))
+    assert "Exchange hash" not in plan(core_rows)
+
+
 def test_segments_are_read_once_for_both_bounds(no_broadcast, tables):
     segments = stored(tables, "core_transcript_segments", ("a", 1, "x", 0.0, 1.0))
     chapters = stored(tables, "core_chapters", ("a", 1, 1, "s", 40))
@@ -94,18 +110,18 @@ def test_segments_are_read_once_for_both_bounds(no_broadcast, tables):
 
 
 def test_daily_deltas_shuffle_the_snapshots_once(no_broadcast, tables):
-    meta = stored(tables, "core_videos_meta", ("a", None, 1, 1, 1))
-    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, None, None))
-    days = no_broadcast.createDataFrame([], CONTRACTS["dim_date"])
+    meta = stored(tables, "core_videos_meta", ("a", dt.date(2024, 2, 1), 1, 1, 1))
+    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)))
+    days = F.broadcast(no_broadcast.createDataFrame([], CONTRACTS["dim_date"]))  # as Spark does by size
     df = marts.fact_video_daily_snapshot(meta, videos, days)
     assert exchanges(df) == ["video_id", "video_id"]  # snapshots and videos
 
 
 def test_video_metrics_stay_partitioned_by_video(no_broadcast, tables):
-    meta = stored(tables, "core_videos_meta", ("a", None, 1, 1, 1))
-    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, None, None))
+    meta = stored(tables, "core_videos_meta", ("a", dt.date(2024, 2, 1), 1, 1, 1))
+    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)))
     features = stored(tables, "core_sound_features", ("a", 1, 1, 1.0, 1.0, 1.0, 0.5, 0.5))
-    days = no_broadcast.createDataFrame([], CONTRACTS["dim_date"])
+    days = F.broadcast(no_broadcast.createDataFrame([], CONTRACTS["dim_date"]))  # as Spark does by size
     df = marts.fact_video_metrics(videos, meta, features, days)
     assert exchanges(df) == ["video_id"] * 3 and "partial_sum" in plan(df)
 
