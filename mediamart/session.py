@@ -13,6 +13,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.session.timeZone": "UTC",
+    # a Python worker holds a batch several times over; rows here may be whole documents
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
