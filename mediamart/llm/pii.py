@@ -11,8 +11,8 @@ Everything is DataFrame functions: no Python runs on the executors.  A document'
 are counted by partial aggregation, and pairs are joined on (entity, term), so an entity that a third of
 all documents hold is spread by its terms.
 
-Null texts count as empty; null ids stay null.  Rows that repeat are judged each for itself, and their
-text counts once as support.  Positions are code points, the end is exclusive.
+Null texts count as empty; null ids stay null.  Rows that repeat are judged each for itself; copies of a
+text count as one of ``support``.  Positions are code points, the end is exclusive.
 """
 
 from __future__ import annotations
@@ -114,26 +114,31 @@ def disclosures(docs: DataFrame, base: DataFrame, around: int, support: int, gen
         F.expr(f"substring(text, span.end + 1, {around})"),
     )
     entity = F.concat_ws(":", "span.kind", F.lower("span.value"))
-    mentions = base.filter("size(spans) > 0").select("text_key", "text", span).select("text_key", entity.alias("entity"), near.alias("near"))
+    mentions = (
+        base.filter("size(spans) > 0")
+        .select("row", "text_key", "text", span)
+        .select("row", "text_key", entity.alias("entity"), near.alias("near"))
+    )
     pairs = (
-        mentions.select("text_key", "entity", F.explode(_words(F.col("near"))).alias("term"))
+        mentions.select("row", "text_key", "entity", F.explode(_words(F.col("near"))).alias("term"))
         .distinct()
+        .groupBy("entity", "term", "text_key")
+        .agg(F.count("*").alias("n"))
         .groupBy("entity", "term")
-        .agg(F.count("*").alias("n_pair"))
-        .filter(F.col("n_pair") >= support)
+        .agg(F.sum("n").alias("n_pair"), F.count("*").alias("n_texts"))
+        .filter(F.col("n_texts") >= support)
     )
-    held = mentions.select("text_key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    texts = base.select("text_key").distinct().count()
-    once = docs.select(text_of().alias("text"))
+    held = mentions.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
+    documents = base.count()
     counts = (
-        once.select(F.explode(_words(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+        docs.select(F.explode(_words(text_of())).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     )
-    information = -F.log(F.col("n_entity") / texts)
-    pmi = F.log(F.col("n_pair") * float(texts) / (F.col("n_term") * F.col("n_entity")))
+    information = -F.log(F.col("n_entity") / documents)
+    pmi = F.log(F.col("n_pair") * float(documents) / (F.col("n_term") * F.col("n_entity")))
     return (
         pairs.join(held, "entity")
         .join(counts, "term")
-        .filter(F.col("n_entity") < texts)
+        .filter(F.col("n_entity") < documents)
         .withColumn("disclosure", pmi / information)
         .filter(F.col("disclosure") >= generalise)
         .select("entity", "term", "disclosure", (F.col("disclosure") >= remove).alias("removed"))

@@ -77,7 +77,7 @@ def test_terms(documents, corpus):
     # brute force: share of information of the pair
     import math
 
-    total = len({t or "" for _, t in corpus})
+    total = len(corpus)
     pair = entity = 6
     term = 7
     share = math.log(pair * total / (term * entity)) / -math.log(entity / total)
