@@ -249,14 +249,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = store(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low"))
+        low = store(both.groupBy("u").agg(F.min("v").alias("low")), "edges-low")  # stored: the join can be split
         large = (
             both.filter("v > u")
             .join(low, "u")
             .select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
             .distinct()
         )
-        low = large.groupBy("u").agg(F.min("v").alias("low"))
+        large = store(large, "edges-large")
+        low = store(large.groupBy("u").agg(F.min("v").alias("low")), "edges-low")
         small = (
             large.join(low, "u")
             .select(F.explode(F.array(F.struct("u", F.col("low").alias("v")), F.struct(F.col("v").alias("u"), F.col("low").alias("v")))).alias("e"))
