@@ -47,7 +47,7 @@ def words(text: str) -> list[bytes]:
 class Hashes(dict):
     """Word to 64-bit hash, remembered.  Emptied when it holds ``most`` words, so memory is bounded."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 
