@@ -133,8 +133,15 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
             "upload_date": F.date_format(upload_day(), "yyyyMMdd"),
         }
     )
-    segments = let(F.split("text", " "), sentences)
-    return w.select(
+    made = let(  # the segments are cut once for the three artefacts made of them
+        let(F.split("text", " "), sentences),
+        lambda s: F.struct(
+            segments_map(s).alias("transcript"),
+            chapters(s, F.col("doc_id")).alias("chapters"),
+            F.to_json(F.struct(classes(s).alias("classifications"))).alias("classes"),
+        ),
+    )
+    return w.withColumn("made", made).select(
         "doc_id",
         F.col("source").alias("channel_id"),
         F.concat(F.lit(" "), F.upper("source"), F.lit(" ")).alias("channel_name"),
@@ -144,9 +151,9 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("  "), "lang", F.lit(" "), F.col("doc_id").cast("string"), F.lit(" ")).alias("video_title"),
         F.concat(F.lit("https://media.example/"), F.col("doc_id").cast("string")).alias("video_url"),
         meta.alias("video_meta_json"),
-        segments_map(segments).alias("transcribe_json"),
-        let(segments, lambda s: chapters(s, F.col("doc_id"))).alias("chapter_list"),
-        F.to_json(F.struct(let(segments, classes).alias("classifications"))).alias("llm_classifier_json"),
+        F.col("made.transcript").alias("transcribe_json"),
+        F.col("made.chapters").alias("chapter_list"),
+        F.col("made.classes").alias("llm_classifier_json"),
         F.to_json(word_points()).alias("sound_classifier_json"),
         F.when(F.exists("words", is_heard), FINISHED).otherwise("new").alias("process_status"),
         upload_day().cast("timestamp").alias("created_at"),
