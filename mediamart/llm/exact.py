@@ -76,8 +76,9 @@ def assign(docs: DataFrame, prefix: int = 256, slots: int = 1 << 23, hash_all: b
         "exact-hashed",
     )
     rest = hashed.filter("shared")
-    groups = rest.groupBy("sha256").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("winner")
+    groups = store(  # stored, so that the join with the rows has an exchange of its own, which AQE can split
+        rest.groupBy("sha256").agg(F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row")).alias("winner")),
+        "exact-groups",
     )
     settled = hashed.filter("NOT shared").select(
         "doc_id",
