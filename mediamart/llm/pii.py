@@ -1,11 +1,17 @@
 """Personal data: fixed patterns, and terms that give the protected values away.
 
-Base spans are the matches of four patterns.  Each distinct value is a protected *entity*.  A term (a word of
-three letters or more) discloses an entity e as far as its occurrence near e lowers the information
+Base spans are the matches of four patterns.  A match stands for several protected *entities*, each with an
+information of its own: its value (digits alone for cards and phones, so the way of writing does not matter),
+what the value belongs to (an email's domain, a phone's digits before the last seven, a card's first six, an
+address's first three and first two octets) and its kind.  Values seldom repeat; the wider entities gather support.
+
+A term (a word of three letters or more) discloses an entity e as far as its occurrence near e lowers the information
 e has: disclosure(t, e) = PMI(t; e) / IC(e), with PMI(t; e) = log p(t, e) / (p(t) p(e)) and IC(e) = -log p(e).  Probabilities
 are shares of all documents; ``near`` is within 80 characters of a match.  It is 1 for a term that no
 document has without e near it.  In the documents that hold e, terms at or above ``generalise`` become
-a placeholder, and those at or above ``remove`` go.  A pair counts only with ``support`` distinct texts.
+a placeholder, and those at or above ``remove`` go.  A pair counts only with ``support`` distinct texts; with a wider
+entity, that many documents may hold e that chance alone makes such a pair, so the chance (Chernoff's bound
+for the share of the term's documents that have e near it) must be at most ``chance`` as well.
 
 Everything is DataFrame functions: no Python runs on the executors.  A document's spans stay in its own row; words
 are counted by partial aggregation, and pairs are joined on (entity, term), so an entity that a third of
@@ -17,6 +23,8 @@ text count as one of ``support``.  Positions are code points, the end is exclusi
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,7 +113,29 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))
 
 
-def disclosures(docs: DataFrame, base: DataFrame, around: int, support: int, generalise: float, remove: float) -> DataFrame:
+def entities(span: Column) -> Column:
+    """What a span's value stands for: the value first, then the wider entities, the kind last."""
+    kind, value = span["kind"], F.lower(span["value"])
+    digits, octets = _digits(value), F.transform(F.split(value, r"\."), lambda o: o.cast("int").cast("string"))
+    named = lambda what, x: F.concat_ws(":", kind, F.lit(what), x)
+    return (
+        F.when(kind == "email", F.array(named("value", value), named("domain", F.substring_index(value, "@", -1)), kind))
+        .when(kind == "card", F.array(named("value", digits), named("issuer", F.substring(digits, 1, 6)), kind))
+        .when(kind == "phone", F.array(named("value", digits), named("prefix", F.left(digits, F.length(digits) - 7)), kind))
+        .otherwise(
+            F.array(
+                named("value", F.array_join(octets, ".")),
+                named("net", F.array_join(F.slice(octets, 1, 3), ".")),
+                named("net", F.array_join(F.slice(octets, 1, 2), ".")),
+                kind,
+            )
+        )
+    )
+
+
+def disclosures(
+    docs: DataFrame, base: DataFrame, around: int, support: int, generalise: float, remove: float, chance: float
+) -> DataFrame:
     """(entity, term, disclosure, removed) of the pairs at or above the threshold."""
     span = F.explode("spans").alias("span")
     near = F.concat_ws(
@@ -113,11 +143,10 @@ def disclosures(docs: DataFrame, base: DataFrame, around: int, support: int, gen
         F.expr(f"substring(text, greatest(span.start - {around}, 0) + 1, least(span.start, {around}))"),
         F.expr(f"substring(text, span.end + 1, {around})"),
     )
-    entity = F.concat_ws(":", "span.kind", F.lower("span.value"))
     mentions = (
         base.filter("size(spans) > 0")
         .select("row", "text_key", "text", span)
-        .select("row", "text_key", entity.alias("entity"), near.alias("near"))
+        .select("row", "text_key", near.alias("near"), F.explode(entities(F.col("span"))).alias("entity"))
     )
     pairs = (
         mentions.select("row", "text_key", "entity", F.explode(_words(F.col("near"))).alias("term"))
@@ -135,10 +164,14 @@ def disclosures(docs: DataFrame, base: DataFrame, around: int, support: int, gen
     )
     information = -F.log(F.col("n_entity") / documents)
     pmi = F.log(F.col("n_pair") * float(documents) / (F.col("n_term") * F.col("n_entity")))
+    share, rate = F.col("n_pair") / F.col("n_term"), F.col("n_entity") / float(documents)
+    without = F.when(share < 1, (1 - share) / share * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    unlikely = F.col("n_texts") * (pmi + without) >= -math.log(chance)
     return (
         pairs.join(held, "entity")
         .join(counts, "term")
         .filter(F.col("n_entity") < documents)
+        .filter(F.col("entity").contains(":value:") | unlikely)
         .withColumn("disclosure", pmi / information)
         .filter(F.col("disclosure") >= generalise)
         .select("entity", "term", "disclosure", (F.col("disclosure") >= remove).alias("removed"))
@@ -146,7 +179,12 @@ def disclosures(docs: DataFrame, base: DataFrame, around: int, support: int, gen
 
 
 def find(
-    docs: DataFrame, around: int = 80, support: int = 3, generalise: float = 0.8, remove: float = 0.95
+    docs: DataFrame,
+    around: int = 80,
+    support: int = 3,
+    generalise: float = 0.8,
+    remove: float = 0.95,
+    chance: float = 1e-4,
 ) -> DataFrame:
     """One row per document: doc_id, text (of documents with spans only), base, terms, removed.
 
@@ -165,10 +203,13 @@ def find(
         ),
         "pii-base",
     )
-    pairs = store(disclosures(docs, base, around, support, generalise, remove), "pii-pairs")
+    pairs = store(disclosures(docs, base, around, support, generalise, remove, chance), "pii-pairs")
     holding = base.filter("size(spans) > 0")
-    entity = F.concat_ws(":", "span.kind", F.lower("span.value")).alias("entity")
-    mentions = holding.select("row", F.explode("spans").alias("span")).select("row", entity).distinct()
+    mentions = (
+        holding.select("row", F.explode("spans").alias("span"))
+        .select("row", F.explode(entities(F.col("span"))).alias("entity"))
+        .distinct()
+    )
     words = holding.select("row", F.explode(_words(F.col("text"))).alias("term"))
     of_row = (
         words.join(pairs.select("term").distinct(), "term")

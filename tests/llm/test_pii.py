@@ -93,6 +93,38 @@ def test_terms(documents, corpus):
     assert {r.doc_id: r.text for r in pii.sanitised(gone).collect()}[201] == ": [EMAIL]"
 
 
+def test_terms_of_values_that_never_repeat(documents, words):
+    plain = [(k, " ".join(words(40, k))) for k in range(400)]
+    cards = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"]
+    rows = plain + [(1000 + k, f"{' '.join(words(5, 500 + k))} quartzling user{k}@host{k}.org") for k in range(6)]
+    rows += [(2000 + k, f"velvetine u{k}@same.org {' '.join(words(5, 600 + k))}") for k in range(4)]
+    rows += [(3000 + k, f"{' '.join(words(5, 700 + k))} bramblet {card}") for k, card in enumerate(cards)]
+    got = {r.doc_id: [r.text[s.start : s.end] for s in r.terms] for r in pii.find(documents(rows)).collect() if r.text}
+    for k in range(6):  # the kind gathers them
+        assert "quartzling" in got[1000 + k]
+    for k in range(4):  # the domain does
+        assert "velvetine" in got[2000 + k]
+    for k in range(3):  # one card, three ways to write it
+        assert "bramblet" in got[3000 + k]
+
+
+def test_chance_pairs_of_a_common_kind(documents, words):
+    rows = [(k, " ".join(words(12, k)) + (f" u{k}@h{k}.org" if k % 2 else "")) for k in range(400)]
+    assert all(r.terms == [] for r in pii.find(documents(rows)).collect())
+
+
+def test_entities(spark):
+    values = [("email", "A@b.C"), ("card", "4111-1111 1111 1111"), ("phone", "+1 (377) 555-0271"), ("ip", "010.2.3.4")]
+    rows = spark.createDataFrame(values, "kind string, value string")
+    got = rows.select("kind", pii.entities(F.struct("kind", "value")).alias("e")).collect()
+    assert {r.kind: r.e for r in got} == {
+        "email": ["email:value:a@b.c", "email:domain:b.c", "email"],
+        "card": ["card:value:4111111111111111", "card:issuer:411111", "card"],
+        "phone": ["phone:value:13775550271", "phone:prefix:1377", "phone"],
+        "ip": ["ip:value:10.2.3.4", "ip:net:10.2.3", "ip:net:10.2", "ip"],
+    }
+
+
 def test_empty_and_without_entities(documents):
     assert pii.find(documents([])).count() == 0
     got = pii.find(documents([(1, "nothing"), (1, "nothing")])).collect()
