@@ -2,7 +2,8 @@
 
 Words become tokens: numbers, names (capitalised inside a sentence) and units (after a number) become
 typed placeholders and keep their value as a *slot*, all others are lower case without punctuation at
-their ends.  Every window of eight tokens of the benchmark is hashed, as a template and as it is written
+their ends.  A number glued to letters ('5kg', '5-year') is two tokens.  A second template has names also at the start
+of sentences and lines, function words apart, and number words as numbers.  Every window of eight tokens of the benchmark is hashed, as a template and as it is written
 (a passage in other capitals has other names, but the same words); a Bloom filter of a fixed number
 of bits, sent to all tasks, passes over the documents' windows that no item has.  The windows left are
 hash-joined with the benchmark's.  Along one alignment of document and item the slots must map one to
@@ -38,16 +39,42 @@ UNITS = frozenset(
     "week weeks month months year years cent cents dollar dollars euro euros percent degree degrees "
     "mph kmh watt watts volt volts".split()
 )
-_NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*[%°]?")
+_FUNCTION = frozenset(
+    "a an the this that these those he she it they we you i his her its their our your my him them us me who whom whose "
+    "which what when where why how if then else so but and or nor yet for of in on at by to from with without within "
+    "into onto over under after before during until since while because although though as than about above below "
+    "between among through across against toward towards upon per via is are was were be been being am has have had "
+    "does do did can could should would shall must might not no yes there here each every all any some both either "
+    "neither none many much more most few less least several such other another same also only just even still again "
+    "now once first last next finally later however therefore thus hence let given suppose assume find".split()
+)
+_COUNTS = {
+    word: str(n)
+    for n, word in enumerate(
+        "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
+        "seventeen eighteen nineteen".split()
+    )
+}
+_TENS = {w: n * 10 for n, w in enumerate("twenty thirty forty fifty sixty seventy eighty ninety".split(), 2)}
+_COUNTS |= {w: str(n) for w, n in _TENS.items()} | {
+    f"{w}-{d}": str(n + int(_COUNTS[d])) for w, n in _TENS.items() for d in list(_COUNTS)[1:10]
+}
+_COUNTS |= {"dozen": "12", "hundred": "100", "thousand": "1000", "million": "1000000", "billion": "1000000000"}
+_NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(?:[%°]|st|nd|rd|th)?", re.I)
+#: A number and the letters that follow it, or that a hyphen joins to it; letters may hold further hyphens and slashes.
+_GLUED = re.compile(r"([\W_]*\d[\d.,:/]*)(-?[^\W\d_]+(?:[-/][^\W\d_]+)*[\W_]*)")
 _ENDS = re.compile(r"^[\W_]+|[\W_]+$")
 _BREAK = "\ue000"  # stands for a line break among the words
 CAPITAL, STOP, NUMBER, UNIT = 1, 2, 4, 8
+GLUED = NUMBER | UNIT  # no word is both
 
 
 def _hash(word: str) -> int:
     return xxhash.xxh64_intdigest(word) & (MASK ^ 0xF) or 16
 
 
+_COUNT_HASHES = np.sort(np.array([_hash(w) for w in _COUNTS], np.uint64))
+_FUNCTION_HASHES = np.sort(np.array([_hash(w) for w in _FUNCTION], np.uint64))
 _PLACEHOLDERS = [_hash(f"<{kind}>") for kind in ("number", "name", "unit")]
 
 
@@ -63,6 +90,8 @@ class _Words(dict):
             value = marks
         elif _NUMBER.fullmatch(core):
             value = _hash(core) | marks | NUMBER
+        elif core[-1].isalpha() and _GLUED.fullmatch(word):
+            value = 16 | marks | GLUED
         else:
             low = core.lower()
             marks |= CAPITAL * (core[0].isupper() and core[1:] != core[1:].upper()) | UNIT * (low in UNITS)
@@ -79,9 +108,21 @@ def _known() -> _Words:
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Token hashes as written, their kinds (0 plain, 1 number, 2 name, 3 unit), all words as written,
     and the word number of each token."""
+    value, kind, _, found, real = both(text)
+    return value, kind, found, real
+
+
+def both(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """``tokens`` with the kinds of the second template after the kinds of the first."""
     found = text.replace("\n", f" {_BREAK} ").split()
-    value = np.fromiter(map(_known().__getitem__, found), np.uint64, len(found))
+    known = _known()
+    value = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
     marks = (value & np.uint64(15)).astype(np.uint8)
+    glued = (marks & GLUED) == GLUED
+    if glued.any():
+        found = [p for w, g in zip(found, glued) for p in (_GLUED.fullmatch(w).groups() if g else (w,))]
+        value = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+        marks = (value & np.uint64(15)).astype(np.uint8)
     value &= ~np.uint64(15)
     real = np.flatnonzero(value)
     # a token starts a sentence where a word since the token before, that token included, ends one
@@ -90,25 +131,34 @@ def tokens(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     marks, value = marks[real], value[real]
     number = (marks & NUMBER) > 0
     unit = ((marks & UNIT) > 0) & np.r_[False, number[:-1]][: len(real)]
-    name = ((marks & CAPITAL) > 0) & ~starts & ~unit
-    return value, (number * 1 + name * 2 + unit * 3).astype(np.uint8), found, real
-
-
-def windows(value: np.ndarray, kind: np.ndarray, width: int) -> list[tuple[bool, np.ndarray, np.ndarray]]:
-    """(as written, places, hashes) of the windows of ``width`` tokens: as written all of them, as
-    templates those with a slot and enough plain words."""
+    capital = (marks & CAPITAL) > 0
+    name = capital & ~starts & ~unit
+    counted = np.isin(value, _COUNT_HASHES)
+    numbers = number | counted
+    units = ((marks & UNIT) > 0) & np.r_[False, numbers[:-1]][: len(real)] & ~counted
+    names = capital & ~units & ~counted & (~starts | ~np.isin(value, _FUNCTION_HASHES))
+    kind = (number * 1 + name * 2 + unit * 3).astype(np.uint8)
+    return value, kind, (numbers * 1 + names * 2 + units * 3).astype(np.uint8), found, real
+
+
+def windows(
+    value: np.ndarray, kind: np.ndarray, second: np.ndarray, width: int
+) -> list[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
+    """(kinds, places, hashes) of the windows of ``width`` tokens: as written (no kinds) all of them, as
+    templates those with a slot and enough plain words, of the second template where it differs."""
     n = len(value) - width + 1
     if n <= 0:
         return []
-    slots = np.r_[0, np.cumsum(kind > 0)]
-    slots = slots[width:] - slots[:-width]
-    out = [(True, np.arange(n), _rolled(value, width, width))]
-    at = np.flatnonzero((slots > 0) & (slots <= width - LEAST))
-    if len(at):
-        template = value.copy()
-        for k, placeholder in enumerate(_PLACEHOLDERS, 1):
-            template[kind == k] = np.uint64(placeholder)
-        out.append((False, at, _rolled(template, width, width + 100)[at]))
+    inside = lambda there: (c := np.r_[0, np.cumsum(there)])[width:] - c[:-width]
+    out = [(None, np.arange(n), _rolled(value, width, width))]
+    for kinds, wanted in ((kind, True), (second, inside(kind != second) > 0)):
+        slots = inside(kinds > 0)
+        at = np.flatnonzero((slots > 0) & (slots <= width - LEAST) & wanted)
+        if len(at):
+            template = value.copy()
+            for k, placeholder in enumerate(_PLACEHOLDERS, 1):
+                template[kinds == k] = np.uint64(placeholder)
+            out.append((kinds, at, _rolled(template, width, width + 100)[at]))
     return out
 
 
@@ -121,8 +171,9 @@ def _rolled(value: np.ndarray, width: int, seed: int) -> np.ndarray:
 
 
 def _slots(kind: np.ndarray, found: list[str], real: np.ndarray, at: int, width: int) -> list[str]:
-    """Slots of a window: kind and value."""
-    return [f"{kind[k]} {_ENDS.sub('', found[real[k]]).lower()}" for k in range(at, at + width) if kind[k]]
+    """Slots of a window: kind and value; number words are their digits."""
+    slots = [(kind[k], _ENDS.sub("", found[real[k]]).lower()) for k in range(at, at + width) if kind[k]]
+    return [f"{k} {_COUNTS.get(word, word) if k == 1 else word}" for k, word in slots]
 
 
 WINDOW = "hash long, place int, written boolean, slots array<string>"
@@ -135,14 +186,14 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for df in frames:
             rows = []
             for item_id, key, text in zip(df["item_id"].astype("Int64"), df["item_key"], df["text"]):
-                value, kind, found, real = tokens(text)
+                value, kind, second, found, real = both(text)
                 width = min(WIDTH, len(value))
                 if width < LEAST:
                     continue
                 total = len(value) - width + 1
-                for written, at, hashes in windows(value, kind, width):
+                for kinds, at, hashes in windows(value, kind, second, width):
                     for a, h in zip(at, hashes.astype(np.int64)):
-                        slots = [] if written else _slots(kind, found, real, a, width)
+                        slots = [] if kinds is None else _slots(kinds, found, real, a, width)
                         rows.append((h, width, item_id, key, a, slots, total))
             out = pd.DataFrame(
                 rows, columns=["hash", "width", "item_id", "item_key", "item_place", "item_slots", "item_windows"]
@@ -195,13 +246,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.3, enough: int
         for df in frames:
             rows = []
             for key, doc_id, text in zip(df["row_key"], df["doc_id"].astype("Int64"), df["text"]):
-                value, kind, found, real = tokens(text)
+                value, kind, second, found, real = both(text)
                 for width in widths:
-                    for written, at, hashes in windows(value, kind, width):
+                    for kinds, at, hashes in windows(value, kind, second, width):
                         hit = np.flatnonzero(_held(bits.value, hashes))
                         for a, h in zip(at[hit], hashes[hit].astype(np.int64)):
-                            slots = [] if written else _slots(kind, found, real, a, width)
-                            rows.append((key, doc_id, h, a, written, slots))
+                            slots = [] if kinds is None else _slots(kinds, found, real, a, width)
+                            rows.append((key, doc_id, h, a, kinds is None, slots))
             out = pd.DataFrame(rows, columns=["row_key", "doc_id", "hash", "place", "written", "slots"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out

@@ -60,6 +60,35 @@ def test_slots_must_agree(documents, spark):
     assert got == {1: False}
 
 
+def leaked(documents, spark, pairs):
+    """Which of the (item, document) pairs are found, each with a number of its own."""
+    items = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(pairs)], "item_id long, text string")
+    rows = [(k, d) for k, (_, d) in enumerate(pairs)]
+    return {r.doc_id: r.exact for r in decontaminate.leaks(documents(rows), items).collect() if r.doc_id == r.item_id}
+
+
+SWAPS = [
+    (
+        "Tom has 3 apples. Anna has 5 pears. Bob has 7 plums. How many fruits do they have together?",
+        "Ella has 4 apples. Jack has 9 pears. Nina has 8 plums. How many fruits do they have together?",
+    ),
+    ("a rope of 5kg hangs on a wall 30km from here on the 3rd of may", "a rope of 8kg hangs on a wall 45km from here on the 9th of may"),
+    ("there were five cats and nine dogs on the farm near a lake", "there were seven cats and two dogs on the farm near a lake"),
+    ("there were five cats and nine dogs near a river with one boat", "there were 7 cats and 2 dogs near a river with 3 boat"),
+]
+
+
+def test_names_at_starts_glued_units_and_number_words(documents, spark):
+    assert leaked(documents, spark, SWAPS) == {k: False for k in range(len(SWAPS))}
+
+
+def test_glued_words_are_two_tokens():
+    _, kind, found, real = tokens("weighs (5kg), 30km/h a 5-year-old 3rd mp3")
+    assert [(found[r], k) for r, k in zip(real, kind)] == [
+        ("weighs", 0), ("(5", 1), ("kg),", 3), ("30", 1), ("km/h", 0), ("a", 0), ("5", 1), ("-year-old", 0), ("3rd", 1), ("mp3", 0),
+    ]
+
+
 def test_tokens():
     _, kind, found, real = tokens("Then Bob ran 5 km. Two Dogs, 7 WORDS\nNew line 3.5% -- of it")
     assert [(found[r], k) for r, k in zip(real, kind)] == [
