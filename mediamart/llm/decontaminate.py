@@ -6,8 +6,10 @@ their ends.  A number glued to letters ('5kg', '5-year') is two tokens.  A secon
 of sentences and lines, function words apart, and number words as numbers.  Every window of eight tokens of the benchmark is hashed, as a template and as it is written
 (a passage in other capitals has other names, but the same words); a Bloom filter of a fixed number
 of bits, sent to all tasks, passes over the documents' windows that no item has.  The windows left are
-hash-joined with the benchmark's.  Along one alignment of document and item the slots must map one to
-one, so a question whose numbers and names were exchanged is found, and a chance mix of values is not.
+hash-joined with the benchmark's.  Along one alignment of document and item each number and unit of the item must
+stand for one value of the document, so a question whose numbers and names were exchanged is found, and a chance mix
+of values is not; two numbers may have become equal.  Names must map one to one, and windows with names that do not are
+left out.
 
 A document leaks an item when at least 30 % of the item's windows match, or 13 windows.  Items of four to
 seven tokens are one window; shorter ones, and templates with fewer than four plain words, say too
@@ -260,16 +262,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.3, enough: int
     hits = docs.select("doc_id", text_of().alias("text"), row_key().alias("row_key")).mapInPandas(
         search, f"row_key string, doc_id long, {WINDOW}"
     )
-    pairs = F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots"))))
+    window = F.struct("item_place", F.arrays_zip("item_slots", "slots").alias("pairs"))
+    value = F.filter("pairs", lambda p: ~p["item_slots"].startswith("2 "))
+    name = F.filter("pairs", lambda p: p["item_slots"].startswith("2 "))
+    # names of which one side has another partner too
+    torn = lambda p: F.exists("names", lambda q: (p["item_slots"] == q["item_slots"]) != (p["slots"] == q["slots"]))
     aligned = (
         hits.join(items, "hash")
         .groupBy("row_key", "doc_id", "item_key", "item_id", "item_windows", "written", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set("item_place").alias("places"), pairs.alias("pairs"))
-        .filter(
-            (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots")))
-            & (F.size("pairs") == F.size(F.array_distinct("pairs.slots")))
-        )
-        .withColumn("same", F.forall("pairs", lambda p: p["item_slots"] == p["slots"]))
+        .agg(F.collect_set(window).alias("windows"))
+        .withColumn("pairs", F.array_distinct(F.flatten("windows.pairs")))
+        .withColumn("values", value)
+        .withColumn("names", name)
+        .filter(F.size("values") == F.size(F.array_distinct("values.item_slots")))
+        .withColumn("torn", F.filter("names", torn))
+        .withColumn("windows", F.filter("windows", lambda w: ~F.arrays_overlap(w["pairs"], "torn")))
+        .filter(F.size("windows") > 0)
+        .withColumn("places", F.array_distinct("windows.item_place"))
+        .withColumn("same", F.forall(F.flatten("windows.pairs"), lambda p: p["item_slots"] == p["slots"]))
     )
     matched = F.size(F.array_distinct(F.flatten(F.collect_list("places"))))
     return (

@@ -82,6 +82,20 @@ def test_names_at_starts_glued_units_and_number_words(documents, spark):
     assert leaked(documents, spark, SWAPS) == {k: False for k in range(len(SWAPS))}
 
 
+def test_values_that_became_equal(documents, spark):
+    item = "there are 3 boys and then 5 girls in line when 2 dogs and 4 cats walk by the gate"
+    named = "so Tom gave the old red ball to Anna who then ran with it along the wall of the long garden near the house of Bob"
+    pairs = [
+        (item, item.replace("3", "6").replace("5", "8").replace("2", "6").replace("4", "9")),
+        (named, named.replace("Tom", "Carl").replace("Anna", "Carl").replace("Bob", "Dora")),
+        (named, named.replace("Tom", "Carl").replace("Anna", "Ella").replace("Bob", "Dora")),
+        ("when Tom saw the cat of Anna it ran", "when Carl saw the cat of Carl it ran"),
+    ]
+    got = leaked(documents, spark, pairs)
+    # of the names of the second only Bob has a partner of its own; windows without names are as written
+    assert set(got) == {0, 1, 2} and not got[0] and not got[2]
+
+
 def test_glued_words_are_two_tokens():
     _, kind, found, real = tokens("weighs (5kg), 30km/h a 5-year-old 3rd mp3")
     assert [(found[r], k) for r, k in zip(real, kind)] == [
