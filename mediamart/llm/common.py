@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 import uuid
 
 import numpy as np
@@ -12,11 +13,22 @@ from pyspark.sql import functions as F
 from mediamart.session import shared_folder
 
 MASK = (1 << 64) - 1
-#: ASCII characters that part words; every other character belongs to a word.
+#: ASCII characters that part words.
 _PARTING = bytes(c for c in range(128) if not (chr(c).isalnum() or c == 95))
 _TO_SPACE = bytes.maketrans(_PARTING, b" " * len(_PARTING))
 
 
+class _Parted(dict):
+    """Code point to itself, and to a space where it is beyond ASCII and no letter, digit or mark."""
+
+    def __missing__(self, point: int) -> int:
+        self[point] = value = point if point < 128 or unicodedata.category(chr(point))[0] in "LNM" else 32
+        return value
+
+
+_PARTED = _Parted()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,8 +51,9 @@ def store(df: DataFrame, label: str) -> DataFrame:
 
 
 def words(text: str) -> list[bytes]:
-    """Lower-case words in UTF-8: runs of ASCII letters, digits, ``_`` and any other characters
-    beyond ASCII."""
+    """Lower-case words in UTF-8: runs of letters, digits, marks and ``_``."""
+    if not text.isascii():
+        text = text.translate(_PARTED)
     return text.lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()
 
 

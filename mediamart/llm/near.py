@@ -18,7 +18,7 @@ further work is on one representative per class, so copies are never expanded in
 A pair of similarity s is missed with probability (1 - s^5)^25 in step 2, 5e-5 at s = 0.8 and 1e-8 at
 s = 0.87, and with the tolerance in step 3.  Every link returned is exact.
 
-Words are lower-case runs of letters, digits and ``_``.  A text of fewer than five words is one shingle; a
+Words are lower-case runs of letters, digits, marks and ``_``, in any script.  A text of fewer than five words is one shingle; a
 text without words (null and empty ones too) has no links and is a group of its own.
 """
 

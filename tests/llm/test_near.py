@@ -84,3 +84,16 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "u long, v long")
     got = {r.node: r.root for r in near.components(edges).collect()}
     assert got == {k: 0 for k in range(1, 41)} | {101: 100}
+
+
+def test_words_beyond_ascii():
+    assert [w.decode() for w in split("Don\u2019t\u00a0say \u201cÉté\u201d\u2014now\u3000日本。東京、x_1 हिन्दी\u2026 e\u0301a ½")] == [
+        "don", "t", "say", "été", "now", "日本", "東京", "x_1", "हिन्दी", "e\u0301a", "½",
+    ]
+
+
+def test_typography_makes_no_difference(documents, words):
+    plain = " ".join(words(40, 1))
+    copies = [plain, plain.replace(" ", "\u00a0"), plain.replace(" ", "\u3000"), plain.replace(" ", "\u201d \u2014 ")]
+    got = near.group(documents(list(enumerate(copies)))).collect()
+    assert {r.class_id for r in got} == {0} and sum(r.kept for r in got) == 1
