@@ -27,6 +27,9 @@ from mediamart.session import shared_folder
 
 RUN = 1_024
 BLOCK = 4 << 20
+PER_TASK = 16  # blocks
+#: Stores whose files Arrow reads in ranges, by the name Spark has for them.
+STORES = {"file": "file", "hdfs": "hdfs", "s3a": "s3", "s3": "s3", "gs": "gs"}
 
 
 @functools.lru_cache(maxsize=2)
@@ -56,16 +59,51 @@ def write_flat(docs: DataFrame, vocabulary: str, end_id: int = 2, width: int = 2
     return folder
 
 
+def _opened(path: str):
+    """A seekable file of a store that Arrow knows; ``path`` as Spark writes it."""
+    from pyarrow import fs
+
+    scheme, rest = path.split(":", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    system, name = fs.FileSystem.from_uri(f"{STORES[scheme]}:{rest}")
+    return system.open_input_file(name)
+
+
 def blocks(spark: SparkSession, folder: str, width: int, block: int = BLOCK) -> DataFrame:
-    """(file, block, bytes) of the flat files under ``folder``."""
+    """(file, block, bytes) of the flat files under ``folder``.
+
+    Files are cut by their lengths alone, and a task reads the byte ranges of its blocks, one at a time.  In
+    stores that only Spark reads a file is one cell, so it must be under 2 GiB there.
+    """
     if block % width:
         raise ValueError("a block must hold whole ids")
-    part = F.transform(
-        F.sequence(F.lit(0), (F.ceil(F.col("length") / block) - 1).cast("int")),
-        lambda i: F.substring(F.col("content"), i * block + 1, F.lit(block)),
-    )
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).filter("length > 0")
-    return files.select(F.col("path").alias("file"), F.posexplode(part).alias("block", "bytes"))
+    last = (F.ceil(F.col("length") / block) - 1).cast("int")
+    found = files.agg(F.sum(last + 1).alias("n"), F.min("path").alias("path")).first()
+    if found["path"] and found["path"].split(":", 1)[0] not in STORES:
+        part = F.transform(
+            F.sequence(F.lit(0), last), lambda i: F.substring(F.col("content"), i * block + 1, F.lit(block))
+        )
+        return files.select(F.col("path").alias("file"), F.posexplode(part).alias("block", "bytes"))
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for path, length, k in zip(df["file"], df["length"], df["block"]):
+                size = min(block, length - k * block)
+                with _opened(path) as file:
+                    file.seek(k * block)
+                    got = file.read(size)
+                if len(got) != size:
+                    raise OSError(f"{path} has become shorter")
+                yield pd.DataFrame({"file": [path], "block": [k], "bytes": [got]})
+
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(found["n"] or 0) // PER_TASK))
+    return (
+        files.select(F.col("path").alias("file"), "length", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+        .repartition(tasks, "file", "block")
+        .mapInPandas(read, "file string, block int, bytes binary")
+    )
 
 
 def scanned(parts: DataFrame, end_id: int, width: int) -> DataFrame:

@@ -66,3 +66,19 @@ def test_empty(spark, documents):
     assert token_counts.counts(token_counts.blocks(spark, folder, 2), 2, 2).count() == 0
     with pytest.raises(ValueError):
         token_counts.blocks(spark, folder, 2, 3)
+
+
+def test_files_longer_than_one_cell_may_be(spark, tmp_path):
+    ids = np.where(np.arange(5_000) % 7 == 3, 9, 5)
+    ids.astype("<u2").tofile(tmp_path / "part-0")
+    (tmp_path / "part-1").touch()
+    name = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100")  # as a file over 2 GiB is to the real one
+    try:
+        parts = token_counts.blocks(spark, str(tmp_path), 2, 64)
+        got = token_counts.counts(parts, 9, 2).drop("file").collect()
+        assert max(len(r.bytes) for r in parts.collect()) == 64
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(tuple(r) for r in got) == [r[1:] for r in brute({"a": ids.tolist()}, 9)]
