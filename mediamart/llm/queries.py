@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import chat, decontaminate, exact, near, packing, pii, quality, token_counts, toxicity, warc
+from mediamart.llm import chat, decontaminate, exact, near, packing, pii, quality, sharding, token_counts, toxicity, warc
 from mediamart.llm.common import table
 
 
@@ -204,6 +204,20 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row_key")
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law ``rows``: shard sizes at most one row apart."""
+    text = F.coalesce("text", F.lit(""))
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -215,6 +229,7 @@ QUERIES = {
     "op8_revisits": op8_revisits,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op12_sharding": op12_sharding,
 }
 
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op8_revisits": OP8_SQL}
