@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm import chat, decontaminate, exact, near, packing, pii, quality, sharding, token_counts, toxicity, warc
+from mediamart.llm import chat, decontaminate, exact, near, packing, pii, quality, sharding, token_counts, toxicity, vector_queries, warc
 from mediamart.llm.common import table
 
 
@@ -230,6 +230,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
     "op12_sharding": op12_sharding,
+    **vector_queries.QUERIES,
 }
 
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op8_revisits": OP8_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op8_revisits": OP8_SQL, **vector_queries.ORACLES}
