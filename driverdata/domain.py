@@ -7,6 +7,8 @@
 * ``orders`` and ``lineitem``: keyed tables with real foreign keys and repeated line numbers.
 """
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from mediamart.operators.text import chapter_ends, last_segment, segments_map
 from mediamart.schemas import RAW
 from mediamart.session import shared_folder
 from mediamart.sources.calendar import calendar
-from mediamart.sources.tables import Tables
+from mediamart.sources.raw import read_raw
 from mediamart.sources.taxonomy import CATEGORY_ROWS, SUBCATEGORY_ROWS
 
 WORDS_PER_SEGMENT = 10
@@ -161,14 +163,18 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str], DataFrame] = {}
+
+
 def raw_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``process_video`` as a stored table, which is what the models start from.  It is written
-    once per application, in one job without a shuffle of its artefacts."""
-    name = sf_dir.strip("/").replace("/", "-")
-    tables = Tables(spark, f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}")
-    if not tables.exists("process_video"):
-        tables.replace("process_video", processed(spark, sf_dir))
-    return tables.read("process_video")
+    """The raw rows as stored Parquet, which is what the models start from.  They are written once per
+    application, in one job; the rebalancing makes files by size, however few splits the documents have."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = f"{shared_folder(spark)}/{key[0]}/raw-{uuid.uuid4().hex}"
+        processed(spark, sf_dir).hint("rebalance").write.parquet(path)
+        _stored[key] = read_raw(spark, path)
+    return _stored[key]
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:

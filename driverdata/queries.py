@@ -18,7 +18,7 @@ from mediamart.schemas import CONTRACTS, struct
 from mediamart.session import shared_folder
 from mediamart.sources import taxonomy
 from mediamart.sources.calendar import calendar, calendar_between
-from mediamart.sources.tables import Tables, check_contract, conform, union_evolving
+from mediamart.sources.tables import LAYERS, Tables, check_contract, conform, union_evolving
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -174,8 +174,9 @@ def s5_view(spark, sf):
 
 def new_tables(spark, name: str) -> Tables:
     """An empty warehouse of its own, with few buckets."""
-    root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    return Tables(spark, root, buckets=8)
+    own = f"{name}_{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{own}"
+    return Tables(spark, root, {layer: f"{layer}_{own}" for layer in LAYERS}, buckets=8)
 
 
 def repriced(spark, sf) -> DataFrame:

@@ -12,6 +12,7 @@ from mediamart.operators.quality import declared_checks, run_checks
 from mediamart.plans import core, marts, reporting
 from mediamart.plans.staging import STAGING
 from mediamart.schemas import UPSERT_KEYS
+from mediamart.session import stored_partitioning
 from mediamart.sources import taxonomy
 from mediamart.sources.tables import Tables
 
@@ -30,8 +31,6 @@ DIMENSIONS = {
     "dim_subcategory": "core_subcategories",
 }
 
-FACT_ORDER = {"fact_video_chapters": ["video_id", "start_s"]}
-
 
 def side_by_side(spark: SparkSession, *jobs: Callable[[], object]) -> None:
     """Run independent jobs at the same time, so that small ones do not wait for large ones;
@@ -56,7 +55,7 @@ def new_videos(tables: Tables, raw: DataFrame, name: str) -> DataFrame:
     if old is None:
         return raw
     finished = raw.filter(F.col("process_status") == FINISHED).select("video_id")
-    ids = tables.replace(f"stg_unseen_{name}", core.unseen(finished, old, ["video_id"]))
+    ids = tables.stage(f"unseen_{name}", core.unseen(finished, old, ["video_id"]))
     return raw.join(ids, "video_id", "left_semi")
 
 
@@ -143,7 +142,7 @@ def moved_videos(tables: Tables) -> dict[str, DataFrame]:
     moved: dict[str, DataFrame] = {}
     built = tables.read("process_built_days")
     if built is not None:
-        days = tables.replace("stg_moved_days", changed_rows(tables.read("dim_date").select("date_id", "date"), built))
+        days = tables.stage("moved_days", changed_rows(tables.read("dim_date").select("date_id", "date"), built))
         dates = days.select("date").distinct()
         videos, metas = tables.read("core_videos"), tables.read("core_videos_meta")
         uploaded = videos.join(dates, F.col("upload_date") == F.col("date"), "left_semi").select("video_id")
@@ -152,7 +151,7 @@ def moved_videos(tables: Tables) -> dict[str, DataFrame]:
         moved["fact_video_daily_snapshot"] = seen
     built = tables.read("process_built_topics")
     if built is not None:
-        topics = tables.replace("stg_moved_topics", changed_rows(tables.read("core_subcategories"), built))
+        topics = tables.stage("moved_topics", changed_rows(tables.read("core_subcategories"), built))
         chapters = tables.read("core_chapters").join(topics.select("subcategory_id").distinct(), "subcategory_id", "left_semi")
         moved["fact_video_chapters"] = moved["fact_video_chapters"].unionByName(chapters.select("video_id"))
     return moved
@@ -182,8 +181,8 @@ def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False)
                 touched = touched.unionByName(added[source].select("video_id"))
             if fact in moved:
                 touched = touched.unionByName(moved[fact])
-            ids = tables.replace(f"stg_touched_{fact}", touched.distinct())
-        tables.upsert(fact, fact_rows(read, fact, ids), UPSERT_KEYS[fact], FACT_ORDER.get(fact))
+            ids = tables.stage(f"touched_{fact}", touched.distinct())
+        tables.upsert(fact, fact_rows(read, fact, ids), UPSERT_KEYS[fact])
 
     side_by_side(
         tables.spark,
@@ -193,15 +192,18 @@ def build_marts(tables: Tables, added: dict[str, DataFrame], full: bool = False)
 
 
 def clear_intermediates(tables: Tables, names: list[str]) -> None:
-    """Delete what only the build itself reads."""
-    lists = [*[f"stg_unseen_{n}" for n in names], *[f"stg_touched_{f}" for f in FACT_INPUTS]]
-    for name in [*lists, "stg_moved_days", "stg_moved_topics"]:
-        tables.expire(name, whole=True)
+    """Drop what only the build itself reads."""
+    lists = [*[f"unseen_{n}" for n in names], *[f"touched_{f}" for f in FACT_INPUTS]]
+    for label in [*lists, "moved_days", "moved_topics"]:
+        tables.clear(label)
 
 
 def build_views(tables: Tables) -> dict[str, DataFrame]:
-    """Dashboard views; nothing is computed."""
-    t = tables.read
+    """Dashboard views; nothing is computed.  Facts bring their month, by which Spark can leave out folders."""
+
+    def t(name: str) -> DataFrame:
+        return tables.scan(name) if name in FACT_INPUTS else tables.read(name)
+
     dims = [t(n) for n in ("dim_videos", "dim_channels", "dim_playlists")]
     topics = [t("dim_category"), t("dim_subcategory")]
     day = t("dim_date")
@@ -225,7 +227,8 @@ def build_all(
     tables.replace("dim_date", calendar)
     staged = build_staging(raw)
     names = build_core(tables, raw, F.current_timestamp() if now is None else now)
-    build_marts(tables, unbuilt(tables, names), full)
+    with stored_partitioning(tables.spark):
+        build_marts(tables, unbuilt(tables, names), full)
     mark_built(tables, names)
     clear_intermediates(tables, names)
     stored = [*names, "dim_date", "core_categories", "core_subcategories", *UPSERT_KEYS]

@@ -73,12 +73,12 @@ def core_chapters(
     taxonomy does not know drops the chapter; the main category is not compared.
 
     A video's chapters and classes are in one raw row and meet there, each chapter with every class of
-    its segment, so nothing is shuffled.  The taxonomy has 50 rows, so it may be broadcast.
+    its segment, so nothing is shuffled.
     """
     new = unseen(raw, existing, ["video_id"])
     chapters = staging.stg_chapters(new.withColumn("_classes", staging.classes_of(new)), "_classes")
     own = F.filter("_classes", lambda k: number(k["id"], "int") == F.col("start_segment_id"))
     rows = chapters.withColumn("_class", F.explode(own)).join(
-        F.broadcast(core_subcategories), F.trim(F.col("_class.subcategory")) == F.col("subcategory")
+        core_subcategories, F.trim(F.col("_class.subcategory")) == F.col("subcategory")
     )
     return _named("core_chapters", rows)

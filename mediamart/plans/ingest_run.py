@@ -70,7 +70,7 @@ def complete(tables: Tables, raw: DataFrame, functions: Functions, now: Column)
 
     def ask(rows: DataFrame, stage: str, flag: str, make: Make, prompt: Column, column: str, result: Column, force: bool = False) -> DataFrame:
         pending = work_flags(rows, F.to_date(now)).filter(flag).select("video_id", prompt.alias("prompt"))
-        answers = tables.replace(f"stg_answers_{stage}", enrich(pending, make, "video_id", "prompt"))
+        answers = tables.stage(f"answers_{stage}", enrich(pending, make, "video_id", "prompt"))
         good, bad = split_errors(answers)
         skipped.append(bad.select(F.lit(stage).alias("stage"), "video_id", "attempts", "error"))
         return fill(rows, good.select("video_id", result.alias(column)), "video_id", column, force)
@@ -105,9 +105,11 @@ def run(tables: Tables, playlists: DataFrame, calendar: DataFrame, functions: Fu
     now = F.current_timestamp() if now is None else now
     raw = add_new_videos(tables, playlists, now)
     done, skipped = complete(tables, raw, functions, now)
-    changed = tables.replace("stg_changed_raw", changed_rows(raw, done))
+    changed = tables.stage("changed_raw", changed_rows(raw, done))
     n = changed.count()
+    if n:
+        raw = tables.upsert("process_video", changed, KEY)
+    tables.clear("changed_raw")
     if not n:
         return Outcome(0, skipped, None)
-    raw = tables.upsert("process_video", changed, KEY)
     return Outcome(n, skipped, build.build_all(tables, raw, calendar, now))

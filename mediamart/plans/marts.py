@@ -34,9 +34,7 @@ def chapter_times(
         "start_s",
         "end_s",
     )
-    return timed.join(
-        F.broadcast(core_subcategories.select("subcategory_id", "category_id")), "subcategory_id"
-    ).select(
+    return timed.join(core_subcategories.select("subcategory_id", "category_id"), "subcategory_id").select(
         "video_id",
         "subcategory_id",
         "category_id",

@@ -1,8 +1,8 @@
 """Dashboard views: denormalised reads over facts and dimensions.
 
-The calendar (bounded by its days) and the taxonomy (10 and 50 rows) are broadcast.  Channels,
-playlists and videos grow with the data, so the way they are joined is left to Spark, which
-measures them at run time and splits hot keys.
+How they are joined is left to Spark, which measures the tables at run time and splits hot keys.  A fact
+that comes with its partition column ``_month`` is joined to the calendar by month and day, so a filter on the
+calendar's columns leaves out months at run time, before their files are opened.
 """
 
 from pyspark.sql import DataFrame
@@ -20,6 +20,14 @@ TOTAL_VIDEOS = "3. Всего видео"
 TOTAL_HOURS = "4. Всего часов"
 
 
+def with_days(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The fact with the calendar's columns; days that the calendar lacks are dropped."""
+    if "_month" not in fact.columns:
+        return fact.join(dim_date, "date_id")
+    days = dim_date.withColumn("_month", F.expr("date_id div 100").cast("int"))
+    return fact.join(days, ["_month", "date_id"]).drop("_month")
+
+
 def chapters_metrics(
     fact_video_chapters: DataFrame,
     dim_category: DataFrame,
@@ -31,9 +39,9 @@ def chapters_metrics(
 ) -> DataFrame:
     """Chapters with the names of everything they refer to."""
     return (
-        fact_video_chapters.join(dim_category, "category_id")
+        with_days(fact_video_chapters, dim_date)
+        .join(dim_category, "category_id")
         .join(dim_subcategory, "subcategory_id")
-        .join(dim_date, "date_id")
         .join(dim_videos, "video_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")
@@ -68,8 +76,8 @@ def video_metrics(
         .join(dim_category, "category_id")
     )
     return (
-        fact_video_metrics.join(dim_videos, "video_id")
-        .join(dim_date, "date_id")
+        with_days(fact_video_metrics, dim_date)
+        .join(dim_videos, "video_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")
         .join(topics, "video_id")
@@ -99,7 +107,7 @@ def video_daily_snapshot(
 ) -> DataFrame:
     """Daily changes with all calendar columns first."""
     return (
-        fact_video_daily_snapshot.join(dim_date, "date_id")
+        with_days(fact_video_daily_snapshot, dim_date)
         .join(dim_videos, "video_id")
         .join(dim_channels, "channel_id")
         .join(dim_playlists, "playlist_id")

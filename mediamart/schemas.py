@@ -169,6 +169,11 @@ UPSERT_KEYS = {
     "fact_video_metrics": ["video_id"],
 }
 
+# Layouts of stored tables, see ``mediamart.sources.tables``.
+BY_VIDEO = ["core_videos", "core_videos_meta", "core_transcript_segments", "core_sound_features", "core_chapters"]
+MONTHLY = ["fact_video_chapters", "fact_video_daily_snapshot", "fact_video_metrics"]
+KEYED = {"process_video": ["video_id"], **{name: key for name, key in UPSERT_KEYS.items() if name not in MONTHLY}}
+
 PRIMARY_KEYS = {
     "process_video": ["video_id"],
     "core_channels": ["channel_id"],

@@ -1,5 +1,8 @@
 """Session settings the operators rely on, and the folder shared by all executors."""
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # AQE splits the hot partitions of joins at run time; forcing it keeps the split even when the
@@ -13,6 +16,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # an overwrite replaces just the partitions that it has rows for
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # a Python worker holds a batch several times over; rows here may be whole documents
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
@@ -33,6 +39,22 @@ def configure(spark: SparkSession, shuffle_partitions: int | None = None) -> Spa
     return spark
 
 
+@contextmanager
+def stored_partitioning(spark: SparkSession) -> Iterator[None]:
+    """Let joins by video and something else use the buckets of the stored tables as they are.
+
+    By itself Spark shuffles both sides of such a join by all of its keys.  That spreads a hot key; stored
+    core tables have none, because their keys are numbered by SMALLINT inside a video.
+    """
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``, or the checkpoint
     folder set on the context."""

@@ -1,24 +1,38 @@
-"""Tables on shared storage: rebuild, append, upsert, contract check, views.
+"""Tables of the session catalog: rebuild, append, upsert, contract check, views.
 
-Each write is one Spark job into its own ``load=N`` folder.  What was written is checked against the
-table's key and not-null rules, and only then gets its ``_SUCCESS`` marker; a load without one does not
-count.  So readers never see a half-written or a bad load, and a failed job can simply be run again.
+Each layer is a schema of the catalog with a folder of its own, and a table is a Parquet table laid out as
+``mediamart.schemas`` declares it:
 
-A ``full`` load replaces everything before it and a ``part`` load adds rows.  Upserted tables lie in
-hash buckets of their key: a ``base`` load has all of them, a ``keyed`` load only those that it
-replaces, and the table is the newest folder of each bucket.
+* core tables with a video are bucketed and sorted by ``video_id``, so joins and groupings by video need no
+  exchange, and partitioned by the number of the load that brought a row (``_load``);
+* facts are partitioned by month (``_month``), so that a dashboard read of some days opens only their months;
+* dimensions and the raw table are partitioned by a hash bucket of their key (``_bucket``).
+
+Contracts, keys and not-null rules are checked by the job that writes: a row that breaks one fails the job, and a
+failed job publishes nothing.  An upsert stores and checks its batch first and then overwrites just the
+partitions that the batch touches, by Spark's dynamic partition overwrite.
 """
 
-import json
+from __future__ import annotations
+
+import re
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from mediamart.schemas import CONTRACTS, NOT_NULL, PRIMARY_KEYS
+from mediamart.schemas import BY_VIDEO, CONTRACTS, KEYED, MONTHLY, NOT_NULL, PRIMARY_KEYS
 
 LAYERS = {"raw": "raw", "staging": "staging", "core": "core", "marts": "marts", "reporting": "reporting"}
 
+#: Partition columns; they belong to the layout and are not part of a table's contract.
+LAYOUT_COLUMNS = ("_load", "_month", "_bucket")
+
+REFUSED = "load refused"
+
 
 def check_contract(df: DataFrame, contract: StructType) -> list[str]:
     """Differences in column names and types; an empty list when ``df`` matches."""
@@ -68,189 +82,279 @@ def faults(df: DataFrame, key: list[str], not_null: list[str]) -> dict[str, int]
     return out
 
 
-def load_number(path: str) -> int:
-    return int(path.rsplit("load=", 1)[1].split("-")[0])
+def checked(df: DataFrame, key: list[str], not_null: list[str], buckets: int | None = None) -> DataFrame:
+    """``df`` whose computation fails at the first row that repeats a key or breaks a not-null rule.
+
+    Rows are brought together by the whole key; with ``buckets`` by its first column, into as many tasks, so that
+    what is written bucket by bucket needs no other exchange.  No video is too large for a task: its segments and
+    events are numbered by a SMALLINT, and a number that comes twice is refused.
+    """
+    rules = [(F.col(c).isNotNull(), f"{c} is null") for c in dict.fromkeys([*key, *not_null])]
+    if key:
+        if buckets:
+            df = df.repartition(buckets, key[0]).sortWithinPartitions(*key)
+        number = F.row_number().over(Window.partitionBy(*key).orderBy(*key))
+        df = df.withColumn("_number", number)
+        rules.append((F.col("_number") == 1, f"repeated {', '.join(key)}"))
+    for holds, rule in rules:
+        df = df.filter(F.assert_true(holds, F.lit(f"{REFUSED}, {rule}")).isNull())
+    return df.drop("_number")
+
+
+def _place(uri: str) -> str:
+    return re.sub(r"^[a-z0-9]+:(//[^/]*)?", "", uri).rstrip("/")
 
 
 class Tables:
-    """Named tables below one root folder, one sub-folder per layer.
+    """Named tables below one root folder, one schema of the catalog per layer.
 
-    A layer name given in ``layers`` is used as it stands.
+    A layer name given in ``layers`` is used as it stands.  One build may write to a warehouse at a time.
     """
 
-    def __init__(
-        self, spark: SparkSession, root: str, layers: dict[str, str] | None = None, buckets: int = 64
-    ):
-        """``buckets`` of an upserted table: its size divided by what a daily batch may rewrite per
-        bucket, some 256 MB.  It may change: buckets are laid out anew with the next upsert."""
+    def __init__(self, spark: SparkSession, root: str, layers: dict[str, str] | None = None, buckets: int = 64):
+        """``buckets`` of a bucketed or upserted table: its size divided by what one task should write, some
+        256 MB.  It counts when a table is created."""
         self.buckets = buckets
         self.spark = spark
         self.root = root.rstrip("/")
         self.layers = {**LAYERS, **(layers or {})}
+        self._staged: dict[str, list[str]] = {}
+        for schema in self.layers.values():
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` LOCATION '{self.root}/{schema}'")
+            there = spark.catalog.getDatabase(schema).locationUri
+            if _place(there) != _place(f"{self.root}/{schema}"):
+                raise ValueError(f"schema {schema} is at {there}; name another one in layers")
 
     def layer_of(self, name: str) -> str:
         prefix = name.split("_")[0]
         layer = {"core": "core", "dim": "marts", "fact": "marts", "stg": "staging", "process": "raw"}
         return self.layers[layer.get(prefix, "reporting")]
 
-    def folder(self, name: str) -> str:
-        return f"{self.root}/{self.layer_of(name)}/{name}"
-
-    def _listed(self, path: str) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return sorted(s.getPath().toString() for s in fs.listStatus(folder)) if fs.exists(folder) else []
-
-    def _file(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        found = jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), found
-
-    def loads(self, name: str) -> list[str]:
-        """Committed loads from the last one that replaced everything on, oldest first."""
-        found = []
-        for path in self._listed(self.folder(name)):
-            fs, marker = self._file(f"{path}/_SUCCESS")
-            if fs.exists(marker):
-                found.append(path)
-        whole = [i for i, path in enumerate(found) if path.endswith(("full", "base"))]
-        return found[whole[-1] :] if whole else found
-
-    def parts(self, name: str) -> list[str]:
-        """Folders that make up the table now: its loads, or the newest folder of each bucket."""
-        loads = self.loads(name)
-        if not loads or not loads[0].endswith("base"):
-            return loads
-        newest: dict[str, str] = {}
-        for load in loads:
-            for path in self._listed(load):
-                if "/_bucket=" in path:
-                    newest[path.rsplit("/", 1)[1]] = path
-        return sorted(newest.values())
+    def full(self, name: str) -> str:
+        """The name of a table in the catalog."""
+        return f"`{self.layer_of(name)}`.`{name}`"
 
     def exists(self, name: str) -> bool:
-        return bool(self.loads(name))
+        return self.spark.catalog.tableExists(self.full(name))
 
-    def _schema(self, name: str) -> StructType:
-        """The declared columns, or all columns that the loads have by their markers."""
-        if name in CONTRACTS:
-            return CONTRACTS[name]
-        fields = {}
-        for path in self.loads(name):
-            fs, marker = self._file(f"{path}/_SUCCESS")
-            stream = fs.open(marker)
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-            stream.close()
-            fields |= {f.name: f for f in StructType.fromJson(json.loads(text))}
-        return StructType([f for f in fields.values() if f.name != "_bucket"])
+    def scan(self, name: str) -> DataFrame:
+        """A stored table with its partition columns."""
+        return self.spark.table(self.full(name))
 
     def read(self, name: str) -> DataFrame | None:
-        """The table, or None before its first load.  Columns added later are NULL in older loads."""
-        if not self.exists(name):
-            return None
-        schema, parts = self._schema(name), self.parts(name)
-        if not parts:  # a table without rows
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*parts)
+        """The table, or None before its first load."""
+        return self.scan(name).drop(*LAYOUT_COLUMNS) if self.exists(name) else None
+
+    def laid_out_by(self, name: str) -> str | None:
+        """The partition column of a stored table."""
+        return next((c for c in LAYOUT_COLUMNS if c in self.scan(name).columns), None)
+
+    def partitions(self, name: str) -> list[str]:
+        """Values of the partition column, as the catalog has them."""
+        if not self.exists(name) or not self.laid_out_by(name):
+            return []
+        found = self.spark.sql(f"SHOW PARTITIONS {self.full(name)}").collect()
+        return sorted(r.partition.split("=", 1)[1] for r in found)
 
     def last_number(self, name: str) -> int:
-        """Number of the newest committed load, 0 before the first."""
-        return max(map(load_number, self.loads(name)), default=0)
+        """Number of the newest load that brought rows, 0 before the first and for tables that are upserted."""
+        if not self.exists(name) or self.laid_out_by(name) != "_load":
+            return 0
+        return max(map(int, self.partitions(name)), default=0)
 
     def read_after(self, name: str, number: int) -> DataFrame:
-        """Only the rows of loads with a higher number."""
-        schema = self.read(name).schema
-        newer = [path for path in self.loads(name) if load_number(path) > number]
-        if not newer:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*newer)
-
-    def _write(self, name: str, df: DataFrame, kind: str, sort: list[str] | None = None, keyed: bool = False) -> None:
-        """Write, check, publish; a part without rows is not published."""
-        if name in CONTRACTS and not keyed:
+        """Only the rows of later loads; the folders of other loads are not opened."""
+        return self.scan(name).filter(F.col("_load") > number).drop(*LAYOUT_COLUMNS)
+
+    # layout
+
+    def _create(self, name: str, schema: StructType, by: str | None) -> None:
+        columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name not in LAYOUT_COLUMNS]
+        text = f"CREATE TABLE {self.full(name)} ({', '.join([*columns, *([f'{by} INT'] if by else [])])}) USING parquet"
+        text += f" PARTITIONED BY ({by})" if by else ""
+        if name in BY_VIDEO:
+            text += f" CLUSTERED BY (video_id) SORTED BY ({', '.join(PRIMARY_KEYS[name])}) INTO {self.buckets} BUCKETS"
+        self.spark.sql(text)
+
+    def _kind(self, name: str, first: str | None) -> str | None:
+        """Partition column of ``name``: as declared, as it is stored, or ``first``."""
+        if name in MONTHLY or name in KEYED:
+            return "_month" if name in MONTHLY else "_bucket"
+        return self.laid_out_by(name) if self.exists(name) else first
+
+    def _number(self, name: str, by: str, keys: list[str]) -> Column:
+        if by == "_load":
+            return F.lit(self.last_number(name) + 1)
+        if by == "_month":
+            return F.expr("date_id div 100").cast("int")
+        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
+
+    def _fitted(self, name: str, df: DataFrame) -> DataFrame:
+        """The columns of the table in its order; ones that it lacks are added to it, missing ones are NULL."""
+        have = {f.name for f in self.scan(name).schema}
+        new = [f for f in df.schema if f.name not in have]
+        if new:
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+            self.spark.sql(f"ALTER TABLE {self.full(name)} ADD COLUMNS ({added})")
+        return df.select(
+            *[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.scan(name).schema]
+        )
+
+    # writing
+
+    def _rules(self, name: str) -> tuple[list[str], list[str]]:
+        return (PRIMARY_KEYS.get(name, []), NOT_NULL.get(name, [])) if name in CONTRACTS else ([], [])
+
+    def _refusing(self, name: str, df: DataFrame, write: Callable[[DataFrame], None], keyed: bool = True) -> None:
+        """Write ``df`` if it keeps the rules of the table ``name``, in one job; else raise with what is wrong."""
+        key, not_null = self._rules(name)
+        rows = checked(df, key if keyed else [], not_null, self.buckets if name in BY_VIDEO else None)
+        try:
+            write(rows)
+        except Exception as error:
+            if REFUSED not in str(error):
+                raise
+            wrong = faults(df, key, not_null)  # only a refused load is read again, to say how many rows
+            raise ValueError(f"{name}: {REFUSED}, " + ", ".join(f"{rule}: {n} rows" for rule, n in wrong.items())) from None
+
+    def stage(self, label: str, df: DataFrame) -> DataFrame:
+        """Store an intermediate result under a name of its own and read it back; see ``clear``."""
+        name = f"stg_{label}_{uuid.uuid4().hex[:12]}"
+        self._staged.setdefault(label, []).append(name)
+        df.write.saveAsTable(self.full(name))
+        return self.spark.table(self.full(name))
+
+    def clear(self, label: str) -> None:
+        """Drop what this object has staged under ``label``."""
+        for name in self._staged.pop(label, []):
+            self.drop(name)
+
+    def sweep(self) -> None:
+        """Drop all staged tables, also those that a run which died has left.  Nothing may be running."""
+        for table in self.spark.catalog.listTables(self.layers["staging"]):
+            if not table.isTemporary and table.name.startswith("stg_"):
+                self.drop(table.name)
+
+    def drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.full(name)}")
+
+    def append(self, name: str, df: DataFrame) -> DataFrame:
+        """Add rows known to be new; nothing that is already stored is read or rewritten.  No rows, no load."""
+        if name in CONTRACTS:
             df = conform(df, CONTRACTS[name])
-        if keyed:  # one bucket in few files, a large one in several
-            df = df.hint("rebalance", F.col("_bucket"))
-        if sort:
-            df = df.sortWithinPartitions(*["_bucket"] * keyed, *sort)
-        path = f"{self.folder(name)}/load={self.last_number(name) + 1:08d}-{kind}"
-        writer = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
-        (writer.partitionBy("_bucket") if keyed else writer).parquet(path)
-        written = self.spark.read.schema(df.schema).parquet(path)
-        if kind == "part" and self.exists(name) and written.isEmpty():
-            fs, folder = self._file(path)
-            fs.delete(folder, True)
-            return
-        if name in CONTRACTS and (wrong := faults(written, PRIMARY_KEYS.get(name, []), NOT_NULL.get(name, []))):
-            raise ValueError(f"{name}: load refused, " + ", ".join(f"{rule}: {n} rows" for rule, n in wrong.items()))
-        fs, marker = self._file(f"{path}/_SUCCESS")
-        stream = fs.create(marker, True)
-        stream.write(bytearray(df.schema.json().encode()))
-        stream.close()
-
-    def replace(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
-        """Full rebuild.  ``df`` may read the table itself: the old loads stay in place."""
-        self._write(name, df, "full", sort)
+        by = self._kind(name, "_load")
+        first = not self.exists(name)
+        if first:
+            self._create(name, df.schema, by)
+        keys = KEYED.get(name) or self._keys(name)
+
+        def write(rows: DataFrame) -> None:
+            placed = rows.withColumn(by, self._number(name, by, keys)) if by else rows
+            if by and by != "_load":
+                placed = placed.hint("rebalance", F.col(by))
+            self._fitted(name, placed).write.insertInto(self.full(name))
+
+        try:
+            self._refusing(name, df, write)
+        except Exception:
+            if first:  # before its first load there is no table
+                self.drop(name)
+            raise
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
-        """Add rows known to be new; nothing that is already stored is read or rewritten."""
-        self._write(name, df, "part", sort)
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        """Full rebuild.  The new rows are stored and checked before the old ones go, so ``df`` may read the table."""
+        if name in CONTRACTS:
+            df = conform(df, CONTRACTS[name])
+        label, kept = f"new_{name}", []
+        self._refusing(name, df, lambda rows: kept.append(self.stage(label, rows)))
+        by = self._kind(name, None)
+        keys = KEYED.get(name) or self._keys(name)
+        self.drop(name)
+        self._create(name, df.schema, by)
+        rows = kept[0]
+        if by:
+            rows = rows.withColumn(by, self._number(name, by, keys)).hint("rebalance", F.col(by))
+        self._fitted(name, rows).write.insertInto(self.full(name))
+        self.clear(label)
         return self.read(name)
 
-    def _bucketed(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        return df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int"))
+    def _keys(self, name: str) -> list[str]:
+        """The columns by which an undeclared table was last upserted."""
+        if not self.exists(name) or self.laid_out_by(name) != "_bucket":
+            return []
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.full(name)}").filter("key = 'keys'").first()
+        return found.value.split(",") if found else []
 
-    def upsert(
-        self, name: str, updates: DataFrame, keys: list[str], sort: list[str] | None = None
-    ) -> DataFrame:
+    def upsert(self, name: str, updates: DataFrame, keys: list[str]) -> DataFrame:
         """Replace the rows with the keys of ``updates`` and keep all others.
 
-        The updates are stored first: they are computed once although they are read twice.  Only
-        the buckets in which they fall are read and written again; without any update the table
-        stays as it is.
+        The updates are stored and checked first, so they are computed once although they are read
+        several times.  Then the partitions that hold one of their keys are read and overwritten in one
+        job; Spark moves its files into place when all are written.  Without updates the table stays as it is.
         """
         if name in CONTRACTS:
             updates = conform(updates, CONTRACTS[name])
-        first = not self.exists(name)
-        batch = self._bucketed(updates if first else self.replace(f"stg_batch_{name}", updates), keys)
-        loads = self.loads(name)
-        laid_out = loads and loads[0].endswith(f"{self.buckets}-base")
-        if first or not laid_out:
-            rows = batch if first else upsert(self._bucketed(self.read(name), keys), batch, keys)
-            self._write(name, rows, f"{self.buckets}-base", sort, True)
-        elif touched := [r["_bucket"] for r in batch.select("_bucket").distinct().collect()]:  # at most `buckets`
-            old = [p for p in self.parts(name) if int(p.rsplit("=", 1)[1]) in touched]
-            schema = self._schema(name)
-            rows = batch
-            if old:
-                current = self.spark.read.schema(schema).parquet(*old)
-                rows = upsert(self._bucketed(current, keys), batch, keys)
-            self._write(name, rows, "keyed", sort, True)
-        if not first:
-            self.expire(f"stg_batch_{name}", whole=True)
+        by = "_month" if name in MONTHLY else "_bucket"
+        label, kept = f"batch_{name}", []
+        batch_of = lambda rows: self.stage(label, rows.withColumn(by, self._number(name, by, keys)))
+        self._refusing(name, updates, lambda rows: kept.append(batch_of(rows)))
+        if not self.exists(name):
+            self._create(name, updates.schema, by)
+        elif self.laid_out_by(name) != by:
+            self._lay_out(name, keys)
+        if name not in CONTRACTS:
+            self.spark.sql(f"ALTER TABLE {self.full(name)} SET TBLPROPERTIES ('keys' = '{','.join(keys)}')")
+        batch = kept[0]
+        touched = {r[0] for r in batch.select(by).distinct().collect()}  # at most the buckets, or the months
+        stored = self.scan(name)
+        left = set()
+        if by == "_month" and touched:  # a key may have been stored under another month
+            held = stored.select(*keys, by).join(batch.select(*keys), keys, "left_semi")
+            left = {r[0] for r in held.select(by).distinct().collect()} - touched
+        if touched:
+            old = self._fitted(name, batch).limit(0) if not self.partitions(name) else stored.filter(F.col(by).isin(*touched, *left))
+            kept_rows = old.join(batch.select(*keys), keys, "left_anti")
+            if left:  # a month that only loses rows may lose all of them
+                left -= {r[0] for r in kept_rows.filter(F.col(by).isin(*left)).select(by).distinct().collect()}
+            rows = self._fitted(name, union_evolving(kept_rows, batch))
+            rows.hint("rebalance", F.col(by)).write.insertInto(self.full(name), overwrite=True)
+            for month in left:
+                self.spark.sql(f"ALTER TABLE {self.full(name)} DROP PARTITION ({by} = {month})")
+        self.clear(label)
         return self.read(name)
 
-    def expire(self, name: str, whole: bool = False) -> list[str]:
-        """Delete what no longer makes up the table, or all of it, and return the deleted paths.
-
-        Loads and buckets that were replaced stay in place for those who still read them; call
-        this when nobody does.
-        """
-        live = [] if whole else self.parts(name)
-        kept = {path for part in live for path in (part, part.rsplit("/", 1)[0])}
-        kept |= set() if whole else set(self.loads(name))
-        outdated = []
-        for load in self._listed(self.folder(name)):
-            if load not in kept:
-                outdated.append(load)
-            elif load not in live:
-                outdated += [path for path in self._listed(load) if "/_bucket=" in path and path not in kept]
-        for path in outdated:
-            fs, found = self._file(path)
-            fs.delete(found, True)
-        return outdated
+    def _lay_out(self, name: str, keys: list[str]) -> None:
+        """Lay an undeclared table out in buckets of ``keys``."""
+        rows = self.stage(f"moved_{name}", self.read(name))
+        self.drop(name)
+        self._create(name, rows.schema, "_bucket")
+        placed = rows.withColumn("_bucket", self._number(name, "_bucket", keys)).hint("rebalance", F.col("_bucket"))
+        placed.write.insertInto(self.full(name))
+        self.clear(f"moved_{name}")
+
+    def adopt(self) -> list[str]:
+        """Register the declared tables that lie below the root, for a session whose catalog does not know them yet."""
+        found = []
+        for name in CONTRACTS:
+            path = f"{self.root}/{self.layer_of(name)}/{name}"
+            try:
+                schema = None if self.exists(name) else self.spark.read.parquet(path).schema
+            except AnalysisException:  # no such table, or nothing in it
+                continue
+            if schema is None:
+                continue
+            by = next((c for c in LAYOUT_COLUMNS if c in schema.names), None)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            text = f"CREATE TABLE {self.full(name)} ({columns}) USING parquet"
+            text += f" PARTITIONED BY ({by})" if by else ""
+            if name in BY_VIDEO:
+                text += f" CLUSTERED BY (video_id) SORTED BY ({', '.join(PRIMARY_KEYS[name])}) INTO {self.buckets} BUCKETS"
+            self.spark.sql(f"{text} LOCATION '{path}'")
+            if by:
+                self.spark.sql(f"MSCK REPAIR TABLE {self.full(name)}")
+            found.append(name)
+        return found
 
     @staticmethod
     def view(name: str, df: DataFrame) -> DataFrame:

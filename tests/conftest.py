@@ -1,5 +1,6 @@
 import os
 import sys
+import uuid
 
 import pytest
 from pyspark.sql import SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from driverdata.session import prepare  # noqa: E402
-from mediamart.sources.tables import Tables  # noqa: E402
+from mediamart.sources.tables import LAYERS, Tables  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -29,4 +30,8 @@ def spark():
 
 @pytest.fixture
 def tables(spark, tmp_path):
-    return Tables(spark, str(tmp_path / "warehouse"))
+    """An empty warehouse whose schemas go with the test."""
+    layers = {layer: f"{layer}_{uuid.uuid4().hex[:8]}" for layer in LAYERS}
+    yield Tables(spark, str(tmp_path / "warehouse"), layers, buckets=4)
+    for schema in layers.values():
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")

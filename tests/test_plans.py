@@ -1,14 +1,17 @@
 """The shape of the plans that decides about scale."""
 
 import datetime as dt
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from mediamart.operators import detections, joins, windows
-from mediamart.plans import build, core, marts, staging
+from mediamart.plans import build, core, marts, reporting, staging
 from mediamart.schemas import CONTRACTS
+from mediamart.session import stored_partitioning
+from mediamart.sources.calendar import calendar
 from tests.rows import raw, video
 
 
@@ -96,34 +99,81 @@ def test_points_and_ranges_are_shuffled_once(no_broadcast):
 
 
 def test_chapters_meet_their_classes_without_a_shuffle(no_broadcast, tables):
-    core_rows = core.core_chapters(stored(tables, "process_video"), no_broadcast.createDataFrame([(40, 8, "x")], CONTRACTS["core_subcategories"]))
+    subs = F.broadcast(no_broadcast.createDataFrame([(40, 8, "x")], CONTRACTS["core_subcategories"]))  # as Spark does by size
+    core_rows = core.core_chapters(stored(tables, "process_video"), subs)
     assert "Exchange hash" not in plan(core_rows)
 
 
+def some_core(tables):
+    return {
+        "core_videos": stored(tables, "core_videos", ("a", "c", "p", "t", 1, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1))),
+        "core_videos_meta": stored(tables, "core_videos_meta", ("a", dt.date(2024, 2, 1), 1, 1, 1)),
+        "core_transcript_segments": stored(tables, "core_transcript_segments", ("a", 1, "x", 0.0, 1.0)),
+        "core_sound_features": stored(tables, "core_sound_features", ("a", 1, 1, 1.5, 0.5, 1.5, 0.5, 0.5)),
+        "core_chapters": stored(tables, "core_chapters", ("a", 1, 1, "s", 40)),
+    }
+
+
+def small(spark, name, *rows):
+    return F.broadcast(spark.createDataFrame(list(rows), CONTRACTS[name]))  # as Spark does by size
+
+
+DAY = (20240101, dt.date(2024, 1, 1), 2024, 1, 1, "January", 1, 1, "Monday", False)
+
+
 def test_segments_are_read_once_for_both_bounds(no_broadcast, tables):
-    segments = stored(tables, "core_transcript_segments", ("a", 1, "x", 0.0, 1.0))
-    chapters = stored(tables, "core_chapters", ("a", 1, 1, "s", 40))
-    subs = no_broadcast.createDataFrame([(40, 8, "x")], CONTRACTS["core_subcategories"])
-    df = marts.chapter_times(chapters, subs, segments)
-    assert len(re.findall(r"FileScan parquet \[video_id#\d+,segment_id", plan(df))) == 1
-    assert exchanges(df).count("video_id, _id") == 2  # chapters and segments, on the composite key
-
-
-def test_daily_deltas_shuffle_the_snapshots_once(no_broadcast, tables):
-    meta = stored(tables, "core_videos_meta", ("a", dt.date(2024, 2, 1), 1, 1, 1))
-    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)))
-    days = F.broadcast(no_broadcast.createDataFrame([], CONTRACTS["dim_date"]))  # as Spark does by size
-    df = marts.fact_video_daily_snapshot(meta, videos, days)
-    assert exchanges(df) == ["video_id", "video_id"]  # snapshots and videos
-
-
-def test_video_metrics_stay_partitioned_by_video(no_broadcast, tables):
-    meta = stored(tables, "core_videos_meta", ("a", dt.date(2024, 2, 1), 1, 1, 1))
-    videos = stored(tables, "core_videos", ("a", "c", "p", "t", 1, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1)))
-    features = stored(tables, "core_sound_features", ("a", 1, 1, 1.0, 1.0, 1.0, 0.5, 0.5))
-    days = F.broadcast(no_broadcast.createDataFrame([], CONTRACTS["dim_date"]))  # as Spark does by size
-    df = marts.fact_video_metrics(videos, meta, features, days)
-    assert exchanges(df) == ["video_id"] * 3 and "partial_sum" in plan(df)
+    t = some_core(tables)
+    df = marts.chapter_times(t["core_chapters"], small(no_broadcast, "core_subcategories", (40, 8, "x")), t["core_transcript_segments"])
+    assert len(re.findall(r"FileScan parquet [^\[]*core_transcript_segments\[video_id#\d+,segment_id", plan(df))) == 1
+
+
+def test_facts_of_stored_tables_need_no_exchange(no_broadcast, tables):
+    """All three facts are joined and grouped where the buckets lie."""
+    t = some_core(tables)
+    days = small(no_broadcast, "dim_date", DAY)
+    with stored_partitioning(no_broadcast):
+        snapshots = marts.fact_video_daily_snapshot(t["core_videos_meta"], t["core_videos"], days)
+        metrics = marts.fact_video_metrics(t["core_videos"], t["core_videos_meta"], t["core_sound_features"], days)
+        chapters = marts.fact_video_chapters(
+            t["core_chapters"], small(no_broadcast, "core_subcategories", (40, 8, "x")),
+            t["core_transcript_segments"], t["core_sound_features"], t["core_videos"], days,
+        )
+        for fact, rows in ((snapshots, 0), (metrics, 1), (chapters, 1)):
+            assert exchanges(fact) == [] and "Bucketed: true" in plan(fact)
+            assert fact.count() == rows
+    assert "partial_sum" in plan(metrics)
+    assert "hashpartitioning" in plan(chapters.select("*"))  # without it Spark shuffles by all keys of a join
+
+
+def test_month_of_a_fact_is_pruned_through_the_calendar(no_broadcast, tables):
+    """A filter on the calendar decides at run time which months of the fact are opened."""
+    spark = no_broadcast
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    rows = [(f"v{m}", 20240001 + m * 100, "c", "p", 1, 1, 0.0, 5.0, None, None) for m in range(1, 13)]
+    fact = spark.createDataFrame(rows, CONTRACTS["fact_video_chapters"]).withColumns({"duration": F.lit(5).cast("decimal(18,2)"), "laughter_percent": F.lit(1).cast("decimal(18,1)")})
+    tables.upsert("fact_video_chapters", fact, ["video_id", "subcategory_id", "start_s"])
+    tables.replace("dim_date", calendar(spark, "2024-01-01", "2024-12-31"))
+    tables.upsert("dim_category", spark.createDataFrame([(1, "m")], CONTRACTS["dim_category"]), ["category_id"])
+    tables.upsert("dim_subcategory", spark.createDataFrame([(1, "s")], CONTRACTS["dim_subcategory"]), ["subcategory_id"])
+    tables.upsert("dim_videos", spark.createDataFrame([(f"v{m}", f"t{m}") for m in range(1, 13)], CONTRACTS["dim_videos"]), ["video_id"])
+    tables.upsert("dim_channels", spark.createDataFrame([("c", "C")], CONTRACTS["dim_channels"]), ["channel_id"])
+    tables.upsert("dim_playlists", spark.createDataFrame([("p", "P")], CONTRACTS["dim_playlists"]), ["playlist_id"])
+    t = tables.read
+    args = [t(n) for n in ("dim_category", "dim_subcategory", "dim_date", "dim_videos", "dim_channels", "dim_playlists")]
+    view = reporting.chapters_metrics(tables.scan("fact_video_chapters"), *args)
+    quarter = view.filter("year = 2024 and quarter = 2")
+    assert {r.video_title for r in quarter.collect()} == {"t4", "t5", "t6"}
+    assert re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", plan(quarter))
+    folder = os.path.join(tables.root, tables.layer_of("fact_video_chapters"), "fact_video_chapters")
+    for month in [m for m in os.listdir(folder) if "=" in m and m[-2:] not in ("04", "05", "06")]:
+        for file in os.listdir(os.path.join(folder, month)):
+            with open(os.path.join(folder, month, file), "wb") as f:
+                f.write(b"no parquet")
+    spark.catalog.refreshTable(tables.full("fact_video_chapters"))
+    view = reporting.chapters_metrics(tables.scan("fact_video_chapters"), *args)
+    assert view.filter("year = 2024 and quarter = 2").count() == 3  # the other months are not opened
+    with pytest.raises(Exception):
+        view.filter("year = 2024").collect()
 
 
 def test_hot_key_join_is_split_at_run_time(no_broadcast):

@@ -1,4 +1,6 @@
 import os
+import uuid
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +20,12 @@ def test_upsert_replaces_and_keeps(spark):
     assert upsert(None, new, ["id"]) is new
 
 
-def test_loads(spark, tables):
+def folders(tables, name):
+    path = os.path.join(tables.root, tables.layer_of(name), name)
+    return {f: sorted(os.listdir(os.path.join(path, f))) for f in os.listdir(path) if "=" in f}
+
+
+def test_append_and_replace(spark, tables):
     one = spark.createDataFrame([("a", 1)], "id string, v int")
     two = spark.createDataFrame([("b", 2)], "id string, v int")
     assert tables.read("notes") is None and tables.last_number("notes") == 0
@@ -27,64 +34,142 @@ def test_loads(spark, tables):
     assert tuples(tables.read("notes")) == [("a", 1), ("b", 2)]
     assert tuples(tables.read_after("notes", 1)) == [("b", 2)]
     assert tables.read_after("notes", 2).count() == 0
+    tables.append("notes", one.limit(0))
+    assert tables.last_number("notes") == 2  # no rows, no load
     tables.replace("notes", tables.read("notes").withColumn("v", F.col("v") + 1))  # reads itself
     assert tuples(tables.read("notes")) == [("a", 2), ("b", 3)]
-    tables.upsert("notes", spark.createDataFrame([("b", 9)], "id string, v int"), ["id"])
-    assert tuples(tables.read("notes")) == [("a", 2), ("b", 9)]
-    loads = tables.loads("notes")
+    tables.upsert("notes", spark.createDataFrame([("b", 9)], "id string, v int"), ["id"])  # laid out anew
+    assert tuples(tables.read("notes")) == [("a", 2), ("b", 9)] and tables.laid_out_by("notes") == "_bucket"
+    before = folders(tables, "notes")
     tables.upsert("notes", spark.createDataFrame([], "id string, v int"), ["id"])
-    assert tables.loads("notes") == loads  # nothing to do
+    assert folders(tables, "notes") == before  # nothing to do
+    tables.append("notes", spark.createDataFrame([("c", 5)], "id string, v int"))
+    tables.upsert("notes", spark.createDataFrame([("c", 6)], "id string, v int"), ["id"])
+    assert tuples(tables.read("notes")) == [("a", 2), ("b", 9), ("c", 6)]
+
+
+def test_read_after_opens_only_later_loads(spark, tables):
+    for v in range(3):
+        tables.append("notes", spark.createDataFrame([(f"k{v}", v)], "id string, v int"))
+    later = tables.read_after("notes", 2)
+    assert all("_load=3" in f for f in later.inputFiles()) or "PartitionFilters: [isnotnull(_load" in later._jdf.queryExecution().toString()
+    assert tuples(later) == [("k2", 2)]
 
 
 def test_upsert_rewrites_only_touched_buckets(spark, tables):
     tables.buckets = 8
     rows = spark.createDataFrame([(f"k{n}", n) for n in range(100)], "id string, v int")
     tables.upsert("notes", rows, ["id"])
-    before = {p.rsplit("/", 1)[1]: p for p in tables.parts("notes")}
+    before = folders(tables, "notes")
     tables.upsert("notes", spark.createDataFrame([("k7", -7), ("new", 1)], "id string, v int"), ["id"])
-    after = {p.rsplit("/", 1)[1]: p for p in tables.parts("notes")}
+    after = folders(tables, "notes")
     assert len(before) == 8 and 1 <= len([b for b in before if before[b] != after[b]]) <= 2
     want = sorted([(f"k{n}", n if n != 7 else -7) for n in range(100)] + [("new", 1)])
     assert tuples(tables.read("notes")) == want
-    gone = tables.expire("notes")
-    assert sorted(gone) == sorted(before[b] for b in before if before[b] != after[b])
-    assert tuples(tables.read("notes")) == want
-    tables.buckets = 3  # laid out anew
-    tables.upsert("notes", spark.createDataFrame([("k7", 7)], "id string, v int"), ["id"])
-    assert len(tables.parts("notes")) == 3 and tables.read("notes").count() == 101
+
+
+def fact(video, day, share=1.0):
+    return (video, day, "c", "p", 1, 1, 0.0, 5.0, Decimal("5.00"), Decimal(str(share)))
+
+
+def test_facts_are_overwritten_month_by_month(spark, tables):
+    schema, keys = CONTRACTS["fact_video_chapters"], ["video_id", "subcategory_id", "start_s"]
+    load = lambda *rows: tables.upsert("fact_video_chapters", spark.createDataFrame(list(rows), schema), keys)
+    load(fact("a", 20240115), fact("b", 20240116), fact("c", 20240201))
+    before = folders(tables, "fact_video_chapters")
+    assert sorted(before) == ["_month=202401", "_month=202402"]
+    load(fact("a", 20240117, 2.0))
+    after = folders(tables, "fact_video_chapters")
+    assert before["_month=202402"] == after["_month=202402"] and before["_month=202401"] != after["_month=202401"]
+    load(fact("c", 20240301), fact("b", 20240302))  # the keys move; one of the months they leave has no other row
+    assert sorted(folders(tables, "fact_video_chapters")) == ["_month=202401", "_month=202403"]
+    assert tuples(tables.read("fact_video_chapters"), "video_id", "date_id") == [("a", 20240117), ("b", 20240302), ("c", 20240301)]
 
 
 def test_bad_load_is_not_published(spark, tables):
     good = spark.createDataFrame([(1, "one")], "category_id short, main_category string")
     tables.replace("core_categories", good)
-    for bad in ([(2, "a"), (2, "b")], [(None, "a")], [(3, None)]):
-        with pytest.raises(ValueError, match="load refused"):
-            tables.append("core_categories", spark.createDataFrame(bad, good.schema))
-    assert tuples(tables.read("core_categories")) == [(1, "one")]
+    rules = {"repeated category_id: 2 rows": [(2, "a"), (2, "b")], "category_id is null: 1 rows": [(None, "a")], "main_category is null": [(3, None)]}
+    for rule, bad in rules.items():
+        for load in (tables.append, tables.replace):
+            with pytest.raises(ValueError, match=f"core_categories: load refused, .*{rule}"):
+                load("core_categories", spark.createDataFrame(bad, good.schema))
+        assert tuples(tables.read("core_categories")) == [(1, "one")]
     tables.append("core_categories", spark.createDataFrame([(2, "a")], good.schema))
     assert tables.read("core_categories").count() == 2
-
-
-def test_expire_deletes_only_replaced_loads(spark, tables):
-    rows = spark.createDataFrame([("a", 1)], "id string, v int")
-    assert tables.expire("notes") == []
-    tables.append("notes", rows)
-    tables.append("notes", rows)
-    assert tables.expire("notes") == []
-    tables.replace("notes", rows)
-    tables.append("notes", rows)
-    assert len(tables.expire("notes")) == 2
-    assert tables.read("notes").count() == 2 and tables.last_number("notes") == 4
-
-
-def test_unfinished_load_does_not_count(spark, tables):
-    tables.append("notes", spark.createDataFrame([("a", 1)], "id string, v int"))
-    half = f"{tables.folder('notes')}/load=00000002-part"
-    spark.createDataFrame([("x", 0)], "id string, v int").write.parquet(half)
-    os.remove(f"{half}/_SUCCESS")
-    assert tuples(tables.read("notes")) == [("a", 1)]
-    tables.append("notes", spark.createDataFrame([("b", 2)], "id string, v int"))
-    assert tuples(tables.read("notes")) == [("a", 1), ("b", 2)]
+    dims = spark.createDataFrame([("c1", "x"), ("c1", "y")], CONTRACTS["dim_channels"])
+    tables.upsert("dim_channels", dims.limit(1), ["channel_id"])
+    with pytest.raises(ValueError, match="dim_channels: load refused, repeated channel_id: 2 rows"):
+        tables.upsert("dim_channels", dims, ["channel_id"])
+    assert tables.read("dim_channels").count() == 1
+
+
+def test_other_errors_pass_through(spark, tables):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.append("core_categories", spark.createDataFrame([("x", "a")], "category_id string, main_category string"))
+
+
+def jobs_of(spark, work):
+    """Jobs that ``work`` starts and that read or write rows."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    work()
+    spark.sparkContext.setJobGroup("other", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_load_is_checked_by_the_job_that_writes_it(spark, tables):
+    rows = spark.createDataFrame([("a", 1, "t", 0.0, 1.0), ("a", 2, "t", 1.0, 2.0)], CONTRACTS["core_transcript_segments"])
+    tables.append("core_transcript_segments", rows)
+    more = rows.withColumn("video_id", F.lit("b"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else a job for each stage
+    try:
+        assert jobs_of(spark, lambda: tables.append("core_transcript_segments", more)) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_core_tables_are_bucketed_by_video(spark, tables):
+    rows = spark.createDataFrame([(f"v{i}", n, "t", 0.0, 1.0) for i in range(40) for n in range(3)], CONTRACTS["core_transcript_segments"])
+    tables.append("core_transcript_segments", rows.repartition(5))
+    files = [f for f in folders(tables, "core_transcript_segments")["_load=1"] if f.endswith(".parquet")]
+    assert len(files) == 4  # one per bucket
+    text = tables.read("core_transcript_segments").groupBy("video_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Bucketed: true" in text
+
+
+def test_adopted_by_a_new_catalog(spark, tables):
+    tables.append("core_transcript_segments", spark.createDataFrame([("a", 1, "t", 0.0, 1.0)], CONTRACTS["core_transcript_segments"]))
+    tables.upsert("fact_video_chapters", spark.createDataFrame([fact("a", 20240115)], CONTRACTS["fact_video_chapters"]), ["video_id"])
+    again = Tables(spark, f"{tables.root}", {k: v for k, v in tables.layers.items()}, buckets=4)
+    assert again.adopt() == []  # known already
+    for layer, schema in tables.layers.items():  # a catalog that has lost them; the files stay
+        os.rename(f"{tables.root}/{schema}", f"{tables.root}/kept_{layer}")
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+        os.rename(f"{tables.root}/kept_{layer}", f"{tables.root}/{schema}")
+    new = Tables(spark, tables.root, tables.layers, buckets=4)
+    assert new.read("core_transcript_segments") is None
+    assert sorted(new.adopt()) == ["core_transcript_segments", "fact_video_chapters"]
+    assert tuples(new.read("core_transcript_segments")) == [("a", 1, "t", 0.0, 1.0)] and new.last_number("core_transcript_segments") == 1
+    assert new.partitions("fact_video_chapters") == ["202401"]
+    new.append("core_transcript_segments", spark.createDataFrame([("b", 1, "t", 0.0, 1.0)], CONTRACTS["core_transcript_segments"]))
+    assert new.read("core_transcript_segments").count() == 2
+
+
+def test_schema_elsewhere_is_refused(spark, tables, tmp_path):
+    with pytest.raises(ValueError, match="name another one in layers"):
+        Tables(spark, str(tmp_path / "other"), tables.layers)
+
+
+def test_intermediates_have_names_of_their_own(spark, tables):
+    one, two = (tables.stage("x", spark.range(n)) for n in (1, 2))
+    tables.stage("x_y", spark.range(3))
+    assert (one.count(), two.count()) == (1, 2)
+    tables.clear("x")
+    left = lambda: [t.name.rsplit("_", 1)[0] for t in spark.catalog.listTables(tables.layers["staging"]) if not t.isTemporary]
+    assert left() == ["stg_x_y"]
+    Tables(spark, tables.root, tables.layers).sweep()
+    assert left() == []
 
 
 def test_columns_may_be_added(spark, tables):
@@ -110,12 +195,12 @@ def test_contract(spark, tables):
         tables.append("dim_videos", df)
 
 
-def test_layers(spark, tmp_path):
-    named = Tables(spark, str(tmp_path), {"core": "my_core"})
-    assert named.folder("core_videos") == f"{tmp_path}/my_core/core_videos"
-    assert named.folder("dim_date") == f"{tmp_path}/marts/dim_date"
-    assert named.folder("stg_chapters") == f"{tmp_path}/staging/stg_chapters"
-    assert named.folder("process_video") == f"{tmp_path}/raw/process_video"
+def test_layers(spark, tables):
+    """A layer's name is used as it stands, and is a schema of the catalog."""
+    for name, layer in {"core_videos": "core", "dim_date": "marts", "stg_chapters": "staging", "process_video": "raw", "notes": "reporting"}.items():
+        schema = tables.layers[layer]
+        assert tables.layer_of(name) == schema and tables.full(name) == f"`{schema}`.`{name}`"
+        assert spark.catalog.getDatabase(schema).locationUri.endswith(f"{tables.root}/{schema}")
 
 
 def test_raw_and_playlist_sources(spark, tmp_path):
