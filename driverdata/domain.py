@@ -20,7 +20,7 @@ from mediamart.operators.text import chapter_ends, last_segment, segments_map
 from mediamart.schemas import RAW
 from mediamart.session import shared_folder
 from mediamart.sources.calendar import calendar
-from mediamart.sources.raw import read_raw
+from mediamart.sources.raw import parse_artefacts, read_raw
 from mediamart.sources.taxonomy import CATEGORY_ROWS, SUBCATEGORY_ROWS
 
 WORDS_PER_SEGMENT = 10
@@ -177,6 +177,16 @@ def raw_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored[key]
 
 
+def parsed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows stored with VARIANT artefacts, parsed once for all models."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir} parsed")
+    if key not in _stored:
+        path = f"{shared_folder(spark)}/{key[0]}/parsed-{uuid.uuid4().hex}"
+        parse_artefacts(raw_videos(spark, sf_dir)).write.parquet(path)
+        _stored[key] = read_raw(spark, path, parsed=True)
+    return _stored[key]
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents run through the row-wise artefact operators."""
     rows = unprocessed(spark, sf_dir).withColumn("last", last_segment(F.col("transcribe_json")))

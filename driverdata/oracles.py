@@ -517,3 +517,18 @@ def _report() -> str:
 
 
 ORACLES["q8_report"] = _report()
+ORACLES["w1_late_snapshots"] = ORACLES["w1_deltas"]
+ORACLES["c4_marks"] = full(SNAPSHOTS) + """SELECT *, CASE WHEN day(snapshot_date) <= 12 THEN 1 WHEN day(snapshot_date) <= 20 THEN 2
+    ELSE 3 END AS load, max(snapshot_date) OVER (PARTITION BY video_id) AS newest FROM snap"""
+ORACLES["q4_stored_keys"] = """SELECT l_orderkey AS o_orderkey, l_linestatus AS o_orderstatus, l_partkey, 1 AS refused,
+    (SELECT count(*) FROM orders) AS stored FROM lineitem WHERE l_linenumber = 7 AND l_orderkey IN (SELECT o_orderkey FROM orders)"""
+ORACLES["v1_chapters_of_a_quarter"] = f"SELECT * FROM ({ORACLES['v1_chapters_metrics']}) WHERE year = 2015 AND quarter = 2"
+ORACLES["m8_metrics_of_buckets"] = full(VIDEOS, FACT_CHAPTERS, FACT_METRICS) + """SELECT m.video_id, m.date_id, m.view_count, m.laughter_percent,
+    count(*) AS chapters, max(f.laughter_percent) AS most_laughter FROM fact_metrics m JOIN fact_chapters f USING (video_id) GROUP BY ALL"""
+ORACLES["v4_totals_of_states"] = """SELECT count(*) AS n, CAST(sum(CAST(round(CASE WHEN o_orderkey % 50 = 7 THEN floor(o_totalprice)
+    ELSE o_totalprice END * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders"""
+ORACLES["r20_enrich_stored"] = f"SELECT *, true AS within_budget, true AS some_waited FROM ({ORACLES['r20_enrich']})"
+ORACLES["x1_rows_of_a_function"] = """WITH t AS (SELECT conv_id || '-' || turn AS key, text FROM conversations WHERE text IS NOT NULL)
+    SELECT key, CAST(i - 1 AS INT) AS place, parts[i] AS text, CAST(NULL AS VARCHAR) AS error
+    FROM (SELECT key, string_split(text, '. ') AS parts FROM t WHERE length(text) % 9 <> 0), unnest(range(1, len(parts) + 1)) AS u(i)
+    UNION ALL SELECT key, NULL, NULL, 'Unavailable' FROM t WHERE length(text) % 9 = 0"""

@@ -10,7 +10,7 @@ from pyspark.sql.types import DecimalType
 from driverdata import domain as D
 from mediamart.functions import dates, json, numbers
 from mediamart.functions.arrays import let
-from mediamart.operators import detections, enrich, ingest, joins, quality, text, windows
+from mediamart.operators import detections, enrich, ingest, joins, quality, states, text, windows
 from mediamart.plans import build, core, marts, reporting, staging
 from mediamart.plans.ingest_run import Functions
 from mediamart.plans.ingest_run import run as run_ingest
@@ -52,7 +52,7 @@ class Domain:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.raw = D.raw_videos(spark, sf_dir)
+        self.raw = D.parsed_videos(spark, sf_dir)
         self.dim_date = D.dim_date(spark)
         self.core_categories = taxonomy.categories(spark)
         self.core_subcategories = taxonomy.subcategories(spark)
@@ -179,6 +179,19 @@ def new_tables(spark, name: str) -> Tables:
     return Tables(spark, root, {layer: f"{layer}_{own}" for layer in LAYERS}, buckets=8)
 
 
+_built: dict[tuple[str, str], Tables] = {}
+
+
+def built(spark, sf: str) -> Tables:
+    """A warehouse with all models over all documents, built once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _built:
+        tables = new_tables(spark, "built")
+        build.build_all(tables, D.parsed_videos(spark, sf), D.dim_date(spark), now())
+        _built[key] = tables
+    return _built[key]
+
+
 def repriced(spark, sf) -> DataFrame:
     """Order rows to load: open orders at twice their price, and every order again under a
     negative key, which the table does not hold yet."""
@@ -236,7 +249,7 @@ def s11_incremental_build(spark, sf):
     """All models on stored tables in two runs, first the labelled videos and then all of them;
     the chapters fact holds the same rows as after a single run."""
     tables = new_tables(spark, "build")
-    raw, days = D.raw_videos(spark, sf), D.dim_date(spark)
+    raw, days = D.parsed_videos(spark, sf), D.dim_date(spark)
     labelled = D.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
     build.build_all(tables, raw.join(labelled, "video_id", "left_semi"), days, now())
     build.build_all(tables, raw, days, now())
@@ -248,7 +261,7 @@ def s11_calendar_extended(spark, sf):
     """All models with a calendar of three years, then with one of ten and the same raw rows: the rows of
     all three facts, counted by fact and day."""
     tables = new_tables(spark, "calendar")
-    raw, days = D.raw_videos(spark, sf), D.dim_date(spark)
+    raw, days = D.parsed_videos(spark, sf), D.dim_date(spark)
     build.build_all(tables, raw, days.filter("year < 2018"), now())
     build.build_all(tables, raw, days, now())
     facts = [tables.read(f).select(F.lit(f).alias("fact"), "date_id", "video_id") for f in build.FACT_INPUTS]
@@ -586,6 +599,43 @@ def r20_enrich(spark, sf):
     return enrich.enrich(talk, make_stub, "key", "prompt")
 
 
+@query
+def r20_enrich_stored(spark, sf):
+    """The same in stored rounds, two runs; the first may make as many calls as there are turns, so some wait."""
+    tables = new_tables(spark, "answers")
+    talk = D.table(spark, sf, "conversations").select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("key"),
+        F.col("text").alias("prompt"),
+    )
+    n = talk.count()
+    first = enrich.enrich_stored(tables, "talk", talk, make_stub, "key", "prompt", budget=n, round_calls=max(1, n // 3))
+    asked = first.agg(F.sum("attempts")).first()[0]
+    found = enrich.enrich_stored(tables, "talk", talk, make_stub, "key", "prompt")
+    return found.withColumns({"within_budget": F.lit(asked <= n), "some_waited": F.lit(asked > 0)})
+
+
+def make_splitter():
+    """A stand-in for a transcriber: the sentences of a text with their place; every ninth length cannot be had."""
+
+    def sentences(prompt: str | None) -> list[dict]:
+        if prompt is None:
+            return []
+        if len(prompt) % 9 == 0:
+            raise enrich.Unavailable()
+        return [{"place": i, "text": part} for i, part in enumerate(prompt.split(". "))]
+
+    return sentences
+
+
+@query
+def x1_rows_of_a_function(spark, sf):
+    """A function that returns many rows per row, as a lateral join."""
+    talk = D.table(spark, sf, "conversations").select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("key"), "text"
+    )
+    return enrich.explode_with(talk.withColumnRenamed("text", "prompt"), make_splitter, "key", "prompt", "place int, text string")
+
+
 @query
 def r19_skipped_items(spark, sf):
     results = r20_enrich(spark, sf)
@@ -907,6 +957,21 @@ def c4_core_videos_meta(spark, sf):
     return core.core_videos_meta(d.raw, stored)
 
 
+@query
+def c4_marks(spark, sf):
+    """Snapshots in three loads behind stored marks: until the 12th, until the 20th with the first batch again, and
+    all of them; what is stored with the number of its load, and the mark of its video."""
+    tables = new_tables(spark, "marks")
+    rows = tables.stage("snapshots", D.snapshots(spark, sf))
+    keys, order, name = ["video_id"], "snapshot_date", "core_videos_meta"
+    for day in (12, 20, 20, 31):
+        marks = states.marks_of(tables, name, keys, order)
+        batch = states.above_marks(rows.filter(F.dayofmonth(order) <= day), marks, keys, order)
+        tables.append(name, batch)
+    marks = states.marks_of(tables, name, keys, order)
+    return tables.scan(name).join(marks.select("video_id", "newest"), "video_id").withColumnRenamed("_load", "load")
+
+
 @query
 def c5_core_transcript_segments(spark, sf):
     d = Domain(spark, sf)
@@ -1030,6 +1095,44 @@ def v4_dwh_statistics(spark, sf):
     )
 
 
+@query
+def v1_chapters_of_a_quarter(spark, sf):
+    """The dashboard's chapters of one quarter, from stored facts: only the months of the quarter are opened."""
+    tables = built(spark, sf)
+    t = tables.read
+    view = reporting.chapters_metrics(
+        tables.scan("fact_video_chapters"), t("dim_category"), t("dim_subcategory"), t("dim_date"),
+        t("dim_videos"), t("dim_channels"), t("dim_playlists"),
+    )
+    return view.filter("year = 2015 and quarter = 2")
+
+
+@query
+def m8_metrics_of_buckets(spark, sf):
+    """Chapters per video beside its metrics, both facts as they were built from the bucketed core tables."""
+    tables = built(spark, sf)
+    chapters = tables.read("fact_video_chapters").groupBy("video_id").agg(
+        F.count("*").alias("chapters"), F.max("laughter_percent").cast("double").alias("most_laughter")
+    )
+    metrics = tables.read("fact_video_metrics").select("video_id", "date_id", "view_count", F.col("laughter_percent").cast("double").alias("laughter_percent"))
+    return metrics.join(chapters, "video_id")
+
+
+@query
+def v4_totals_of_states(spark, sf):
+    """Totals from states per bucket: orders are loaded, a second load adds orders, a correction halves some prices; after
+    each only the states of the touched buckets are computed."""
+    tables = new_tables(spark, "totals")
+    measures = {"n": "count(o_orderkey)", "cents": "sum(cast(round(o_totalprice * 100) as bigint))"}
+    orders = D.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    known = F.col("o_orderkey") % 3 == 0
+    loads = [orders.filter(~known), orders.filter(known), orders.filter("o_orderkey % 50 = 7").withColumn("o_totalprice", F.floor("o_totalprice").cast("double"))]
+    for rows in loads:
+        tables.upsert("orders", rows, ["o_orderkey"])
+        states.refresh_totals(tables, "orders", measures, tables.touched["orders"])
+    return states.totals(tables, "orders", list(measures))
+
+
 # --- joins, aggregation, windows -----------------------------------------------------------
 
 
@@ -1169,6 +1272,20 @@ def w1_deltas(spark, sf):
     )
 
 
+@query
+def w1_late_snapshots(spark, sf):
+    """Two days of snapshots come late: the deltas of all other days are stored, and those of the late rows and of
+    the rows behind them are patched."""
+    tables = new_tables(spark, "late")
+    columns = {"view_count": "views", "like_count": "likes", "comment_count": "comments"}
+    everything = tables.stage("snapshots", D.snapshots(spark, sf))
+    is_late = F.dayofmonth("snapshot_date").isin(9, 10)
+    early, late = everything.filter(~is_late), everything.filter(is_late)
+    key = ["video_id", "snapshot_date"]
+    tables.upsert("deltas", windows.deltas(early, ["video_id"], "snapshot_date", columns), key)
+    return tables.upsert("deltas", windows.patched_deltas(early, late, ["video_id"], "snapshot_date", columns), key)
+
+
 @query
 def w2_latest(spark, sf):
     return windows.latest(D.snapshots(spark, sf), ["video_id"], "snapshot_date")
@@ -1351,6 +1468,27 @@ def q4_primary_key(spark, sf):
     return quality.primary_key(lines, ["l_orderkey", "number"], "lineitem")
 
 
+@query
+def q4_stored_keys(spark, sf):
+    """Orders in two loads, then a batch of line numbers as keys of which some are stored: it is refused, and its
+    rows with stored keys are the result."""
+    tables = new_tables(spark, "keys")
+    keys = ["o_orderkey"]
+    orders = D.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    guard = states.KeyGuard(tables, "orders", keys)
+    for part in (0, 1):
+        guard.append(orders.filter(F.col("o_orderkey") % 2 == part))
+    key = F.when(F.col("l_linenumber") == 7, F.col("l_orderkey")).otherwise(-F.col("l_orderkey") - F.col("l_linenumber"))
+    batch = D.table(spark, sf, "lineitem").select(key.alias("o_orderkey"), F.col("l_linestatus").alias("o_orderstatus"), "l_partkey")
+    refused = 0
+    try:
+        guard.append(batch)
+    except ValueError:
+        refused = 1
+    stored = tables.read("orders").count()
+    return guard.repeats(batch).withColumns({"refused": F.lit(refused), "stored": F.lit(stored).cast("long")})
+
+
 @query
 def q5_foreign_key(spark, sf):
     finished = D.table(spark, sf, "orders").filter("o_orderstatus = 'F'")

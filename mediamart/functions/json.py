@@ -1,8 +1,12 @@
 """JSON helpers.  Leaf fields are declared STRING and cast afterwards, because quoted
-numbers ("5") and bare ones (5) are both legal in the artefacts."""
+numbers ("5") and bare ones (5) are both legal in the artefacts.
 
-from pyspark.sql import Column
+``parse``, ``entries`` and ``records`` read JSON text; the ``_of`` forms of them read a column of a table,
+which may be text or VARIANT, that is text parsed once when it was stored."""
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 STRICT = {"mode": "FAILFAST"}
 
@@ -29,6 +33,42 @@ def records(c: Column, member: str, fields: str) -> Column:
     return parse(c, f"{member} array<struct<{fields}>>")[member]
 
 
+# Measures of the artefacts; of a VARIANT they are read as numbers, without their text in between.  Integers stay text, so that
+# 5.0 is no integer in either form.
+MEASURES = ("start", "end", "start_seconds", "end_seconds", "duration_seconds", "avg_confidence", "max_confidence")
+
+
+def _typed(fields: str) -> str:
+    """``fields`` with the measures as DOUBLE."""
+    named = [f.split(":") if ":" in f else f.split() for f in fields.split(",")]
+    return ", ".join(f"{n.strip()}: {'double' if n.strip() in MEASURES else kind.strip()}" for n, kind in named)
+
+
+def is_variant(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, VariantType)
+
+
+def parse_of(df: DataFrame, column: str, fields: str) -> Column:
+    """An object as ``struct<fields>``."""
+    if is_variant(df, column):
+        return F.variant_get(df[column], "$", f"struct<{_typed(fields)}>")
+    return parse(df[column], fields)
+
+
+def entries_of(df: DataFrame, column: str, fields: str) -> Column:
+    """The members of an object as ``array<struct<key, value>>``, each value a record."""
+    if is_variant(df, column):
+        return F.map_entries(F.variant_get(df[column], "$", f"map<string, struct<{_typed(fields)}>>"))
+    return entries(df[column], f"struct<{fields}>")
+
+
+def records_of(df: DataFrame, column: str, member: str, fields: str) -> Column:
+    """The array of records under ``member``; anything but an array there is an error."""
+    if is_variant(df, column):
+        return F.variant_get(df[column], f"$.{member}", f"array<struct<{_typed(fields)}>>")
+    return records(df[column], member, fields)
+
+
 def number(c: Column, kind: str) -> Column:
     """Text to ``kind`` (int or double); bad text is an error under ANSI mode."""
     return c.cast(kind)

@@ -38,6 +38,39 @@ def deltas(df: DataFrame, keys: list[str], order: str, columns: dict[str, str])
     )
 
 
+def patched_deltas(
+    stored: DataFrame, late: DataFrame, keys: list[str], order: str, columns: dict[str, str]
+) -> DataFrame:
+    """Deltas of ``late`` rows and of the rows that follow them: what ``deltas`` over all rows would give for these.
+
+    A late row changes its own delta and that of its successor, no other.  Each late row looks up its neighbours
+    in ``stored`` (the last row before and the first row after it), and the window runs over late rows and
+    neighbours alone.  A late row with the key and ``order`` of a stored row takes its place.  The result is to be upserted
+    by (keys, order).
+    """
+    carried = [order, *columns]
+    asked = late.select(*keys, F.col(order).alias("_at"))
+    near = stored.select(*keys, F.struct(*carried).alias("_row")).join(asked, keys)
+    before = F.max(F.when(F.col("_row")[order] < F.col("_at"), F.col("_row")))
+    after = F.min(F.when(F.col("_row")[order] > F.col("_at"), F.col("_row")))
+    pairs = near.groupBy(*keys, "_at").agg(before.alias("_before"), after.alias("_after"))
+    neighbour = lambda c, changes: F.struct(F.lit(changes).alias("changes"), F.col(c).alias("row"))
+    neighbours = (
+        pairs.select(*keys, F.explode(F.array(neighbour("_before", False), neighbour("_after", True))).alias("_n"))
+        .filter("_n.row IS NOT NULL")
+        .groupBy(*keys, F.col("_n.row").alias("_row"))
+        .agg(F.max("_n.changes").alias("_changes"))
+        .select(*keys, "_row.*", "_changes")
+        .join(late.select(*keys, order), [*keys, order], "left_anti")
+    )
+    few = late.select(*keys, *carried, F.lit(True).alias("_changes")).unionByName(neighbours)
+    previous = Window.partitionBy(*keys).orderBy(order)
+    changed = few.select(
+        *keys, order, *[(F.col(c) - F.lag(c).over(previous)).alias(name) for c, name in columns.items()], "_changes"
+    )
+    return changed.filter("_changes").drop("_changes")
+
+
 def number_rows(
     df: DataFrame, keys: list[str], order: str, bucket: Column, name: str = "sequence"
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mediamart.operators.ingest import FINISHED
 from mediamart.operators.quality import declared_checks, run_checks
+from mediamart.operators.states import marks_of
 from mediamart.plans import core, marts, reporting
 from mediamart.plans.staging import STAGING
 from mediamart.schemas import UPSERT_KEYS
@@ -72,14 +73,21 @@ def build_core(tables: Tables, raw: DataFrame, now: Column) -> list[str]:
     other = {
         "core_channels": lambda old: core.core_channels(raw, now, old),
         "core_playlists": lambda old: core.core_playlists(raw, now, old),
-        "core_videos_meta": lambda old: core.core_videos_meta(raw, old),
     }
+
+    def append_snapshots() -> None:
+        """Reads the marks and the batch, not the stored snapshots."""
+        marks = marks_of(tables, "core_videos_meta", ["video_id"], "snapshot_date")
+        tables.append("core_videos_meta", core.core_videos_meta(raw, marks=marks))
+        marks_of(tables, "core_videos_meta", ["video_id"], "snapshot_date")
+
     side_by_side(
         tables.spark,
         *[lambda n=n, model=m: tables.append(n, model(new_videos(tables, raw, n))) for n, m in new.items()],
         *[lambda n=n, model=m: tables.append(n, model(tables.read(n))) for n, m in other.items()],
+        append_snapshots,
     )
-    return [*new, *other]
+    return [*new, *other, "core_videos_meta"]
 
 
 def unbuilt(tables: Tables, names: list[str]) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mediamart.functions.json import number
 from mediamart.operators.joins import newer_rows
+from mediamart.operators.states import above_marks
 from mediamart.plans import staging
 from mediamart.schemas import CONTRACTS
 from mediamart.sources.tables import conform
@@ -50,9 +51,10 @@ def core_videos(raw: DataFrame, now: Column, existing: DataFrame | None = None)
     return _named("core_videos", rows.withColumn("created_at", now))
 
 
-def core_videos_meta(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
-    """Snapshots newer than every stored snapshot of their video."""
+def core_videos_meta(raw: DataFrame, existing: DataFrame | None = None, marks: DataFrame | None = None) -> DataFrame:
+    """Snapshots newer than every stored snapshot of their video, told by the stored rows or by their ``marks``."""
     rows = _valid(staging.stg_videos_base(raw)).withColumnRenamed("meta_updated_at", "snapshot_date")
+    rows = above_marks(rows, marks, ["video_id"], "snapshot_date")
     return _named("core_videos_meta", newer_rows(rows, existing, ["video_id"], "snapshot_date"))
 
 

@@ -1,9 +1,12 @@
-"""Staging models: JSON artefacts of finished videos as typed rows with a validity flag."""
+"""Staging models: JSON artefacts of finished videos as typed rows with a validity flag.
+
+The artefacts may be JSON text or VARIANT (``mediamart.sources.raw.parse_artefacts``); of a VARIANT only the paths that a
+model names are read, and no model parses text again."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.functions.json import compact_date, entries, number, parse, records
+from mediamart.functions.json import compact_date, entries_of, number, parse_of, records_of
 from mediamart.operators.ingest import FINISHED
 from mediamart.schemas import CHAPTER_FIELDS, CLASSIFICATION_FIELDS, EVENT_FIELDS, META_FIELDS, SEGMENT_FIELDS
 
@@ -64,7 +67,7 @@ def valid_event() -> Column:
 
 
 def stg_videos_base(raw: DataFrame) -> DataFrame:
-    meta = parse(F.col("video_meta_json"), META_FIELDS)
+    meta = parse_of(raw, "video_meta_json", META_FIELDS)
     return _finished(raw).withColumn("meta", meta).select(
         "video_id",
         "channel_id",
@@ -84,7 +87,7 @@ def stg_videos_base(raw: DataFrame) -> DataFrame:
 
 
 def stg_transcripts(raw: DataFrame) -> DataFrame:
-    segments = entries(F.col("transcribe_json"), f"struct<{SEGMENT_FIELDS}>")
+    segments = entries_of(raw, "transcribe_json", SEGMENT_FIELDS)
     return (
         _exploded(raw, "transcribe_json", segments)
         .select(
@@ -100,7 +103,7 @@ def stg_transcripts(raw: DataFrame) -> DataFrame:
 
 
 def stg_chapters(raw: DataFrame, *kept: str) -> DataFrame:
-    chapters = records(F.col("llm_chapter_json"), "chapters", CHAPTER_FIELDS)
+    chapters = records_of(raw, "llm_chapter_json", "chapters", CHAPTER_FIELDS)
     return (
         _exploded(raw, "llm_chapter_json", chapters, *kept)
         .select(
@@ -119,7 +122,7 @@ def stg_chapters(raw: DataFrame, *kept: str) -> DataFrame:
 
 def classes_of(raw: DataFrame) -> Column:
     """The classes of a video, as they are in its row."""
-    return records(raw["llm_classifier_json"], "classifications", CLASSIFICATION_FIELDS)
+    return records_of(raw, "llm_classifier_json", "classifications", CLASSIFICATION_FIELDS)
 
 
 def stg_classifications(raw: DataFrame) -> DataFrame:
@@ -137,7 +140,7 @@ def stg_classifications(raw: DataFrame) -> DataFrame:
 
 
 def stg_sound_features(raw: DataFrame) -> DataFrame:
-    events = records(F.col("laugh_events_json"), "events", EVENT_FIELDS)
+    events = records_of(raw, "laugh_events_json", "events", EVENT_FIELDS)
     ints, doubles = ["sequence", "points"], [
         "duration_seconds",
         "start_seconds",

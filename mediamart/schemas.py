@@ -11,6 +11,7 @@ TYPES = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "boolean": T.BooleanType(),
+    "variant": T.VariantType(),
     "seconds": T.DecimalType(18, 2),
     "share": T.DecimalType(18, 1),
 }
@@ -43,6 +44,9 @@ RAW = struct(
     meta_updated_at="timestamp",
 )
 
+# The raw table with its artefacts parsed.
+RAW_PARSED = T.StructType([T.StructField(f.name, T.VariantType()) if f.name in ARTEFACTS else f for f in RAW])
+
 PLAYLISTS = (
     "id string, title string, "
     "entries array<struct<id: string, title: string, url: string, channel_id: string, channel: string>>"

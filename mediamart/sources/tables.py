@@ -119,6 +119,8 @@ class Tables:
         self.root = root.rstrip("/")
         self.layers = {**LAYERS, **(layers or {})}
         self._staged: dict[str, list[str]] = {}
+        #: Table to the partitions that its last upsert has rewritten.
+        self.touched: dict[str, list[int]] = {}
         for schema in self.layers.values():
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` LOCATION '{self.root}/{schema}'")
             there = spark.catalog.getDatabase(schema).locationUri
@@ -315,12 +317,14 @@ class Tables:
         if touched:
             old = self._fitted(name, batch).limit(0) if not self.partitions(name) else stored.filter(F.col(by).isin(*touched, *left))
             kept_rows = old.join(batch.select(*keys), keys, "left_anti")
+            empty = set(left)
             if left:  # a month that only loses rows may lose all of them
-                left -= {r[0] for r in kept_rows.filter(F.col(by).isin(*left)).select(by).distinct().collect()}
+                empty -= {r[0] for r in kept_rows.filter(F.col(by).isin(*left)).select(by).distinct().collect()}
             rows = self._fitted(name, union_evolving(kept_rows, batch))
             rows.hint("rebalance", F.col(by)).write.insertInto(self.full(name), overwrite=True)
-            for month in left:
+            for month in empty:
                 self.spark.sql(f"ALTER TABLE {self.full(name)} DROP PARTITION ({by} = {month})")
+        self.touched[name] = sorted(touched | left)
         self.clear(label)
         return self.read(name)
 

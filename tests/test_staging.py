@@ -1,11 +1,29 @@
 import datetime as dt
+import os
+import sys
 
 import pytest
 
 from mediamart.plans import staging
+from mediamart.sources.raw import id_slices, parse_artefacts, read_raw
+from tests import rows
 from tests.rows import CHAPTERS, event, raw, tuples, video
 
 
+@pytest.fixture(params=["text", "variant"], autouse=True)
+def form(request, monkeypatch, tmp_path):
+    """Every test reads the artefacts as text and as stored VARIANT."""
+    if request.param == "variant":
+
+        def parsed(spark, *videos):
+            path = str(tmp_path / f"parsed{len(os.listdir(tmp_path))}")
+            parse_artefacts(rows.raw(spark, *videos)).write.parquet(path)
+            return read_raw(spark, path, parsed=True)
+
+        monkeypatch.setattr(sys.modules[__name__], "raw", parsed)
+    return request.param
+
+
 def test_unfinished_and_missing_artefacts_give_no_rows(spark):
     df = raw(
         spark,
@@ -36,6 +54,20 @@ def test_videos_base(spark):
     assert (p.duration, p.view_count, p.upload_date) == (61, None, dt.date(2024, 2, 29))
 
 
+def test_malformed_text_fails(spark):
+    row = video("v")
+    row["llm_chapter_json"] = '{"chapters":['
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        staging.stg_chapters(raw(spark, row)).collect()
+
+
+def test_variants_are_read_without_parsing(spark, form):
+    df = raw(spark, video("v"))
+    for model in staging.STAGING.values():
+        text = model(df)._jdf.queryExecution().analyzed().toString()
+        assert ("from_json" in text) == (form == "text") and ("variant_get" in text) == (form == "variant"), text
+
+
 def test_bad_number_fails(spark):
     df = raw(spark, video("v", video_meta_json={"duration": "5.0"}))
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
@@ -100,3 +132,10 @@ def test_sound_features(spark):
     events += [{"sequence": 9}, {"sequence": 10, "points": 3}]
     got = tuples(staging.stg_sound_features(raw(spark, video("v", laugh_events_json={"events": events}))), "sequence", "is_valid")
     assert dict(got) == {1: False, 2: True, 3: False, 4: False, 5: False, 9: False, 10: True}
+
+
+def test_slices_of_ids_hold_each_row_once(spark):
+    rows = spark.createDataFrame([(x,) for x in (None, "a", "b'c", "b'd", "m", "z")], "video_id string")
+    for bounds in ([], ["m"], ["m", "b'd", "a", "m"]):
+        found = [r.video_id for c in id_slices(bounds) for r in rows.filter(c).collect()]
+        assert sorted(found, key=repr) == sorted((r.video_id for r in rows.collect()), key=repr)
