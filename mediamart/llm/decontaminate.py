@@ -22,6 +22,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import MASK, mixed, row_key, text_of
+from mediamart.llm.common import MASK, mixed, row_key, store, text_of
 
 WIDTH, LEAST = 8, 4
 BITS = 1 << 23
@@ -65,39 +66,48 @@ _COUNTS |= {"dozen": "12", "hundred": "100", "thousand": "1000", "million": "100
 _NUMBER = re.compile(r"[$€£]?[+-]?\d[\d.,:/]*(?:[%°]|st|nd|rd|th)?", re.I)
 #: A number and the letters that follow it, or that a hyphen joins to it; letters may hold further hyphens and slashes.
 _GLUED = re.compile(r"([\W_]*\d[\d.,:/]*)(-?[^\W\d_]+(?:[-/][^\W\d_]+)*[\W_]*)")
-_ENDS = re.compile(r"^[\W_]+|[\W_]+$")
 _BREAK = "\ue000"  # stands for a line break among the words
-CAPITAL, STOP, NUMBER, UNIT = 1, 2, 4, 8
+CAPITAL, STOP, NUMBER, UNIT, COUNTED, FUNCTION, MARKS = 1, 2, 4, 8, 16, 32, 63
 GLUED = NUMBER | UNIT  # no word is both
+#: Characters of text that are cut into windows at a time; a longer text is a piece of its own.
+_PIECE = 1 << 20
 
 
 def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word) & (MASK ^ 0xF) or 16
+    return xxhash.xxh64_intdigest(word) & (MASK ^ MARKS) or MARKS + 1
+
+
+def _core(word: str) -> str:
+    """``word`` without what is no letter or digit at its ends."""
+    a, b = 0, len(word)
+    while a < b and not word[a].isalnum():
+        a += 1
+    while b > a and not word[b - 1].isalnum():
+        b -= 1
+    return word[a:b]
 
 
-_COUNT_HASHES = np.sort(np.array([_hash(w) for w in _COUNTS], np.uint64))
-_FUNCTION_HASHES = np.sort(np.array([_hash(w) for w in _FUNCTION], np.uint64))
 _PLACEHOLDERS = [_hash(f"<{kind}>") for kind in ("number", "name", "unit")]
 
 
 class _Words(dict):
-    """Word as written to token hash (high 60 bits; 0: no token) and marks (low 4 bits)."""
+    """Word as written to token hash (high 58 bits; 0: no token) and marks (low 6 bits)."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= 400_000:
             self.clear()
-        core = _ENDS.sub("", word)
+        core = _core(word)
         marks = STOP if word == _BREAK or word.rstrip("\"')]»”").endswith((".", "!", "?", ":")) else 0
         if not core or word == _BREAK:
             value = marks
         elif _NUMBER.fullmatch(core):
             value = _hash(core) | marks | NUMBER
         elif core[-1].isalpha() and _GLUED.fullmatch(word):
-            value = 16 | marks | GLUED
+            value = MARKS + 1 | marks | GLUED
         else:
             low = core.lower()
             marks |= CAPITAL * (core[0].isupper() and core[1:] != core[1:].upper()) | UNIT * (low in UNITS)
-            value = _hash(low) | marks
+            value = _hash(low) | marks | COUNTED * (low in _COUNTS) | FUNCTION * (low in _FUNCTION)
         self[word] = value
         return value
 
@@ -110,50 +120,58 @@ def _known() -> _Words:
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
     """Token hashes as written, their kinds (0 plain, 1 number, 2 name, 3 unit), all words as written,
     and the word number of each token."""
-    value, kind, _, found, real = both(text)
+    value, kind, _, _, found, real = both([text])
     return value, kind, found, real
 
 
-def both(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """``tokens`` with the kinds of the second template after the kinds of the first."""
-    found = text.replace("\n", f" {_BREAK} ").split()
+def both(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Of several texts at once: ``tokens`` with the kinds of the second template after the kinds of the first, then
+    the number of the text of each token."""
+    split = [text.replace("\n", f" {_BREAK} ").split() for text in texts]
+    of = np.repeat(np.arange(len(texts)), [len(x) for x in split])
+    found = list(chain.from_iterable(split))
     known = _known()
     value = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-    marks = (value & np.uint64(15)).astype(np.uint8)
+    marks = (value & np.uint64(MARKS)).astype(np.uint8)
     glued = (marks & GLUED) == GLUED
     if glued.any():
+        of = np.repeat(of, 1 + glued)
         found = [p for w, g in zip(found, glued) for p in (_GLUED.fullmatch(w).groups() if g else (w,))]
         value = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
-        marks = (value & np.uint64(15)).astype(np.uint8)
-    value &= ~np.uint64(15)
+        marks = (value & np.uint64(MARKS)).astype(np.uint8)
+    value &= ~np.uint64(MARKS)
     real = np.flatnonzero(value)
+    of = of[real]
+    first = np.r_[True, of[1:] != of[:-1]][: len(real)]
     # a token starts a sentence where a word since the token before, that token included, ends one
     stops = np.r_[0, np.cumsum((marks & STOP) > 0)]
-    starts = np.r_[True, stops[real[1:]] > stops[real[:-1]]][: len(real)]
+    starts = first | np.r_[True, stops[real[1:]] > stops[real[:-1]]][: len(real)]
     marks, value = marks[real], value[real]
-    number = (marks & NUMBER) > 0
-    unit = ((marks & UNIT) > 0) & np.r_[False, number[:-1]][: len(real)]
+    after = lambda there: np.r_[False, there[:-1]][: len(real)] & ~first
+    number, counted = (marks & NUMBER) > 0, (marks & COUNTED) > 0
+    unit = ((marks & UNIT) > 0) & after(number)
     capital = (marks & CAPITAL) > 0
     name = capital & ~starts & ~unit
-    counted = np.isin(value, _COUNT_HASHES)
     numbers = number | counted
-    units = ((marks & UNIT) > 0) & np.r_[False, numbers[:-1]][: len(real)] & ~counted
-    names = capital & ~units & ~counted & (~starts | ~np.isin(value, _FUNCTION_HASHES))
+    units = ((marks & UNIT) > 0) & after(numbers) & ~counted
+    names = capital & ~units & ~counted & (~starts | ((marks & FUNCTION) == 0))
     kind = (number * 1 + name * 2 + unit * 3).astype(np.uint8)
-    return value, kind, (numbers * 1 + names * 2 + units * 3).astype(np.uint8), found, real
+    return value, kind, (numbers * 1 + names * 2 + units * 3).astype(np.uint8), of, found, real
 
 
 def windows(
-    value: np.ndarray, kind: np.ndarray, second: np.ndarray, width: int
+    value: np.ndarray, kind: np.ndarray, second: np.ndarray, of: np.ndarray, width: int
 ) -> list[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
-    """(kinds, places, hashes) of the windows of ``width`` tokens: as written (no kinds) all of them, as
+    """(kinds, places, hashes) of the windows of ``width`` tokens of one text: as written (no kinds) all of them, as
     templates those with a slot and enough plain words, of the second template where it differs."""
     n = len(value) - width + 1
     if n <= 0:
         return []
-    inside = lambda there: (c := np.r_[0, np.cumsum(there)])[width:] - c[:-width]
-    out = [(None, np.arange(n), _rolled(value, width, width))]
-    for kinds, wanted in ((kind, True), (second, inside(kind != second) > 0)):
+    inside = lambda there: (c := np.r_[0, np.cumsum(there, dtype=np.int32)])[width:] - c[:-width]
+    one = of[:n] == of[width - 1 :]
+    at = np.flatnonzero(one)
+    out = [(None, at, _rolled(value, width, width)[at])]
+    for kinds, wanted in ((kind, one), (second, one & (inside(kind != second) > 0))):
         slots = inside(kinds > 0)
         at = np.flatnonzero((slots > 0) & (slots <= width - LEAST) & wanted)
         if len(at):
@@ -165,19 +183,41 @@ def windows(
 
 
 def _rolled(value: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Polynomial hash of each run of ``width`` values, put together from runs of powers of two."""
     n = len(value) - width + 1
-    out = np.full(n, seed, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + value[k : n + k]
-    return mixed(out)
+    factor = [0x9E3779B97F4A7C15]
+    run, size, at = value, 1, 0
+    out = None
+    while True:
+        if width & size:
+            part = run[width - at - size : width - at - size + n]  # the last values first
+            out = part if out is None else out + part * np.uint64(pow(factor[0], at, 1 << 64))
+            at += size
+        if size * 2 > width:
+            break
+        run = run[:-size] * np.uint64(pow(factor[0], size, 1 << 64)) + run[size:]
+        size *= 2
+    return mixed(out + np.uint64(seed * pow(factor[0], width, 1 << 64) & MASK))
 
 
 def _slots(kind: np.ndarray, found: list[str], real: np.ndarray, at: int, width: int) -> list[str]:
     """Slots of a window: kind and value; number words are their digits."""
-    slots = [(kind[k], _ENDS.sub("", found[real[k]]).lower()) for k in range(at, at + width) if kind[k]]
+    slots = [(kind[k], _core(found[real[k]]).lower()) for k in range(at, at + width) if kind[k]]
     return [f"{k} {_COUNTS.get(word, word) if k == 1 else word}" for k, word in slots]
 
 
+def pieces(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about ``_PIECE`` characters with the number of their first."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= _PIECE:
+            yield start, texts[start : k + 1]
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield start, texts[start:]
+
+
 WINDOW = "hash long, place int, written boolean, slots array<string>"
 
 
@@ -188,12 +228,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
         for df in frames:
             rows = []
             for item_id, key, text in zip(df["item_id"].astype("Int64"), df["item_key"], df["text"]):
-                value, kind, second, found, real = both(text)
+                value, kind, second, of, found, real = both([text])
                 width = min(WIDTH, len(value))
                 if width < LEAST:
                     continue
                 total = len(value) - width + 1
-                for kinds, at, hashes in windows(value, kind, second, width):
+                for kinds, at, hashes in windows(value, kind, second, of, width):
                     for a, h in zip(at, hashes.astype(np.int64)):
                         slots = [] if kinds is None else _slots(kinds, found, real, a, width)
                         rows.append((h, width, item_id, key, a, slots, total))
@@ -240,21 +280,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = 0.3, enough: int
     ``exact`` is false where slots differ: the question was re-parameterised.
     """
     spark: SparkSession = docs.sparkSession
-    items = item_windows(benchmark)
+    items = store(item_windows(benchmark), "decontamination-items")
     bits = spark.sparkContext.broadcast(bloom(items))  # 1 MB
     widths = [r["width"] for r in items.select("width").distinct().collect()]  # at most five
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             rows = []
-            for key, doc_id, text in zip(df["row_key"], df["doc_id"].astype("Int64"), df["text"]):
-                value, kind, second, found, real = both(text)
+            keys, ids = df["row_key"].to_list(), df["doc_id"].astype("Int64").to_list()
+            for first, texts in pieces(df["text"].to_list()):
+                value, kind, second, of, found, real = both(texts)
+                begins = np.searchsorted(of, np.arange(len(texts)))
                 for width in widths:
-                    for kinds, at, hashes in windows(value, kind, second, width):
+                    for kinds, at, hashes in windows(value, kind, second, of, width):
                         hit = np.flatnonzero(_held(bits.value, hashes))
                         for a, h in zip(at[hit], hashes[hit].astype(np.int64)):
+                            k = first + of[a]
                             slots = [] if kinds is None else _slots(kinds, found, real, a, width)
-                            rows.append((key, doc_id, h, a, kinds is None, slots))
+                            rows.append((keys[k], ids[k], h, a - begins[of[a]], kinds is None, slots))
             out = pd.DataFrame(rows, columns=["row_key", "doc_id", "hash", "place", "written", "slots"])
             out["doc_id"] = out["doc_id"].astype("Int64")
             yield out

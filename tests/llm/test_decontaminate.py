@@ -1,6 +1,12 @@
+import math
+import random
+import time
+
+import numpy as np
 import pytest
 
 from mediamart.llm import decontaminate
+from mediamart.llm.common import mixed
 from mediamart.llm.decontaminate import tokens
 
 QUESTION = (
@@ -114,3 +120,65 @@ def test_tokens():
 def test_empty_tables(documents, items):
     assert decontaminate.leaks(documents([]), items).count() == 0
     assert decontaminate.leaks(documents([(1, QUESTION)]), items.limit(0)).count() == 0
+
+
+def test_long_words_take_linear_time():
+    start = time.perf_counter()
+    value, *_ = tokens("a" + "-" * 1_000_000 + "b " + "-" * 1_000_000 + "c" + "_" * 1_000_000)
+    assert len(value) == 2 and time.perf_counter() - start < 2
+
+
+@pytest.mark.parametrize("width", range(4, 9))
+def test_rolled_hash_is_the_polynomial(width):
+    values = [random.Random(width).getrandbits(64) for _ in range(30)]
+    got = decontaminate._rolled(np.array(values, np.uint64), width, 7)
+    want = []
+    for k in range(len(values) - width + 1):
+        h = 7
+        for v in values[k : k + width]:
+            h = (h * 0x9E3779B97F4A7C15 + v) & ((1 << 64) - 1)
+        want.append(h)
+    assert got.tolist() == mixed(np.array(want, np.uint64)).tolist()
+
+
+def test_texts_together_are_as_texts_alone():
+    texts = [QUESTION, "", "5", "km of it. Then Bob", "\n", SWAPPED + " 12kg", "x"]
+    value, kind, second, of, found, real = decontaminate.both(texts)
+    together = [(o, v, k, s, found[r]) for o, v, k, s, r in zip(of, value, kind, second, real)]
+    alone = []
+    for n, text in enumerate(texts):
+        v, k, s, _, f, r = decontaminate.both([text])
+        alone += [(n, a, b, c, f[d]) for a, b, c, d in zip(v, k, s, r)]
+    assert together == alone
+    for width in (4, 8):
+        got = sorted((of[a], h) for _, at, hashes in decontaminate.windows(value, kind, second, of, width) for a, h in zip(at, hashes))
+        want = []
+        for n, text in enumerate(texts):
+            v, k, s, o, _, _ = decontaminate.both([text])
+            want += [(n, h) for _, at, hashes in decontaminate.windows(v, k, s, o, width) for h in hashes]
+        assert got == sorted(want)
+    assert [len(t) for _, t in decontaminate.pieces(["x" * 700_000] * 3 + ["y"])] == [2, 2]
+
+
+def test_plain_passages_by_brute_force(documents, spark, words):
+    """All windows of all items against all documents, over texts without slots."""
+    items = [" ".join(words(n, n)) for n in (5, 8, 9, 20, 60)]
+    docs = [" ".join(words(80, 100 + k)) for k in range(12)]
+    for k in range(12):  # a run of an item inside
+        item = items[k % 5].split()
+        take = item[k % 3 : k % 3 + 4 + 3 * k]
+        docs[k] = docs[k][:200] + " " + " ".join(take) + " " + docs[k][200:]
+    want = {}
+    for i, item in enumerate(items):
+        item = item.split()
+        width = min(8, len(item))
+        runs = [tuple(item[a : a + width]) for a in range(len(item) - width + 1)]
+        for d, doc in enumerate(docs):
+            doc = doc.split()
+            there = {tuple(doc[a : a + width]) for a in range(len(doc) - width + 1)}
+            n = sum(run in there for run in runs)
+            if n and n >= min(13, math.ceil(len(runs) * 0.3)):
+                want[d, i] = n
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.matched for r in decontaminate.leaks(documents(list(enumerate(docs))), bench).collect()}
+    assert got == want and want
