@@ -96,21 +96,30 @@ class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= 400_000:
             self.clear()
-        core = _core(word)
-        marks = STOP if word == _BREAK or word.rstrip("\"')]»”").endswith((".", "!", "?", ":")) else 0
+        plain = word.isalpha()
+        core = word if plain else _core(word)
+        marks = 0 if plain or not (word == _BREAK or word.rstrip("\"')]»”").endswith((".", "!", "?", ":"))) else STOP
         if not core or word == _BREAK:
             value = marks
+        elif plain or core.isalpha():
+            value = self._letters(core) | marks
         elif _NUMBER.fullmatch(core):
             value = _hash(core) | marks | NUMBER
         elif core[-1].isalpha() and _GLUED.fullmatch(word):
             value = MARKS + 1 | marks | GLUED
         else:
-            low = core.lower()
-            marks |= CAPITAL * (core[0].isupper() and core[1:] != core[1:].upper()) | UNIT * (low in UNITS)
-            value = _hash(low) | marks | COUNTED * (low in _COUNTS) | FUNCTION * (low in _FUNCTION)
+            value = self._letters(core) | marks
         self[word] = value
         return value
 
+    @staticmethod
+    def _letters(core: str) -> int:
+        low = core.lower()
+        marks = UNIT * (low in UNITS) | COUNTED * (low in _COUNTS) | FUNCTION * (low in _FUNCTION)
+        if low != core:
+            marks |= CAPITAL * (core[0].isupper() and core[1:] != core[1:].upper())
+        return _hash(low) | marks
+
 
 @functools.lru_cache(maxsize=1)
 def _known() -> _Words:
