@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -34,6 +35,25 @@ _TYPES = {
 }
 
 
+_SURROGATE = re.compile(r"\\u[dD][89a-fA-F]|[\ud800-\udfff]")
+#: Schema keywords that are known; a schema with another one, which values could not be held against, is refused.
+_KEYWORDS = {
+    "type", "enum", "properties", "required", "additionalProperties", "items", "minimum", "maximum", "minLength", "maxLength",
+    "title", "description", "default", "examples", "$comment",
+}
+
+
+def _same(a, b) -> bool:
+    """Equal as JSON: true is not 1, while 1 and 1.0 are one number."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(_same(a[k], b[k]) for k in a)
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(_same, a, b))
+    return a == b
+
+
 def _refuse(word: str) -> None:
     raise ValueError(f"{word} is not JSON")
 
@@ -47,7 +67,10 @@ def _pairs(pairs: list[tuple]) -> dict:
 
 def parsed(text: str):
     """Strict JSON: no NaN or infinities, no repeated keys, nothing after the value."""
-    return json.loads(text, parse_constant=_refuse, object_pairs_hook=_pairs)
+    value = json.loads(text, parse_constant=_refuse, object_pairs_hook=_pairs)
+    if _SURROGATE.search(text):  # half a character, escaped or not, may be left alone
+        canonical(value).encode()
+    return value
 
 
 def _plain(value):
@@ -64,6 +87,15 @@ def canonical(value) -> str:
     return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def check_schema(schema: dict) -> dict:
+    """``schema``, or an error where it uses a keyword that ``fault`` does not know."""
+    if unknown := sorted(schema.keys() - _KEYWORDS):
+        raise ValueError(f"schema keyword {unknown[0]} is not known")
+    for inner in [*schema.get("properties", {}).values(), *([schema["items"]] if "items" in schema else [])]:
+        check_schema(inner)
+    return schema
+
+
 def fault(value, schema: dict, at: str = "$") -> str | None:
     """The first thing in ``value`` that its schema does not allow; null if it is valid.
 
@@ -75,7 +107,7 @@ def fault(value, schema: dict, at: str = "$") -> str | None:
     if kind and (not isinstance(value, _TYPES[kind]) or (isinstance(value, bool) and kind != "boolean")):
         if not (kind == "integer" and isinstance(value, float) and value.is_integer()):
             return f"{at}: not of type {kind}"
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same(value, e) for e in schema["enum"]):
         return f"{at}: not one of the values"
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if value < schema.get("minimum", value) or value > schema.get("maximum", value):
@@ -86,9 +118,9 @@ def fault(value, schema: dict, at: str = "$") -> str | None:
         return next((f for k, v in enumerate(value) if (f := fault(v, schema["items"], f"{at}[{k}]"))), None)
     if isinstance(value, dict):
         known = schema.get("properties", {})
-        if missing := next((k for k in schema.get("required", ()) if k not in value), None):
+        if (missing := next((k for k in schema.get("required", ()) if k not in value), None)) is not None:
             return f"{at}.{missing}: missing"
-        if schema.get("additionalProperties") is False and (other := next((k for k in sorted(value) if k not in known), None)):
+        if schema.get("additionalProperties") is False and (other := next((k for k in sorted(value) if k not in known), None)) is not None:
             return f"{at}.{other}: unknown"
         return next((f for k in sorted(value) if k in known and (f := fault(value[k], known[k], f"{at}.{k}"))), None)
     return None
@@ -249,8 +281,11 @@ def link(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """One row per message, call and result: conv_id, turn, kind, call_id, link, cyclic, valid, fault, json and its
     place in the conversation: ``base``, ``depth``, ``row`` and ``place``, in this order.
 
-    ``messages`` has conv_id, turn, role, text, calls (array of id, name, arguments, needs) and result_of.
+    ``messages`` has conv_id, turn, role, text, calls (array of id, name, arguments, needs) and result_of.  A schema with
+    a keyword that is not known is an error.
     """
+    for schema in schemas.values():
+        check_schema(schema)
     made = store(nodes(messages), "chat-nodes")
     return serialised(ordered(made), schemas)
 

@@ -111,3 +111,23 @@ def test_unknown_tool_and_canonical_json(spark):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("text", ['{"a":"\\ud800"}', '{"\\udfff":1}', '["\\uD83D x"]'])
+def test_half_characters_are_not_json(text):
+    with pytest.raises(ValueError):
+        chat.parsed(text)
+
+
+def test_whole_characters_are_json():
+    assert chat.parsed('{"a":"\\ud83d\\ude00"}') == {"a": "\U0001f600"} and chat.parsed('"\\\\ud800"') == "\\ud800"
+
+
+def test_schema_traps():
+    closed = {"type": "object", "additionalProperties": False}
+    assert chat.fault({"": 1}, closed) and chat.fault({}, {"type": "object", "required": [""]})
+    assert chat.fault(True, {"enum": [1]}) and chat.fault(1, {"enum": [True]}) and chat.fault([True], {"enum": [[1]]})
+    assert chat.fault(1.0, {"enum": [1]}) is None and chat.fault(False, {"enum": [False]}) is None
+    for keyword in ("anyOf", "pattern", "$ref", "const"):
+        with pytest.raises(ValueError, match="not known"):
+            chat.check_schema({"type": "object", "properties": {"a": {"type": "array", "items": {keyword: []}}}})
