@@ -33,11 +33,11 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, length: int, keep_ids:
     end = end_id.to_bytes(4, "little")
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, places, chunk = encoder(vocabulary).encode, Counter(), TaskContext.get().partitionId()
+        encode, places, chunk = encoder(vocabulary).encode_all, Counter(), TaskContext.get().partitionId()
         for df in frames:
             rows, kept = [], []
-            for doc_id, text in zip(df["doc_id"].astype("Int64"), df["text"]):
-                ids = encode(text) + end
+            for doc_id, ids in zip(df["doc_id"].astype("Int64"), encode(df["text"].to_list())):
+                ids += end
                 for at in range(0, len(ids), 4 * length):
                     piece = ids[at : at + 4 * length]
                     n = len(piece) // 4

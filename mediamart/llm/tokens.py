@@ -6,11 +6,14 @@ import functools
 import json
 import os
 import re
+import sys
+from array import array
 
 #: Fixed value: the pattern by which the vocabulary's own file parts lower-case text into units.
 UNIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same for the characters that PLAIN allows.
 _UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\s\w]|_)+")
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 _PLAIN = re.compile(r"(?!.*<\|)[!-~À-ÿ]+")
 
 
@@ -26,8 +29,8 @@ class Encoder:
 
     Where the file's rules part text at white space and never look across it, a text's ids are its
     words' ids in a row, so each distinct word is encoded once.  Words with characters beyond Latin
-    letters and ASCII, and all texts under other rules, go to the tokenizer as they are.  Both
-    memories are emptied when they hold ``most`` entries.
+    letters and ASCII, and all texts under other rules, go to the tokenizer as they are.  When
+    ``most`` words are remembered, only those that come again are kept.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -36,7 +39,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.most = self.tokenizer.model, most
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}  # what was remembered before the memory was last full
         self.units: dict[str, bytes] = {}
         self.characters = _byte_characters()
         with open(path, encoding="utf-8") as file:
@@ -58,31 +62,68 @@ class Encoder:
         return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def _unit(self, unit: str) -> bytes:
-        found = self.units.get(unit)
-        if found is None:
-            if len(self.units) >= self.most:
-                self.units.clear()
-            spelled = unit.encode().decode("latin-1").translate(self.characters)
-            found = self.units[unit] = self._packed([t.id for t in self.model.tokenize(spelled)])
-        return found
-
-    def _word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
-            found = b"".join(map(self._unit, _UNITS.findall(word.lower())))
-        else:
-            found = self._whole(word)
-        if len(word) <= 64:
-            self.words[word] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
+        spelled = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.characters)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return array("I", ids).tobytes() if LITTLE else self._packed(ids)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Add the ids of ``missing`` words; a unit is what the model spells by itself."""
+        words, units = self.words, self.units
+        if len(units) > self.most:
+            units.clear()
+        for word in missing:
+            low = word.lower()
+            if not _PLAIN.fullmatch(word):
+                words[word] = self._whole(word)
+            elif low.isalpha():  # one unit, remembered as the word it mostly is
+                found = words.get(low)
+                words[word] = self._unit(low) if found is None else found
+            else:
+                parts = []
+                for unit in _UNITS.findall(low):
+                    found = units.get(unit)
+                    if found is None:
+                        found = words.get(unit)
+                        units[unit] = found = self._unit(unit) if found is None else found
+                    parts.append(found)
+                words[word] = b"".join(parts)
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text.  The distinct words of about a million characters are looked up at a time."""
         if not self.by_word:
-            return self._whole(text)
+            return [self._whole(text) for text in texts]
+        out: list[bytes] = []
+        start, size = 0, 0
+        for k, text in enumerate(texts):
+            size += len(text)
+            if size >= 1 << 20 or k == len(texts) - 1:
+                out += self._encoded(texts[start : k + 1])
+                start, size = k + 1, 0
+        return out
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        split = [text.replace("\n", " ").split(" ") for text in texts]
         known = self.words
-        if len(known) >= self.most:
-            known.clear()
-        parts = text.replace("\n", " ").split(" ")
-        return b"".join([known[w] if w in known else self._word(w) if w else b"" for w in parts])
+        there = set().union(*split)
+        missing = there - known.keys()
+        if len(known) + len(missing) > self.most:
+            self.before, self.words = known, {"": b""}
+            known = self.words
+            missing = there - known.keys()
+        again = missing & self.before.keys()
+        for word in again:
+            known[word] = self.before[word]
+        missing -= again
+        self._learn(missing)
+        find = known.__getitem__
+        out = [b"".join(map(find, words)) for words in split]
+        for word in missing:  # what is long, or more than fits, is not remembered
+            if len(word) > 64 or len(known) > self.most:
+                del known[word]
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
 
 @functools.lru_cache(maxsize=2)

@@ -100,3 +100,11 @@ def test_round_trip(documents, words, length):
 
 def test_empty(documents):
     assert packing.pack(documents([]), PATH).count() == 0
+
+
+def test_words_that_come_again_are_kept_when_the_memory_is_full():
+    encoder, tokenizer = Encoder(PATH, most=50), Tokenizer.from_file(PATH)
+    texts = [f"The word and w{k}x again, and THE {k} " + "long" * 30 for k in range(400)]
+    for text, ids in zip(texts, encoder.encode_all(texts[:200]) + [encoder.encode(t) for t in texts[200:]]):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert "and" in encoder.words and len(encoder.words) <= 60 and len(encoder.before) <= 700
