@@ -14,8 +14,8 @@ entity, that many documents may hold e that chance alone makes such a pair, so t
 for the share of the term's documents that have e near it) must be at most ``chance`` as well.
 
 Everything is DataFrame functions: no Python runs on the executors.  A document's spans stay in its own row; words
-are counted by partial aggregation, and pairs are joined on (entity, term), so an entity that a third of
-all documents hold is spread by its terms.
+are counted by partial aggregation, and pairs are joined on (entity, lane of the term) and (entity, term), so an entity
+that a third of all documents hold is spread by its terms.  The work on a text grows as n log n with its matches.
 
 Null texts count as empty; null ids stay null.  Rows that repeat are judged each for itself; copies of a
 text count as one of ``support``.  Positions are code points, the end is exclusive.
@@ -24,6 +24,7 @@ text count as one of ``support``.  Positions are code points, the end is exclusi
 from __future__ import annotations
 
 import math
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,23 +71,46 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _checked(kind: str):
-    return lambda span: _valid(kind, span["value"])
+def scan(values: Column, join) -> Column:
+    """Running ``join`` (associative, such as a sum) of an array, by doubling steps: n log n, where a fold that
+    appends to an array copies it n times."""
 
+    def step(done: Column, power: Column) -> Column:
+        back = F.pow(F.lit(2), power).cast("int")
+        return F.transform(done, lambda x, at: F.when(at < back, x).otherwise(join(F.get(done, at - back), x)))
 
-def located(text: Column, pattern: Column, kind: str) -> Column:
-    """All matches as spans in order: what is between the matches gives their places."""
-    values, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"CAST(array() AS {SPAN})").alias("spans"))
+    steps = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    # power -1 stands for no step at all: an array of one
+    powers = F.filter(F.sequence(F.lit(-1), steps - 1), lambda power: power >= 0)
+    return F.aggregate(powers, values, step)
 
-    def step(state: Column, x: Column) -> Column:
-        at = state["at"] + F.length(x["gap"])
-        end = at + F.length(x["value"])
-        span = F.struct(F.lit(kind).alias("kind"), at.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    found = F.zip_with(values, F.slice(gaps, F.lit(1), F.size(values)), lambda v, g: F.struct(v.alias("value"), g.alias("gap")))
-    return F.aggregate(found, start, step, lambda state: state["spans"])
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def located(text: Column, pattern: Column, kind: str, valid=None) -> Column:
+    """All (valid) matches as spans in order: the lengths of the matches and of what is between them, added up, give
+    their places."""
+    pieces = F.zip_with(
+        F.regexp_extract_all(text, pattern, F.lit(0)),
+        F.split(text, pattern, -1),
+        lambda v, gap: F.struct(
+            v.alias("value"), F.length(v).cast("bigint").alias("size"), F.length(gap).cast("bigint").alias("gap")
+        ),
+    )
+
+    def placed(found: Column) -> Column:
+        ends = scan(F.transform(found, lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0))), lambda x, y: x + y)
+        return F.zip_with(
+            found,
+            ends,
+            lambda x, end: F.struct(F.lit(kind).alias("kind"), (end - x["size"]).alias("start"), end.alias("end"), x["value"].alias("value")),
+        )
+
+    # the gap behind the last match comes with no value
+    return F.filter(once(pieces, placed), lambda s: s["value"].isNotNull() & (F.lit(True) if valid is None else valid(s["value"])))
 
 
 def base_spans(text: Column) -> Column:
@@ -94,7 +118,7 @@ def base_spans(text: Column) -> Column:
     none = F.expr(f"CAST(array() AS {SPAN})")
     parts = []
     for kind, pattern in PATTERNS.items():
-        spans = F.filter(located(text, F.lit(pattern), kind), _checked(kind))
+        spans = located(text, F.lit(pattern), kind, partial(_valid, kind))
         sign = F.instr(text, _SIGNS[kind]) > 0 if kind in _SIGNS else text.rlike("[0-9]{2}|[0-9][ -][0-9]")
         parts.append(F.when(sign & text.rlike(pattern), spans).otherwise(none))
     return F.concat(*parts)
@@ -109,6 +133,55 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def near_each(text: Column, spans: Column, around: int) -> Column:
+    """The spans with ``near``, the ``around`` characters on either side.  They are cut from pieces of the text, since
+    cutting from the text walks it from its start for each span."""
+    size = max(1024, around)
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+
+    def cut(of: Column, at: Column, n: Column | int) -> Column:
+        piece = F.floor(at / size).cast("int")
+        both = F.concat(F.coalesce(F.get(of, piece), F.lit("")), F.coalesce(F.get(of, piece + 1), F.lit("")))
+        return F.substring(both, (at % size).cast("int") + 1, n if isinstance(n, int) else n.cast("int"))
+
+    def told(of: Column) -> Column:
+        def one(s: Column) -> Column:
+            first = F.greatest(s["start"] - around, F.lit(0))
+            near = F.concat_ws(" ", cut(of, first, s["start"] - first), cut(of, s["end"], F.lit(around)))
+            return F.struct(s["kind"].alias("kind"), s["value"].alias("value"), near.alias("near"))
+
+        return F.transform(spans, one)
+
+    return once(pieces, told)
+
+
+def apart(terms: Column, spans: Column) -> Column:
+    """The terms that overlap no span: none before reaches into them, and the next one starts behind them."""
+    of = lambda items, term: F.transform(
+        items, lambda s: F.struct(s["start"].alias("start"), F.lit(term).alias("term"), s.alias("span"))
+    )
+    far = F.lit(2**62)
+
+    def free(both: Column) -> Column:
+        before = scan(F.transform(both, lambda x: F.when(x["term"], F.lit(0)).otherwise(x["span"]["end"])), F.greatest)
+        starts = F.transform(both, lambda x: F.when(x["term"], far).otherwise(x["span"]["start"]))
+        after = F.reverse(scan(F.reverse(starts), F.least))
+        reach = F.zip_with(before, after, lambda x, y: F.struct(x.alias("before"), y.alias("after")))
+        judged = F.zip_with(both, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r")))
+        kept = F.filter(
+            judged, lambda j: j["x"]["term"] & (j["r"]["before"] <= j["x"]["span"]["start"]) & (j["r"]["after"] >= j["x"]["span"]["end"])
+        )
+        return F.transform(kept, lambda j: j["x"]["span"])
+
+    return once(F.array_sort(F.concat(of(spans, False), of(terms, True))), free)
+
+
+def lanes(entity: Column) -> Column:
+    """Parts into which an entity's terms are dealt for the join with its count: a kind may be near every term, a
+    domain or network near very many."""
+    return F.when(entity.isin(KINDS), 1024).when(entity.contains(":value:"), 1).otherwise(32)
+
+
 def _words(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))
 
@@ -137,16 +210,10 @@ def disclosures(
     docs: DataFrame, base: DataFrame, around: int, support: int, generalise: float, remove: float, chance: float
 ) -> DataFrame:
     """(entity, term, disclosure, removed) of the pairs at or above the threshold."""
-    span = F.explode("spans").alias("span")
-    near = F.concat_ws(
-        " ",
-        F.expr(f"substring(text, greatest(span.start - {around}, 0) + 1, least(span.start, {around}))"),
-        F.expr(f"substring(text, span.end + 1, {around})"),
-    )
     mentions = (
         base.filter("size(spans) > 0")
-        .select("row", "text_key", "text", span)
-        .select("row", "text_key", near.alias("near"), F.explode(entities(F.col("span"))).alias("entity"))
+        .select("row", "text_key", F.explode(near_each(F.col("text"), F.col("spans"), around)).alias("span"))
+        .select("row", "text_key", "span.near", F.explode(entities(F.col("span"))).alias("entity"))
     )
     pairs = (
         mentions.select("row", "text_key", "entity", F.explode(_words(F.col("near"))).alias("term"))
@@ -168,7 +235,8 @@ def disclosures(
     without = F.when(share < 1, (1 - share) / share * F.log((1 - share) / (1 - rate))).otherwise(0.0)
     unlikely = F.col("n_texts") * (pmi + without) >= -math.log(chance)
     return (
-        pairs.join(held, "entity")
+        pairs.withColumn("lane", F.pmod(F.xxhash64("term"), lanes(F.col("entity"))).cast("int"))
+        .join(held.withColumn("lane", F.explode(F.sequence(F.lit(0), lanes(F.col("entity")) - 1))), ["entity", "lane"])
         .join(counts, "term")
         .filter(F.col("n_entity") < documents)
         .filter(F.col("entity").contains(":value:") | unlikely)
@@ -221,10 +289,9 @@ def find(
         .agg(F.array_sort(F.collect_list(F.struct("term", "removed"))).alias("found"))
     )
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("found.term", "|"), F.lit(r")(?!\p{L})"))
-    apart = lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
     terms = (
         holding.join(of_row, "row")
-        .withColumn("terms", F.filter(located(F.col("text"), pattern, "term"), apart))
+        .withColumn("terms", apart(located(F.col("text"), pattern, "term"), F.col("spans")))
         .select("row", "terms", F.transform(F.filter("found", lambda f: f["removed"]), lambda f: f["term"]).alias("removed"))
     )
     return base.join(terms, "row", "left").select(

@@ -134,3 +134,89 @@ def test_empty_and_without_entities(documents):
 def test_no_python_in_the_plan(documents):
     plan = pii.find(documents([(1, "a@b.c")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_scan(spark):
+    rows = spark.createDataFrame([(k, list(range(k))) for k in range(19)], "k int, a array<bigint>")
+    got = {r.k: (r.s, r.m) for r in rows.select("k", pii.scan(F.col("a"), lambda x, y: x + y).alias("s"), pii.scan(F.reverse("a"), F.greatest).alias("m")).collect()}
+    assert got == {k: ([sum(range(j + 1)) for j in range(k)], [k - 1] * k) for k in range(19)}
+
+
+def test_apart_and_near_against_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for k in range(60):
+        text = "".join(rng.choice("ab é😀") for _ in range(rng.randint(1, 4000)))
+        cuts = [sorted(rng.sample(range(len(text) + 1), 2)) for _ in range(rng.randint(0, 12) if len(text) > 1 else 0)]
+        made = [("email" if rng.random() < 0.5 else "term", a, b, text[a:b]) for a, b in sorted(cuts)]
+        rows.append((k, text, [m for m in made if m[0] != "term"], [m for m in made if m[0] == "term"]))
+    df = spark.createDataFrame(rows, f"k int, text string, spans {pii.SPAN}, terms {pii.SPAN}")
+    near = pii.near_each(F.col("text"), F.col("spans"), 80)
+    got = df.select("k", pii.apart(F.col("terms"), F.col("spans")).alias("apart"), near.alias("near")).collect()
+    for r, (_, text, spans, terms) in zip(sorted(got), rows):
+        free = [t for t in terms if not any(s[1] < t[2] and t[1] < s[2] for s in spans)]
+        assert sorted(map(tuple, r.apart)) == sorted(free)
+        assert [n.near for n in r.near] == [f"{text[max(0, a - 80) : a]} {text[b : b + 80]}" for _, a, b, _ in spans]
+
+
+def test_many_matches_in_one_text(documents):
+    import time
+
+    many = " ".join(f"user{k}@host{k % 977}.org quartzling" for k in range(100_000))
+    numbers = ",".join(str(100_000 + k) for k in range(200_000))
+    start = time.time()
+    got = {r.doc_id: r for r in pii.find(documents([(1, many), (2, numbers), (3, "none")])).collect()}
+    assert time.time() - start < 120
+    assert len(got[1].base) == 100_000 and got[2].base == [] and got[3].base == []
+    assert all(many[s.start : s.end] == s.value for s in got[1].base[::997])
+
+
+def test_disclosures_against_brute_force(documents, words):
+    """Every document's terms by counting pairs in plain Python."""
+    import math
+
+    rows = [(k, " ".join(words(10, k % 25)) + (f" lumenary u{k}@h{k % 3}.org" if k % 4 == 0 else "")) for k in range(120)]
+    rows += [(500 + k, f"gravelle +1 377 555 {1000 + k} lumenary") for k in range(5)]
+    rows += [(600, "lumenary"), (601, None), (1, rows[1][1])]
+    kinds, pairs, term_docs, entity_docs, texts = {}, {}, {}, {}, {}
+    letters = re.compile(r"[a-z]{3,}")
+
+    def named(kind, value):
+        value = value.lower()
+        if kind == "email":
+            return [f"email:value:{value}", f"email:domain:{value.split('@')[-1]}", "email"]
+        return [f"phone:value:{digits(value)}", f"phone:prefix:{digits(value)[:-7]}", "phone"]
+
+    for at, (_, text) in enumerate(rows):
+        text = text or ""
+        for term in set(letters.findall(text.lower())):
+            term_docs.setdefault(term, set()).add(at)
+        for kind, rule, ok in RULES:
+            for m in re.finditer(rule, text):
+                if ok(m.group()):
+                    near = f"{text[max(0, m.start() - 80) : m.start()]} {text[m.end() : m.end() + 80]}".lower()
+                    for e in named(kind, m.group()):
+                        kinds.setdefault(at, set()).add(e)
+                        entity_docs.setdefault(e, set()).add(at)
+                        for term in set(letters.findall(near)):
+                            pairs.setdefault((e, term), set()).add(at)
+                            texts.setdefault((e, term), set()).add(text)
+    n, told = len(rows), set()
+    for (e, term), held in pairs.items():
+        n_e, n_t, n_p, distinct = len(entity_docs[e]), len(term_docs[term]), len(held), len(texts[e, term])
+        pmi = math.log(n_p * n / (n_t * n_e))
+        share, rate = n_p / n_t, n_e / n
+        without = (1 - share) / share * math.log((1 - share) / (1 - rate)) if share < 1 else 0
+        if distinct >= 3 and n_e < n and (":value:" in e or distinct * (pmi + without) >= -math.log(1e-4)):
+            if pmi / -math.log(n_e / n) >= 0.5:
+                told.add((e, term))
+    assert told
+    want = []
+    for at, (doc_id, text) in enumerate(rows):
+        base = [(m.start(), m.end()) for _, rule, ok in RULES for m in re.finditer(rule, text or "") if ok(m.group())]
+        terms = {t for e, t in told if e in kinds.get(at, ())}
+        want.append((doc_id, [m.group() for m in letters.finditer(text or "") if m.group() in terms and all(b <= m.start() or m.end() <= a for a, b in base)]))
+    got = [(r.doc_id, [s.value for s in r.terms]) for r in pii.find(documents(rows), generalise=0.5).collect()]
+    assert sorted(got) == sorted(want)
