@@ -1,8 +1,9 @@
 """Toxicity: maximal scoring segments over token log-odds, calibrated by extreme values.
 
 1. ``fit`` learns a log-odds weight per word from labelled texts, with a Dirichlet prior that follows
-   the word's share of all labelled texts.  Only words whose weight is significant are kept; every
-   other word scores a small negative drift.
+   the word's share of all labelled texts.  Every word whose split between the labels is significant (by the signed
+   root of its likelihood ratio, which holds for rare words too) scores its weight, whether it speaks for toxicity or
+   against it; every other word scores a small negative drift.
 2. ``segments`` finds all maximal scoring segments of a text in linear time (Ruzzo and Tompa).
 3. Under the null model of harmless texts the best segment of m words follows an extreme-value law,
    P(S >= x) = 1 - exp(-K m exp(-lambda x)) (Karlin and Altschul).  A segment is significant by its
@@ -11,7 +12,7 @@
    that took no part in the weights, turns it into a probability.
 
 Nulls and empty texts have no segments and get the curve's value at no evidence.  Copies of a labelled
-text count once, so groups of copies do not weigh in.  Without both labels nothing can be learned:
+text count once, and its near copies mostly so, so groups of copies do not weigh in.  Without both labels nothing can be learned:
 every score is then the share of label 1 (0 with no labels).
 """
 
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import store, text_of
+from mediamart.llm.common import Hashes, shingles, store, text_of, words
 
 #: A word is a run of letters.
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -75,7 +76,7 @@ class Model:
 def segments(hits: list[tuple], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (first hit, last hit, score), in linear time.
 
-    ``hits`` are (word number, ..., weight > 0); each word between two hits scores ``-drift``.
+    ``hits`` are (word number, ..., weight); each word between two hits scores ``-drift``.
     """
     stack: list[list] = []  # first hit, last hit, sum before, sum after, place of the last smaller start
     total, at = 0.0, None
@@ -83,6 +84,9 @@ def segments(hits: list[tuple], drift: float) -> list[tuple[int, int, float]]:
         if at is not None:
             total -= drift * (hit[0] - at - 1)
         at = hit[0]
+        if hit[-1] <= 0:
+            total += hit[-1]
+            continue
         left, right, first = total, total + hit[-1], k
         total = right
         while True:
@@ -114,7 +118,28 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
         docs.select("doc_id", text_of().alias("text"))
         .join(F.broadcast(chosen), "doc_id")
         .groupBy("text")
-        .agg(F.max("label").alias("label"))
+        .agg(F.max("label").cast("long").alias("label"))
+    )
+
+
+def without_near_copies(texts: DataFrame) -> DataFrame:
+    """(text, label): one text of each label and least hash of its runs of five words.
+
+    Texts that share a share s of their runs fall together with probability s.  Else a text of one label and its
+    many near copies would make each of its words look significant.
+    """
+
+    def least(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = Hashes()
+        for df in frames:
+            runs = (shingles(hashes.of(words(t)), 5) for t in df["text"])
+            yield df.assign(least=[int(r.min() >> np.uint64(1)) if len(r) else -1 for r in runs])
+
+    return (
+        texts.mapInPandas(least, "text string, label long, least long")
+        .groupBy("label", "least")
+        .agg(F.min("text").alias("text"))
+        .select("text", "label")
     )
 
 
@@ -132,20 +157,18 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     most_rows: int = 40_000,
-    most_words: int = 50_000,
-    least_texts: int = 3,
-    least_z: float = 2.5,
-    least_odds: float = 3.0,
+    least_z: float = 3.5,
     prior: float = 1.0,
     drift: float = 0.1,
 ) -> Model:
     """Learn from ``labels`` (doc_id, label 0 or 1).
 
-    ``most_rows`` bounds the labelled rows that are read, ``most_words`` the weights that are sent
-    to the tasks.  A fifth of the texts, by hash, is kept back for the calibration.
+    ``most_rows`` bounds the labelled rows that are read, and with them the words that can get a weight, which
+    are sent to the tasks; ``least_z`` is the significance asked of them.  A fifth of the texts, by hash, is kept
+    back for the calibration.
     """
     texts = store(
-        labelled_texts(docs, labels, most_rows).withColumn("back", F.abs(F.xxhash64("text") % 5) == 0), "toxic-texts"
+        without_near_copies(labelled_texts(docs, labels, most_rows)).withColumn("back", F.abs(F.xxhash64("text") % 5) == 0), "toxic-texts"
     )
     counted = {r["label"]: r["n"] for r in texts.filter("NOT back").groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = counted.get(1, 0), counted.get(0, 0)
@@ -155,14 +178,17 @@ def fit(
     # Dirichlet prior: `prior` pseudo-texts spread as the word is over all texts, and half a text
     a = F.lit(0.5) + prior * (F.col("n1") + F.col("n0")) / (n1 + n0)
     odds = F.log((F.col("n1") + a) / (n1 + 1.5 - F.col("n1"))) - F.log((F.col("n0") + a) / (n0 + 1.5 - F.col("n0")))
-    z = odds / F.sqrt(1 / (F.col("n1") + a) + 1 / (F.col("n0") + a))
+    # signed root of the likelihood ratio against a word that is as common in texts of either label
+    n, rate = F.col("n1") + F.col("n0"), n1 / (n1 + n0)
+    part = lambda k, p: F.when(k > 0, k * F.log(k / (n * p))).otherwise(0.0)
+    ratio = part(F.col("n1"), rate) + part(F.col("n0"), 1 - rate)
+    z = F.signum(F.col("n1") - n * rate) * F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))
     chosen = (
         word_counts(texts.filter("NOT back"))
-        .filter(F.col("n1") >= least_texts)
-        .select("word", odds.alias("odds"), z.alias("z"))
-        .filter((F.col("z") >= least_z) & (F.col("odds") > least_odds))
-        .orderBy(F.desc("z"), "word")
-        .limit(most_words)
+        .withColumn("odds", odds)
+        .withColumn("z", z)
+        .filter(F.abs("z") >= least_z)
+        .select("word", "odds")
         .collect()
     )
     model = Model({r["word"]: r["odds"] for r in chosen}, drift)
@@ -180,14 +206,17 @@ def _summary(texts: DataFrame, model: Model) -> pd.DataFrame:
             for text, label, back in zip(df["text"], df["label"], df["back"]):
                 found, n = model.quick_hits(text)
                 scores = sorted((s for *_, s in segments(found, model.drift)), reverse=True)
-                rows.append((int(label), bool(back), round(1.25 ** round(math.log(max(n, 1), 1.25))), n, len(found), [round(4 * s) / 4 for s in scores]))
-            yield pd.DataFrame(rows, columns=["label", "back", "size", "n", "n_hits", "scores"])
+                up = sum(w > 0 for _, w in found)
+                down = model.drift * (n - len(found)) - sum(w for _, w in found if w <= 0)
+                size = round(1.25 ** round(math.log(max(n, 1), 1.25)))
+                rows.append((int(label), bool(back), size, n, up, down, [round(4 * s) / 4 for s in scores]))
+            yield pd.DataFrame(rows, columns=["label", "back", "size", "n", "up", "down", "scores"])
 
-    kinds = "label int, back boolean, size long, n long, n_hits long, scores array<double>"
+    kinds = "label int, back boolean, size long, n long, up long, down double, scores array<double>"
     return (
         texts.mapInPandas(best, kinds)
         .groupBy("label", "back", "size", "scores")
-        .agg(F.count("*").alias("texts"), F.sum("n").alias("words"), F.sum("n_hits").alias("hits"))
+        .agg(F.count("*").alias("texts"), F.sum("n").alias("words"), F.sum("up").alias("hits"), F.sum("down").alias("down"))
         .toPandas()
     )
 
@@ -199,15 +228,16 @@ def _calibrated(model: Model, seen: pd.DataFrame) -> Model:
         back = seen
     null = back[back["label"] == 0]
     # lambda: the root of sum p(s) exp(lambda s) = 1 over the token scores of harmless texts, with
-    # hits of the mean weight of single-hit segments
+    # toxic words of the mean score of segments, and the other words of their mean
     n, h = null["words"].sum(), null["hits"].sum()
+    fall = float((null["down"].sum() + model.drift) / (n - h + 1))
     flat = np.concatenate([np.asarray(s, float) for s in null["scores"]] + [np.zeros(0)])
     p = (h + 1) / (n + 2)
     mean = float(flat.mean()) if len(flat) else 3.0
     low, high = 1e-4, 20.0
     for _ in range(60):
         mid = (low + high) / 2
-        value = p * math.exp(min(mid * mean, 600)) + (1 - p) * math.exp(-mid * model.drift)
+        value = p * math.exp(min(mid * mean, 600)) + (1 - p) * math.exp(-mid * fall)
         low, high = (mid, high) if value < 1 else (low, mid)
     decay = max(low, 0.05)
     # K: maximum likelihood given lambda, over the best scores of harmless texts
