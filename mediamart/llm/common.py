@@ -107,7 +107,26 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return rows.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """The rows as one struct, so that no column name can clash, and their keys."""
+    return docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
+
+
+def settle(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``decided`` (row_key, kept of every row) keeps; all columns as they were.
+
+    Of rows that repeat id and text one is kept if any is; a row without a key in ``decided`` stays.  Only the keys of
+    dropped and of repeated rows are joined; they are stored first, so that Spark knows their size: it broadcasts few
+    of them and shuffles no text, and shuffles both sides when they are many.
+    """
+    keys = decided.filter("row_key IS NOT NULL").groupBy("row_key").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    marked = store(keys.filter("NOT kept OR n > 1").select("row_key", "kept"), "marked-rows")
+    again = _rows(docs).join(marked.filter("kept").select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"])
+    return _rows(docs).join(marked.select("row_key"), "row_key", "left_anti").unionByName(again).select("row.*")
+
+
 def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``row_key`` is not in ``keys``; all columns as they were."""
-    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
-    return rows.join(keys.select("row_key").distinct(), "row_key", "left_anti").select("row.*")
+    """Rows of ``docs`` whose ``row_key`` is not in ``keys``; all columns as they were.  The keys are stored first, as
+    in ``settle``."""
+    gone = store(keys.select("row_key").distinct(), "dropped-rows")
+    return _rows(docs).join(gone, "row_key", "left_anti").select("row.*")

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 
 from mediamart.llm import exact
-from mediamart.llm.common import keep_rows
+from mediamart.llm.common import settle
 
 LONG = "x" * 300_000
 ROWS = [
@@ -46,7 +46,15 @@ def test_empty(documents):
 
 def test_rows_kept(documents):
     docs = documents(ROWS)
-    out = keep_rows(docs, exact.assign(docs).filter("kept"))
+    out = settle(docs, exact.assign(docs))
     assert out.columns == docs.columns
     texts = [r.text or "" for r in out.collect()]
     assert sorted(texts) == sorted({t or "" for _, t in ROWS})
+
+
+def test_few_dropped_keys_are_broadcast_and_no_text_is_shuffled(documents):
+    docs = documents([(k, f"text {k}") for k in range(20)] + [(50, "text 3"), (51, "text 3")])
+    out = settle(docs, exact.assign(docs))
+    assert sorted(r.doc_id for r in out.collect()) == [k for k in range(20) if k != 3] + [51]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Final Plan")[-1].split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
