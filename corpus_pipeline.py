@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from driverdata.session import prepare
 from mediamart.llm import decontaminate, exact, near, packing, toxicity
-from mediamart.llm.common import drop_rows, keep_rows, store, table
+from mediamart.llm.common import drop_rows, settle, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -26,13 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     prepare(spark)
-    return keep_rows(docs, exact.assign(docs).filter("kept"))
+    return settle(docs, exact.assign(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     prepare(spark)
-    return keep_rows(docs, near.group(docs).filter("kept"))
+    return settle(docs, near.group(docs))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
