@@ -98,15 +98,6 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.sha2(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit("\n"), text_of(text)), 256)
 
 
-def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``row_key`` is in ``keys``, each key once; all columns as they were.
-
-    The rows travel as one struct, so that no column name can clash.
-    """
-    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
-    return rows.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
-
-
 def _rows(docs: DataFrame) -> DataFrame:
     """The rows as one struct, so that no column name can clash, and their keys."""
     return docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))

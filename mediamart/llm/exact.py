@@ -3,7 +3,7 @@
 A text whose (length, prefix hash) no other text shares is settled without its content being hashed.
 The shared ones are marked in a bitmap of a fixed number of bits, which is broadcast (its size does
 not grow with the data); the second read of the texts hashes those whose bit is set.  Two groups that
-fall on one bit only mean a hash that was not needed, never a wrong group.  No text is ever shuffled.
+fall on one bit only mean a hash that was not needed, never a wrong group.  No text is shuffled here.
 
 A group may hold any share of the rows: it is counted by partial aggregation, and the join that hands
 the result back to its rows is split by AQE.
@@ -51,7 +51,7 @@ def bitmap(keys: DataFrame, slots: int) -> DataFrame:
 def assign(docs: DataFrame, prefix: int = 256, slots: int = 1 << 23, hash_all: bool = False) -> DataFrame:
     """One row per document: doc_id, row_key, keep_id, group_size, kept, sha256.
 
-    ``sha256`` is null for settled texts unless ``hash_all``.  ``slots`` must be a multiple of 32768.
+    ``row_key`` (see ``settle``) is null for settled texts, and ``sha256`` is unless ``hash_all``.  ``slots`` must be a multiple of 32768.
     """
     marks = bitmap(shared_keys(docs, prefix), slots)
     text = text_of()
@@ -69,7 +69,7 @@ def assign(docs: DataFrame, prefix: int = 256, slots: int = 1 << 23, hash_all: b
         keyed.join(F.broadcast(marks), (F.col("slot") / BITS).cast("long") == F.col("part"), "left").select(
             "doc_id",
             F.monotonically_increasing_id().alias("row"),
-            row_key().alias("row_key"),
+            F.when(shared, row_key()).alias("row_key"),
             shared.alias("shared"),
             (digest if hash_all else F.when(shared, digest)).alias("sha256"),
         ),

@@ -36,8 +36,9 @@ def test_groups(documents, slots):
 
 
 def test_settled_texts_are_not_hashed(documents):
-    got = {r.doc_id: r.sha256 for r in exact.assign(documents([(1, "one"), (2, "three"), (3, "three")])).collect()}
-    assert got[1] is None and got[2] == got[3] is not None
+    got = {r.doc_id: r for r in exact.assign(documents([(1, "one"), (2, "three"), (3, "three")])).collect()}
+    assert got[1].sha256 is got[1].row_key is None and got[2].sha256 == got[3].sha256 is not None
+    assert None not in (got[2].row_key, got[3].row_key) and got[2].row_key != got[3].row_key
 
 
 def test_empty(documents):
