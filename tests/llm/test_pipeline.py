@@ -14,7 +14,7 @@ def test_every_operator_has_one_query():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_agrees(spark, name):
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = duckdb.sql(ORACLES[name])
     columns = sorted(want.columns)
