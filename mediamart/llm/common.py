@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from mediamart.session import shared_folder
 
 MASK = (1 << 64) - 1
+PART = 32_768  # bits of one row of a bitmap
 #: ASCII characters that part words.
 _PARTING = bytes(c for c in range(128) if not (chr(c).isalnum() or c == 95))
 _TO_SPACE = bytes.maketrans(_PARTING, b" " * len(_PARTING))
@@ -98,16 +99,61 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.sha2(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.lit("\n"), text_of(text)), 256)
 
 
-def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``row_key`` is in ``keys``, each key once; all columns as they were.
+def slots_for(keys: int) -> int:
+    """Slots of a bitmap: sixteen to thirty-two a key, from 2^20 up to 2^30 (128 MB), so its size is bounded."""
+    return 1 << min(max((16 * keys).bit_length(), 20), 30)
 
-    The rows travel as one struct, so that no column name can clash.
+
+def marked(rows: DataFrame, keys: DataFrame, *key: str, slots: int | None = None) -> DataFrame:
+    """``rows`` with ``hit``: true for each row whose ``key`` is in ``keys``, and for few others.
+
+    ``keys`` must be stored, since it is counted first.  Its bitmap is broadcast (``slots`` / 8 bytes; a
+    multiple of 32768 slots); a bitmap that is too full only marks more rows, so what follows has to join
+    the hits by the key itself.
+    """
+    slots = slots or slots_for(keys.count())
+    slot = F.pmod(F.xxhash64(*key), F.lit(slots))
+    bits = (
+        keys.select(slot.alias("slot"))
+        .groupBy((F.col("slot") / PART).cast("long").alias("part"))
+        .agg(F.bitmap_construct_agg(F.col("slot") % PART).alias("bits"))
+    )
+    bit = F.col("slot") % PART
+    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+    return (
+        rows.withColumn("slot", slot)
+        .join(F.broadcast(bits), (F.col("slot") / PART).cast("long") == F.col("part"), "left")
+        .withColumn("hit", hit)
+        .drop("slot", "part", "bits")
+    )
+
+
+def _keyed(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(row, row_key, hit).  The rows travel as one struct, so that no column name can clash."""
+    return marked(docs.select(F.struct("*").alias("row"), row_key().alias("row_key")), keys, "row_key")
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that ``decided`` (row_key, kept) does not drop, each key once; all columns as they were.
+
+    Only rows that are dropped or repeated, and the few that share their bits, are stored and shuffled.
     """
-    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
-    return rows.join(keys.select("row_key"), "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
+    keys = store(
+        decided.groupBy("row_key").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")).filter("NOT kept OR n > 1"),
+        "keys-decided",
+    )
+    rows = _keyed(docs, keys)
+    hit = store(rows.filter("hit").select("row", "row_key"), "rows-hit")
+    once = hit.dropDuplicates(["row_key"]).join(keys.filter("kept"), "row_key", "left_semi")
+    passed = rows.filter("NOT hit").unionByName(hit.join(keys, "row_key", "left_anti"), allowMissingColumns=True)
+    return passed.select("row.*").union(once.select("row.*"))
 
 
 def drop_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose ``row_key`` is not in ``keys``; all columns as they were."""
-    rows = docs.select(F.struct("*").alias("row"), row_key().alias("row_key"))
-    return rows.join(keys.select("row_key").distinct(), "row_key", "left_anti").select("row.*")
+    """Rows of ``docs`` whose ``row_key`` is not in ``keys``; all columns as they were.  Only the dropped
+    rows, and the few that share their bits, are shuffled."""
+    keys = store(keys.select("row_key").distinct(), "keys-dropped")
+    rows = _keyed(docs, keys)
+    left = rows.filter("hit").join(keys, "row_key", "left_anti")
+    return rows.filter("NOT hit").select("row.*").union(left.select("row.*"))
