@@ -32,9 +32,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mediamart.llm.common import Hashes, mixed, row_key, shingles, store, text_of, words
+from mediamart.llm.common import Hashes, marked, mixed, row_key, shingles, store, text_of, words
 
 HASHES, BANDS, ROWS, BLOCK = 128, 25, 5, 256
+SETS, PAIRS = 2048, 1 << 18  # of one verifying task, on average
+MOST_TASKS = 20_000  # beyond it a task verifies more units, one at a time
 _CHUNK = 512
 
 
@@ -179,16 +181,24 @@ def verified(docs: DataFrame, classes: DataFrame, found: DataFrame, threshold: f
             held = [np.unique(shingles(hashes.of(words(t)), size)).astype("<u8").tobytes() for t in df["text"]]
             yield pd.DataFrame({"rep": df["rep"], "copies": df["copies"], "shingles": held})
 
-    wanted = classes.join(found.select(F.explode("reps").alias("rep")).distinct(), "rep").select(
-        "rep", "copies", F.col("chosen.row_key").alias("row_key")
+    wanted = store(
+        classes.join(found.select(F.explode("reps").alias("rep")).distinct(), "rep").select(
+            "rep", "copies", F.col("chosen.row_key").alias("row_key")
+        ),
+        "near-wanted",
     )
-    texts = docs.select(text_of().alias("text"), row_key().alias("row_key"))
+    texts = marked(docs.select(text_of().alias("text"), row_key().alias("row_key")), wanted, "row_key")
     held = store(
-        texts.join(wanted, "row_key")
-        .dropDuplicates(["row_key"])
+        texts.filter("hit")
+        .dropDuplicates(["row_key"])  # before the join: a row may repeat any number of times
+        .join(wanted, "row_key")
+        .select("rep", "copies", "text")
         .mapInPandas(sets, "rep long, copies long, shingles binary"),
         "near-sets",
     )
+    work = found.agg(F.sum(F.size("reps")).alias("reps"), F.sum(F.length("pairs")).alias("bytes")).first()
+    wished = max(math.ceil((work["reps"] or 0) / SETS), math.ceil((work["bytes"] or 0) / (4 * PAIRS)))
+    tasks = min(max(wished, 1), MOST_TASKS)
 
     def verify(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("place")
@@ -234,6 +244,7 @@ def verified(docs: DataFrame, classes: DataFrame, found: DataFrame, threshold: f
     )
     return store(
         parts.join(held, "rep")
+        .repartition(tasks, "unit")  # by the work: its bytes say little, and AQE would merge by them
         .groupBy("unit")
         .applyInPandas(verify, "rep long, root long, texts long, copies long"),
         "near-links",

@@ -58,7 +58,7 @@ def test_nulls_and_repeats(documents, words):
     got = near.group(docs).collect()
     assert len(got) == 6
     assert {r.class_id for r in got if r.n_links} == {3}
-    assert keep_rows(docs, near.group(docs).filter("kept")).count() == 2
+    assert keep_rows(docs, near.group(docs)).count() == 2
 
 
 def test_empty(documents):
