@@ -26,13 +26,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     prepare(spark)
-    return keep_rows(docs, exact.assign(docs).filter("kept"))
+    return exact.deduplicated(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     prepare(spark)
-    return keep_rows(docs, near.group(docs).filter("kept"))
+    return keep_rows(docs, near.group(docs))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
