@@ -79,6 +79,22 @@ def test_clusters_are_computed_once_for_numbering(spark):
     assert "ReusedExchange" in plan(events)
 
 
+def clustered(df):
+    """How often the clusters of a frame are computed: exchanges of their pieces that reuse no other."""
+    df.collect()
+    final = re.sub(r"#\d+L?", "", plan(df).split("== Initial Plan ==")[0])
+    return len([line for line in final.splitlines() if "- Exchange hashpartitioning(video_id, _lane" in line])
+
+
+def test_numbering_and_payload_compute_the_clusters_once(no_broadcast):
+    points = no_broadcast.range(1000).select(
+        F.floor(F.col("id") / 400).cast("string").alias("video_id"), (F.col("id") / 10).alias("t"), F.lit(0.5).alias("confidence")
+    )
+    assert clustered(detections.cluster_points(points)) == 1
+    named = detections.cluster_points(points.filter("video_id IS NOT NULL"))
+    assert clustered(detections.events_payload(named, points.select("video_id").distinct())) == 1
+
+
 def test_range_join_is_an_equality_join_on_key_and_slot(no_broadcast):
     ranges = no_broadcast.createDataFrame([("v", 0.0, 1.0)], "k string, s double, e double")
     points = no_broadcast.createDataFrame([("v", 0.5, 1)], "k string, t double, n int")
