@@ -11,6 +11,7 @@ from mediamart.operators import detections, joins, windows
 from mediamart.plans import build, core, marts, reporting, staging
 from mediamart.schemas import CONTRACTS
 from mediamart.session import stored_partitioning
+from mediamart.sources import taxonomy
 from mediamart.sources.calendar import calendar
 from tests.rows import raw, video
 
@@ -114,6 +115,13 @@ def test_points_and_ranges_are_shuffled_once(no_broadcast):
     assert len([line for line in lines if "ReusedExchange" not in line]) == 3
 
 
+def test_taxonomy_is_broadcast_by_its_size(spark, tables):
+    core_rows = core.core_chapters(stored(tables, "process_video"), taxonomy.subcategories(spark))
+    assert "Exchange hash" not in plan(core_rows) and "BroadcastHashJoin" in plan(core_rows)
+    for made, rows in ((taxonomy.categories, taxonomy.CATEGORY_ROWS), (taxonomy.subcategories, taxonomy.SUBCATEGORY_ROWS)):
+        assert sorted(map(tuple, made(spark).collect())) == sorted(rows)
+
+
 def test_chapters_meet_their_classes_without_a_shuffle(no_broadcast, tables):
     subs = F.broadcast(no_broadcast.createDataFrame([(40, 8, "x")], CONTRACTS["core_subcategories"]))  # as Spark does by size
     core_rows = core.core_chapters(stored(tables, "process_video"), subs)
