@@ -5,7 +5,7 @@ import os
 import pytest
 
 from driverdata import domain as D
-from driverdata.queries import QUERIES
+from driverdata.queries import QUERIES, new_tables
 from mediamart.session import shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,3 +33,13 @@ def test_models_store_no_text_first(spark, monkeypatch):
     assert [f.split("-")[0] for f in folders(spark) - before] == ["parsed"]
     parsed = D.parsed_videos(spark, SF_DIR).select("video_id", "process_status").collect()
     assert sorted(parsed) == sorted(D.raw_videos(spark, SF_DIR).select("video_id", "process_status").collect())
+
+
+@pytest.mark.parametrize("rows, buckets", [(10, 8), (40_001, 9), (100_000, 20)])
+def test_buckets_follow_the_rows(spark, rows, buckets):
+    tables = new_tables(spark, "sized", spark.range(rows))
+    try:
+        assert tables.buckets == buckets
+    finally:
+        for schema in tables.layers.values():
+            spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
